@@ -24,7 +24,10 @@ FLOAT_METRICS = (
     "TYPE_STANDARD",
 )
 
-EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
+# What counts as an email address and what takes its place.
+EMAIL = r"[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+EMAIL_PLACEHOLDER = "redacted@example.com"
+SECRET_PLACEHOLDER = "***REDACTED***"
 # Header names whose value never leaves the source.
 SECRET_HEADERS = ("authorization", "x-api-key", "cookie", "set-cookie", "proxy-authorization")
 _ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
@@ -137,11 +140,11 @@ def sanitize_name(c: Column, index: Column) -> Column:
     return F.when(bare == "", F.concat(F.lit("_col"), index.cast("string"))).otherwise(bare)
 
 
-def redact_email(c: Column, placeholder: str = "<redacted-email>") -> Column:
+def redact_email(c: Column, placeholder: str = EMAIL_PLACEHOLDER) -> Column:
     return F.regexp_replace(c, EMAIL, placeholder)
 
 
-def redact_secret(name: Column, value: Column, placeholder: str = "<redacted>") -> Column:
+def redact_secret(name: Column, value: Column, placeholder: str = SECRET_PLACEHOLDER) -> Column:
     return F.when(F.lower(name).isin(*SECRET_HEADERS), F.lit(placeholder)).otherwise(value)
 
 

@@ -21,16 +21,7 @@ STANDARD_KEYS = {
     "size_bytes": "size_bytes",
 }
 # Cursor columns, best first.
-CURSOR_CANDIDATES = (
-    "lastModifiedDateTime",
-    "lastModifiedOn",
-    "lastModifiedDate",
-    "Modified_Time",
-    "updated_at",
-    "modified_at",
-    "Created_Time",
-    "created_at",
-)
+CURSOR_CANDIDATES = ("lastModifiedDateTime", "lastModifiedDate", "lastModifiedOn")
 
 
 def table_metadata(cat: DataFrame, names: Sequence[str], configs: dict[str, dict] | None = None) -> DataFrame:

@@ -90,34 +90,25 @@ def check_records(df: DataFrame, keys: Sequence[str], cursor: str | None, requir
 
 
 def nested_paths(df: DataFrame, raw: str, max_depth: int = 16) -> DataFrame:
-    """Every field path in JSON records with the number of records that have it.
+    """Every field path in JSON records and how often it occurs.
 
     Objects are opened level by level; array items share the path of the array.
-    Each level is reduced to distinct paths per record before it is counted.
+    Every level is counted with map-side combine, so only paths are shuffled.
     """
-    kind = lambda v: F.schema_of_variant(v)
-    start = df.select(
-        F.monotonically_increasing_id().alias("_id"), F.lit("").alias("path"), F.try_parse_json(F.col(raw)).alias("v")
-    ).where(F.col("v").isNotNull())
-    level, found = start, []
+    level = df.select(F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(raw)).alias("v"))
+    found = []
     for _ in range(max_depth):
-        opened = level.select(
-            "_id",
-            "path",
-            F.when(kind("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>"))
-            .otherwise(F.array("v")).alias("items"),
-        ).select("_id", "path", F.explode("items").alias("v"))
-        objects = opened.where(kind("v").startswith("OBJECT"))
-        fields = objects.select(
-            "_id", "path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("key", "v")
+        items = F.when(
+            F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")
+        ).otherwise(F.array("v"))
+        opened = level.where(F.col("v").isNotNull()).select("path", F.explode(items).alias("v"))
+        level = (
+            opened.where(F.schema_of_variant("v").startswith("OBJECT"))
+            .select("path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("key", "v"))
+            .select(F.concat_ws(".", "path", "key").alias("path"), "v")
         )
-        level = fields.select(
-            "_id", F.when(F.col("path") == "", F.col("key")).otherwise(F.concat_ws(".", "path", "key")).alias("path"), "v"
-        )
-        found.append(level.groupBy("path", "_id").agg(F.lit(1).alias("_one")).groupBy("path").agg(F.count("*").alias("records")))
-        nested = kind("v")
-        level = level.where(nested.startswith("OBJECT") | nested.startswith("ARRAY"))
-        if level.isEmpty():
+        found.append(level.groupBy("path").agg(F.count("*").alias("records")))
+        if level.where(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).isEmpty():
             break
     return reduce(DataFrame.unionByName, found)
 

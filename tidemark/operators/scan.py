@@ -99,20 +99,17 @@ def scan_compacted_windows(
 
 
 def plan_windows(
-    spark: SparkSession,
-    start: Any,
-    end: Any,
-    days: int,
-    lookback_minutes: int = 0,
-    first_run_before: str = "1971-01-01",
+    bounds: DataFrame, start: str, end: str, days: int, lookback_minutes: int = 0, first_run_before: str = "1971-01-01"
 ) -> DataFrame:
-    """Split ``(start, end]`` into windows of ``days``: ``(window_id, since, until)``.
+    """Split ``(start, end]`` of every row of ``bounds`` into windows of ``days``.
 
-    A start before ``first_run_before`` is a first run: one window with an open
-    lower bound.  ``start >= end`` plans nothing.
+    Gives the other columns of ``bounds`` (an entity, say) with ``window_id``,
+    ``since`` and ``until``.  A start before ``first_run_before`` is a first
+    run: one window from the epoch.  ``start >= end`` plans nothing.
     """
-    ends = spark.range(1).select(
-        F.lit(start).cast("timestamp").alias("_from"), F.lit(end).cast("timestamp").alias("_to")
+    keep = [c for c in bounds.columns if c not in (start, end)]
+    ends = bounds.select(
+        *keep, F.col(start).cast("timestamp").alias("_from"), F.col(end).cast("timestamp").alias("_to")
     ).where(F.col("_from") < F.col("_to"))
     first = F.col("_from") <= F.lit(first_run_before).cast("timestamp")
     low = F.col("_from") - F.make_dt_interval(mins=F.lit(lookback_minutes))
@@ -120,11 +117,9 @@ def plan_windows(
     starts = F.when(first, F.array(F.lit("1970-01-01").cast("timestamp"))).otherwise(
         F.filter(F.sequence(low, F.col("_to"), step), lambda s: s < F.col("_to"))
     )
-    return ends.select("_to", first.alias("_first"), F.posexplode(starts).alias("window_id", "since")).select(
-        "window_id",
-        "since",
-        F.when(F.col("_first"), F.col("_to")).otherwise(F.least(F.col("since") + step, F.col("_to"))).alias("until"),
-    )
+    planned = ends.select(*keep, "_to", first.alias("_first"), F.posexplode(starts).alias("window_id", "since"))
+    until = F.when(F.col("_first"), F.col("_to")).otherwise(F.least(F.col("since") + step, F.col("_to")))
+    return planned.select(*keep, "window_id", "since", until.alias("until"))
 
 
 def scan_partitioned(
@@ -202,26 +197,37 @@ def delta_feed(df: DataFrame, removed: str, key: str, context: list[str] = ()) -
     return df.select(*cols, gone.alias("_deleted"))
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """Line JSON: parsed rows, and a one-row frame with the number of bad lines."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    lines = spark.read.text(path).where(F.trim("value") != "")
-    parsed = lines.select(
-        F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("r")
-    ).select("r.*")
-    good = parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+def parse_jsonl(lines: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
+    """Text lines as typed rows; a line that is not a record keeps its text in ``_corrupt``."""
+    fields = schema.simpleString()[7:-1] if isinstance(schema, T.StructType) else schema
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(F.col(value), f"{fields}, {CORRUPT} string", options)
+    return lines.where(F.trim(value) != "").select(parsed.alias("r")).select("r.*")
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> tuple[DataFrame, DataFrame]:
+    """Line JSON files: the good rows, and a one-row frame with the number of bad lines."""
+    parsed = parse_jsonl(spark.read.text(path), schema)
     bad = parsed.agg(F.count_if(F.col(CORRUPT).isNotNull()).alias("bad_lines"))
-    return good, bad
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), bad
+
+
+def report_names(raw: list[str]) -> list[str]:
+    """Report headers as lower_snake names without a byte order mark."""
+    clean = [re.sub(r"[^a-z0-9]+", "_", n.replace("\ufeff", "").strip().lower()).strip("_") for n in raw]
+    return [n or f"_col{i}" for i, n in enumerate(clean)]
+
+
+def csv_report_columns(df: DataFrame) -> DataFrame:
+    """Text columns of a report under lower_snake names, empty text as null."""
+    out = df.toDF(*report_names(df.columns))
+    return out.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in out.columns])
 
 
 def read_csv_report(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV report as text columns: BOM dropped, header lower_snake, empty text null."""
+    """A CSV report; every column is text."""
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    names = [
-        re.sub(r"[^a-z0-9]+", "_", n.replace("\ufeff", "").strip().lower()).strip("_") or f"_col{i}"
-        for i, n in enumerate(raw.columns)
-    ]
-    return raw.toDF(*names).select(*[F.nullif(F.col(n), F.lit("")).alias(n) for n in names])
+    return csv_report_columns(raw)
 
 
 def unwrap_records(df: DataFrame, raw: str = "raw", key: str | None = None) -> DataFrame:

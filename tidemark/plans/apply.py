@@ -206,7 +206,7 @@ def apply_snapshot(
     if scd == 1:
         return snap
     kind = target.schema[FROM].dataType
-    at = F.lit(version).cast(kind)
+    at = (version if isinstance(version, Column) else F.lit(version)).cast(kind)
     closed = target.where(F.col(TO).isNotNull())
     live = target.where(F.col(TO).isNull())
     moved = snapshot_changes(live.drop(FROM, TO), snap, keys)

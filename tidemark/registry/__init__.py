@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from tidemark.registry import filters, scans  # noqa: F401
+from tidemark.registry.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
