@@ -56,6 +56,8 @@ def compare(df, con, sql: str) -> list[str]:
     at = [names.index(n) for n in order]
     expected = sorted((tuple(_norm(r[i]) for i in at) for r in rel.fetchall()), key=repr)
     got = sorted((tuple(_norm(r[n]) for n in order) for r in df.collect()), key=repr)
+    if not expected:
+        problems.append("the SQL gives no rows")
     if len(got) != len(expected):
         problems.append(f"rows {len(got)} != {len(expected)}")
     if got != expected:

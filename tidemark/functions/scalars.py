@@ -58,8 +58,9 @@ def yyyymmdd(c: Column) -> Column:
 
 def shift_day(c: Column, days: int, floor: str = "1900-01-01") -> Column:
     """ISO date text moved by ``days``, never below ``floor``."""
-    moved = F.date_add(c.try_cast("date"), days)
-    return F.date_format(F.greatest(moved, F.lit(floor).cast("date")), "yyyy-MM-dd")
+    day = c.try_cast("date")
+    moved = F.greatest(F.date_add(day, days), F.lit(floor).cast("date"))
+    return F.date_format(F.when(day.isNotNull(), moved), "yyyy-MM-dd")
 
 
 def parse_ts_any(c: Column) -> Column:
