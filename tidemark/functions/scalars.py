@@ -161,7 +161,7 @@ def decode_binary(c: Column) -> Column:
 
 def csv_list(c: Column) -> Column:
     """Comma text to trimmed, non-empty items."""
-    return F.filter(F.transform(F.split(c, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(c, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def text_list(c: Column) -> Column:

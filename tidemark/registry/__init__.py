@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from tidemark.registry import changes, filters, joins, reshaping, scalars, scans  # noqa: F401
+from tidemark.registry import changes, clinical, filters, joins, reshaping, scalars, scans, series  # noqa: F401
 from tidemark.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

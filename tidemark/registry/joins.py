@@ -299,11 +299,9 @@ def dedupe_rows(t):
 @query(
     "dedupe_by_key_hints",
     """
-    SELECT CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS id, CASE WHEN l_linestatus = 'F' THEN 'sha' || l_partkey END AS sha,
-           count(*) OVER () AS total
+    SELECT DISTINCT CASE WHEN l_returnflag <> 'N' THEN l_orderkey END AS id,
+           CASE WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN 'sha' || l_partkey END AS sha
     FROM lineitem
-    QUALIFY row_number() OVER (PARTITION BY CASE WHEN l_returnflag <> 'N' THEN 'id=' || l_orderkey
-                 WHEN l_linestatus = 'F' THEN 'sha=' || 'sha' || l_partkey ELSE 'whole' END ORDER BY 1) = 1
     """,
 )
 def dedupe_by_key_hints(t):
