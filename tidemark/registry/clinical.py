@@ -69,7 +69,7 @@ def clinical_patient(t):
     """
     SELECT 'o' || event_id AS id, event_type AS code, CASE WHEN event_type <> 'view' THEN value END AS quantity,
            CASE WHEN event_type = 'view' THEN 'text' END AS value_string, CASE WHEN event_type = 'click' THEN user_id END AS value_integer,
-           date_trunc('second', ts) AS effective_datetime, 'Patient/' || user_id AS subject, 1.5 AS low_value, value AS systolic, CAST(0 AS INTEGER) AS n_members
+           date_trunc('second', ts) AS effective_datetime, 'Patient/' || user_id AS subject, CAST(1.5 AS DOUBLE) AS low_value, value AS systolic, CAST(0 AS INTEGER) AS n_members
     FROM events
     """,
 )

@@ -91,11 +91,11 @@ def ts_time_weighted_range(t):
     "ts_calculated",
     f"""
     SELECT event_type AS tag, TIMESTAMP '2024-01-03' + to_hours(CAST(6 * ((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-03')) // 21600000000) AS INTEGER)) AS timestamp,
-           round(avg(value), 4) AS value FROM events WHERE {_IN} GROUP BY 1, 2
+           round(avg(value), 9) AS value FROM events WHERE {_IN} GROUP BY 1, 2
     """,
 )
 def ts_calculated(t):
-    return rounded(Ts.ts_calculated(t.events, *_ARGS, 6 * 3600, "average"))
+    return rounded(Ts.ts_calculated(t.events, *_ARGS, 6 * 3600, "average"), 9)
 
 
 @query(
@@ -116,11 +116,11 @@ def ts_plot(t):
     """
     WITH p AS (SELECT event_type AS tag, epoch_us(ts) AS t, max(value) AS v FROM events GROUP BY 1, 2),
     n AS (SELECT tag, t, v, lead(t) OVER w AS t2, lead(v) OVER w AS v2 FROM p WINDOW w AS (PARTITION BY tag ORDER BY t)),
-    g AS (SELECT tag, at FROM (SELECT DISTINCT tag FROM p),
-          (SELECT epoch_us(unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR))) AS at)),
-    j AS (SELECT g.tag, g.at, n.t, n.v, n.t2, n.v2 FROM g ASOF LEFT JOIN n ON g.tag = n.tag AND g.at >= n.t)
-    SELECT tag, make_timestamp(at) AS timestamp,
-           round(CASE WHEN t = at THEN v WHEN t2 IS NULL THEN NULL ELSE v + (v2 - v) * CAST(at - t AS DOUBLE) / (t2 - t) END, 4) AS value FROM j
+    g AS (SELECT tag, x FROM (SELECT DISTINCT tag FROM p),
+          (SELECT epoch_us(unnest(generate_series(TIMESTAMP '2023-12-31', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR))) AS x)),
+    j AS (SELECT g.tag, g.x, n.t, n.v, n.t2, n.v2 FROM g ASOF LEFT JOIN n ON g.tag = n.tag AND g.x >= n.t)
+    SELECT tag, make_timestamp(x) AS timestamp,
+           round(CASE WHEN t = x THEN v WHEN t2 IS NULL THEN NULL ELSE v + (v2 - v) * CAST(x - t AS DOUBLE) / (t2 - t) END, 4) AS value FROM j
     """,
 )
 def ts_interpolate(t):
