@@ -153,15 +153,21 @@ def schema_drift(df: DataFrame, raw: str, schema: T.StructType) -> DataFrame:
 
 
 def shape_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Columns of two tables side by side: ``same``, ``type_changed``, ``only_a``, ``only_b``."""
+    """Columns of two tables side by side with their filled counts.
+
+    ``status`` is ``same``, ``type_changed``, ``only_a`` or ``only_b``.  Nested
+    fields are told apart by path; counts are for top-level columns.
+    """
     spark = a.sparkSession
-    left = spark.createDataFrame(declared_paths(a.schema), "path string, type_a string")
-    right = spark.createDataFrame(declared_paths(b.schema), "_p string, type_b string")
-    joined = left.join(right, F.col("path") == F.col("_p"), "full_outer")
+
+    def profile(df: DataFrame, mark: str) -> DataFrame:
+        paths = spark.createDataFrame(declared_paths(df.schema), f"path string, type_{mark} string")
+        filled = column_population(df).select(F.col("column_name").alias("path"), F.col("filled").alias(f"filled_{mark}"))
+        return paths.join(filled, "path", "left")
+
+    joined = profile(a, "a").join(profile(b, "b"), "path", "full_outer")
     return joined.select(
-        F.coalesce("path", "_p").alias("path"),
-        "type_a",
-        "type_b",
+        "path", "type_a", "type_b", "filled_a", "filled_b",
         F.when(F.col("type_a").isNull(), "only_b")
         .when(F.col("type_b").isNull(), "only_a")
         .when(F.col("type_a") == F.col("type_b"), "same")

@@ -9,10 +9,19 @@ from pyspark.sql import functions as F
 
 
 def union_all_entities(frames: dict[str, DataFrame], quarantine: DataFrame | None = None, name: str = "entity") -> DataFrame:
-    """Reads of several entities in one frame; entities listed in ``quarantine`` are left out."""
-    tagged = [df.withColumn(name, F.lit(k)) for k, df in frames.items()]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    return out if quarantine is None else out.join(quarantine.select(name).distinct(), name, "left_anti")
+    """Reads of several entities in one frame; entities listed in ``quarantine`` are left out.
+
+    Only names that are among ``frames`` are read back, so a failed entity is
+    not even scanned.
+    """
+    failed: set[str] = set()
+    if quarantine is not None:
+        listed = quarantine.where(F.col(name).isin(*frames)).select(name).distinct()
+        failed = {r[name] for r in listed.limit(len(frames)).collect()}
+    tagged = [df.withColumn(name, F.lit(k)) for k, df in frames.items() if k not in failed]
+    if not tagged:
+        raise ValueError("every entity is in quarantine")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
 def union_changes(main: DataFrame, deletes: DataFrame, flag: str = "_deleted") -> DataFrame:

@@ -258,12 +258,15 @@ def schema_drift(t):
     """
     SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'extra']) AS path,
       unnest(['bigint', 'bigint', 'string', 'double', NULL]) AS type_a, unnest(['bigint', 'string', NULL, 'double', 'int']) AS type_b,
-      unnest(['same', 'type_changed', 'only_a', 'same', 'only_b']) AS status
+      unnest(['same', 'type_changed', 'only_a', 'same', 'only_b']) AS status,
+      unnest([count(*), count(*), count(*), count(*), NULL]) AS filled_a,
+      unnest([count(*), count(*), NULL, count(*) FILTER (o_orderstatus = 'F'), count(*)]) AS filled_b FROM orders
     """,
 )
 def shape_diff(t):
     a = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    b = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"), "o_totalprice", F.lit(1).alias("extra"))
+    price = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
+    b = t.orders.select("o_orderkey", F.col("o_custkey").cast("string").alias("o_custkey"), price.alias("o_totalprice"), F.lit(1).alias("extra"))
     return Q.shape_diff(a, b)
 
 
