@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.plans import apply as A
+from tidemark.plans import blocks as B
 from tidemark.plans.target import Target
 
 T0 = datetime(2024, 1, 1)
@@ -119,7 +120,9 @@ def test_scd2_hot_key(spark):
         F.timestamp_seconds(F.lit(1704067200) + F.col("id")).alias("updated_at"),
         (F.col("id") % 11 == 0).alias("_deleted"),
     )
-    got = A.scd2_state(df, ["order_id"], ["updated_at"], blocks=64)
+    split = B.find_split(df, ["order_id"], "updated_at", blocks=64, hot_rows=500)
+    assert len(split.hot) == 1 and len(split.cuts) == 63
+    got = A.scd2_state(df, ["order_id"], ["updated_at"], split)
     plain = [tuple(r) for r in df.collect()]
     assert history(got) == brute_scd2(plain)
 

@@ -25,19 +25,22 @@ def skewed(spark):
     ).cache()
 
 
-@pytest.mark.parametrize("blocks", [1, 2, 8, 100])
-def test_neighbours(skewed, blocks):
+@pytest.mark.parametrize("blocks,hot_rows", [(1, 100), (2, 100), (8, 0), (100, 30), (8, 5000)])
+def test_neighbours(skewed, blocks, hot_rows):
+    split = B.find_split(skewed, ["tag"], "ts", blocks, hot_rows)
+    assert split.plain == (blocks == 1 or hot_rows > 700)
     got = B.neighbours(
-        skewed, ["tag"], ["ts", "id"], lambda w: {"p": F.lag("id").over(w), "n": F.lead("id").over(w)}, blocks=blocks
+        skewed, ["tag"], ["ts", "id"], lambda w: {"p": F.lag("id").over(w), "n": F.lead("id").over(w)}, split=split
     )
     w = Window.partitionBy("tag").orderBy("ts", "id")
     want = skewed.withColumns({"p": F.lag("id").over(w), "n": F.lead("id").over(w)})
     assert rows(got.select(*want.columns)) == rows(want)
 
 
-@pytest.mark.parametrize("blocks", [1, 4, 64])
-def test_running_position(skewed, blocks):
-    got = B.running_position(skewed, ["ts", "id"], "at", F.col("id"), keys=["tag"], blocks=blocks)
+@pytest.mark.parametrize("blocks,hot_rows", [(4, 5000), (4, 100), (64, 0)])
+def test_running_position(skewed, blocks, hot_rows):
+    split = B.find_split(skewed, ["tag"], "ts", blocks, hot_rows)
+    got = B.running_position(skewed, ["ts", "id"], "at", F.col("id"), keys=["tag"], split=split)
     w = Window.partitionBy("tag").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = skewed.withColumn("at", F.sum("id").over(w))
     assert rows(got.select("id", "at")) == rows(want.select("id", "at"))
@@ -46,7 +49,8 @@ def test_running_position(skewed, blocks):
 def test_no_block_is_larger_than_its_share(skewed):
     cuts = B.order_cuts(skewed, "ts", 16)
     assert len(cuts) == 15
-    sizes = B.add_block(skewed, "ts", cuts).groupBy(B.BLOCK).count().agg(F.max("count")).first()[0]
+    blocked = skewed.withColumn(B.BLOCK, B.block_of(B.as_number(skewed, "ts"), cuts))
+    sizes = blocked.groupBy(B.BLOCK).count().agg(F.max("count")).first()[0]
     assert sizes <= 2000 / 16 * 1.5
 
 
@@ -66,7 +70,9 @@ def test_balanced_bins(spark):
     assert max(r["s"] for r in sizes) <= total / 6 + 400
 
 
-def test_interpolation_against_brute_force(spark, skewed):
+@pytest.mark.parametrize("hot_rows", [100, 10000])
+def test_interpolation_against_brute_force(spark, skewed, monkeypatch, hot_rows):
+    monkeypatch.setattr(B, "HOT_ROWS", hot_rows)
     start, end = datetime(2024, 1, 1), datetime(2024, 1, 1, 1, 30)
     got = Ts.ts_interpolate(skewed, "tag", "ts", "value", start, end, 60)
     points: dict = {}
@@ -102,3 +108,16 @@ def test_probe_without_earlier_point(spark):
     probes = spark.createDataFrame([("t", datetime(2024, 1, d)) for d in (1, 2, 3)], "tag string, ts timestamp")
     got = Ts.values_at(probes, points, "tag", "ts", "value").orderBy("ts").collect()
     assert [r["value"] for r in got] == [None, 5.0, 5.0]
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10000])
+def test_probes_against_brute_force(spark, skewed, monkeypatch, hot_rows):
+    monkeypatch.setattr(B, "HOT_ROWS", hot_rows)
+    once = skewed.groupBy("tag", "ts").agg(F.max("value").alias("value"))
+    probes = once.select("tag", (F.col("ts") + F.expr("INTERVAL 7 SECONDS")).alias("ts"))
+    got = sorted((r["tag"], r["ts"], r["value"]) for r in Ts.values_at(probes, once, "tag", "ts", "value").collect())
+    points = sorted((r["tag"], r["ts"], r["value"]) for r in once.collect())
+    want = []
+    for tag, at in sorted((r["tag"], r["ts"]) for r in probes.collect()):
+        want.append((tag, at, [v for g, x, v in points if g == tag and x <= at][-1]))
+    assert got == want

@@ -312,8 +312,8 @@ def _first(items: Column, key: str, value: str) -> Column:
     return F.get(F.filter(items, lambda x: x[key] == value), F.lit(0))
 
 
-def _uk_patient(raw: Column, columns: dict[str, Column]) -> dict[str, Column]:
-    ext = F.from_json(F.get_json_object(raw, "$.extension"), EXTENSION)
+def _uk_patient(record: Column, columns: dict[str, Column]) -> dict[str, Column]:
+    ext = F.from_json(record["extension"], EXTENSION)
     concept = lambda url: extract(_first(ext, "url", url)["valueCodeableConcept"], CONCEPT)
     death = _first(_first(ext, "url", UK_DEATH)["extension"], "url", "deathNotificationStatus")
     return {
@@ -335,7 +335,7 @@ OVERRIDES: dict[tuple[str, str], Callable[[Column, dict[str, Column]], dict[str,
 
 
 def register_profile(resource: str, profile: str, build: Callable[[Column, dict[str, Column]], dict[str, Column]]) -> None:
-    """Add columns of a profile for one resource type: ``build(raw, base columns) -> columns``."""
+    """Add columns of a profile for one resource type: ``build(record, base columns) -> columns``."""
     OVERRIDES[(resource, profile)] = build
 
 
@@ -348,28 +348,27 @@ def clinical_extract(df: DataFrame, raw: str, resource: str, profile: str = "uk_
 
     A type nobody knows keeps only the common fields.
     """
-    c = F.col(raw)
+    c, shape = F.col(raw), RESOURCES.get(resource, {})
+    read = {"id": "string", "resourceType": "string", "meta": {"lastUpdated": "string"}, "extension": "string", **_read(shape)}
+    record = F.col("_record")
     out: dict[str, Column] = {
-        "id": F.get_json_object(c, "$.id"),
-        "resourceType": F.coalesce(F.get_json_object(c, "$.resourceType"), F.lit(resource)),
-        "lastUpdated": parse_ts_any(F.get_json_object(c, "$.meta.lastUpdated")),
+        "id": record["id"],
+        "resourceType": F.coalesce(record["resourceType"], F.lit(resource)),
+        "lastUpdated": parse_ts_any(record["meta"]["lastUpdated"]),
         "raw_json": c,
-        "extension": F.get_json_object(c, "$.extension"),
+        "extension": record["extension"],
     }
-    shape = RESOURCES.get(resource)
-    rows = df
-    if shape is not None:
-        rows = df.withColumn("_record", F.from_json(c, _ddl(_read(shape))))
-        typed = {}
-        for column, kind in shape.items():
-            path, kind = _resolve(column, kind)
-            typed[column] = extract(_at(F.col("_record"), path), kind)
-        for name in profile_chain(profile):
-            if (resource, name) in OVERRIDES:
-                typed = OVERRIDES[(resource, name)](c, typed)
-                break
-            if name == "base_r4":
-                break
-        out.update(typed)
+    typed = {}
+    for column, kind in shape.items():
+        path, kind = _resolve(column, kind)
+        typed[column] = extract(_at(record, path), kind)
+    for name in profile_chain(profile):
+        if (resource, name) in OVERRIDES:
+            typed = OVERRIDES[(resource, name)](record, typed)
+            break
+        if name == "base_r4":
+            break
+    out.update(typed)
     keep = [k for k in df.columns if k != raw]
+    rows = df.withColumn("_record", F.from_json(c, _ddl(read)))
     return rows.select(*keep, *[v.alias(k) for k, v in out.items()])

@@ -14,22 +14,18 @@ from pyspark.sql import types as T
 from tidemark.functions import scalars as S
 
 ERRORS = "_coerce_errors"
-# Accepted date and timestamp layouts after ISO.
-DATE_LAYOUTS = ("yyyy-M-d", "M/d/yyyy", "d-M-yyyy", "yyyy/M/d")
-TIMESTAMP_LAYOUTS = ("yyyy-M-d H:m:s", "yyyy/M/d H:m:s")
+# Accepted date layouts besides ISO, each with its ISO rewriting.
+DATE_LAYOUTS = (
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$1-$2"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})$", "$1-$2-$3"),
+)
+TIMESTAMP_LAYOUT = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2}) (\d{1,2}:\d{1,2}:\d{1,2})$"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
 _COMPLEX = (T.StructType, T.ArrayType, T.MapType)
 
 
-def to_long(c: Column) -> Column:
-    text = F.trim(c.cast("string"))
-    real = text.try_cast("double").try_cast("bigint")
-    return F.when(F.contains(text, F.lit(".")) | text.rlike("[eE]"), real).otherwise(
-        text.try_cast("bigint")
-    )
-
-
 def _text_to_long(c: Column) -> Column:
     # text without a point must be a plain integer; with a point it is truncated
     text = F.trim(c)
@@ -49,13 +45,17 @@ def to_boolean(c: Column) -> Column:
 
 
 def to_date(c: Column) -> Column:
-    tries = [F.try_to_date(c, layout) for layout in DATE_LAYOUTS]
-    return F.coalesce(*tries, S.parse_ts_any(c).cast("date"))
+    """Known layouts by rewriting to ISO: nothing is parsed by trial and error."""
+    text = c
+    for layout, iso in DATE_LAYOUTS:
+        text = F.regexp_replace(text, layout, iso)
+    day = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), text.try_cast("date"))
+    return F.coalesce(day, S.parse_ts_any(c).cast("date"))
 
 
 def to_timestamp(c: Column) -> Column:
-    tries = [F.try_to_timestamp(c, F.lit(layout)) for layout in TIMESTAMP_LAYOUTS]
-    return F.coalesce(S.parse_ts_any(c), *tries)
+    other = F.when(c.rlike(TIMESTAMP_LAYOUT), F.regexp_replace(c, TIMESTAMP_LAYOUT, "$1-$2-$3 $4").try_cast("timestamp"))
+    return F.coalesce(S.parse_ts_any(c), other)
 
 
 def coerce_scalar(c: Column, source: T.DataType, target: T.DataType) -> Column:

@@ -52,8 +52,8 @@ def odata_date(c: Column) -> Column:
 
 def yyyymmdd(c: Column) -> Column:
     """Eight digits to ISO date text; anything else is null."""
-    day = F.when(c.rlike(r"^\d{8}$"), F.try_to_date(c, "yyyyMMdd"))
-    return F.date_format(day, "yyyy-MM-dd")
+    dashed = F.regexp_replace(c, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
+    return F.when(c.rlike(r"^\d{8}$"), F.date_format(dashed.try_cast("date"), "yyyy-MM-dd"))
 
 
 def shift_day(c: Column, days: int, floor: str = "1900-01-01") -> Column:
@@ -152,11 +152,15 @@ def redact_secret(name: Column, value: Column, placeholder: str = SECRET_PLACEHO
 def decode_binary(c: Column) -> Column:
     """Text to bytes: base64 if its letters form whole groups, else hex, else UTF-8."""
     letters = F.regexp_replace(c, r"[^A-Za-z0-9+/=]", "")
-    groups = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?$"
-    base64 = F.when(letters.rlike(groups), F.unbase64(letters))
+    bare = F.rtrim(letters, F.lit("="))
+    whole = (
+        (F.pmod(F.length(letters), F.lit(4)) == 0)
+        & (F.length(letters) - F.length(bare) <= 2)
+        & ~F.contains(bare, F.lit("="))
+    )
     packed = F.regexp_replace(c, r"\s", "")
-    hexed = F.when(packed.rlike(r"^([0-9A-Fa-f]{2})+$"), F.unhex(packed))
-    return F.coalesce(base64, hexed, F.encode(c, "UTF-8"))
+    hexed = F.when((F.length(packed) > 0) & (F.pmod(F.length(packed), F.lit(2)) == 0), F.unhex(packed))
+    return F.when(whole, F.unbase64(letters)).otherwise(F.coalesce(hexed, F.encode(c, "UTF-8")))
 
 
 def csv_list(c: Column) -> Column:

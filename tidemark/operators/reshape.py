@@ -67,12 +67,33 @@ def flatten_envelope(
     ``|`` are tried in order.  ``by_kind`` adds columns that are filled only
     where the kind contains the given text.
     """
-    kind = F.get_json_object(F.col(raw), f"$.{kind_path}")
+    by_kind = by_kind or {}
+    specs = [*fields.values(), *[spec for extra in by_kind.values() for spec in extra.values()]]
+    paths = {kind_path, *[p for spec in specs for p in spec[0].split("|")]}
+    tree: dict = {}
+    for path in sorted(paths):
+        at = tree
+        for step in path.split("."):
+            at = at.setdefault(step, {})
+
+    def ddl(node: dict) -> str:
+        return "struct<" + ",".join(f"`{k}`:{ddl(v) if v else 'string'}" for k, v in node.items()) + ">"
+
+    def found(path: str) -> Column:
+        # an object asked for as a whole and in parts is read a second time
+        if any(p.startswith(f"{path}.") for p in paths):
+            return F.get_json_object(F.col(raw), f"$.{path}")
+        value = F.col("_doc")
+        for step in path.split("."):
+            value = value[step]
+        return value
+
+    kind = found(kind_path)
 
     def build(spec: tuple[str, str]) -> Column:
-        paths, how = spec
-        found = [F.get_json_object(F.col(raw), f"$.{p}") for p in paths.split("|")]
-        value = F.coalesce(*[F.nullif(v, F.lit("")) for v in found]) if len(found) > 1 else found[0]
+        options = [found(p) for p in spec[0].split("|")]
+        how = spec[1]
+        value = F.coalesce(*[F.nullif(v, F.lit("")) for v in options]) if len(options) > 1 else options[0]
         if how == "long":
             return S.try_long(value)
         if how == "double":
@@ -85,9 +106,9 @@ def flatten_envelope(
 
     out = [F.col(c) for c in df.columns if c != raw]
     out += [build(spec).alias(name) for name, spec in fields.items()]
-    for mark, extra in (by_kind or {}).items():
+    for mark, extra in by_kind.items():
         out += [F.when(F.contains(kind, F.lit(mark)), build(spec)).alias(n) for n, spec in extra.items()]
-    return df.select(*out)
+    return df.withColumn("_doc", F.from_json(F.col(raw), ddl(tree))).select(*out)
 
 
 def rename_map(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -303,14 +324,12 @@ def tag_extract(df: DataFrame, raw: str, tag_map: dict[str, tuple[str, str]]) ->
     ``long``, ``double`` or ``name``.  A bad number or missing value is null.
     """
 
-    def first(tag: str) -> Column:
-        return F.coalesce(
-            F.get_json_object(raw, f"$.{tag.upper()}.Value"), F.get_json_object(raw, f"$.{tag.lower()}.Value")
-        )
-
+    # one parse per record: only the tags' values, whatever the letter case of the tag
+    keyed = df.withColumn("_tags", F.from_json(F.col(raw), "map<string,struct<Value:array<string>>>"))
     out = [F.col(c) for c in df.columns if c != raw]
     for tag, (name, form) in tag_map.items():
-        values = F.from_json(first(tag), "array<string>")
+        spellings = [F.try_element_at("_tags", F.lit(w)) for w in dict.fromkeys((tag.upper(), tag.lower()))]
+        values = F.coalesce(*spellings)["Value"]
         one = F.get(values, F.lit(0))
         if form == "list":
             col = F.when(F.size(values) > 0, values)
@@ -324,7 +343,7 @@ def tag_extract(df: DataFrame, raw: str, tag_map: dict[str, tuple[str, str]]) ->
         else:
             col = one
         out.append(col.alias(name))
-    return df.select(*out)
+    return keyed.select(*out)
 
 
 STREAM_SET = (

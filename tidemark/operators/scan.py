@@ -236,25 +236,27 @@ def unwrap_records(df: DataFrame, raw: str = "raw", key: str | None = None) -> D
     The array is the body itself, the named key, a known key, or else the
     longest top-level array that holds only objects.
     """
-    body = F.try_parse_json(F.col(raw))
+    keep = [c for c in df.columns if c != raw]
+    body = df.select(*keep, F.try_parse_json(F.col(raw)).alias("_body"))
+    as_list = lambda v: F.try_variant_get(v, "$", "array<variant>")
     if key:
-        arrays = F.try_variant_get(body, f"$.{key}", "array<variant>")
+        rows = body.select(*keep, F.try_variant_get("_body", f"$.{key}", "array<variant>").alias("_records"))
     else:
-        members = F.map_values(F.try_variant_get(body, "$", "map<string,variant>"))
-        lists = F.transform(members, lambda v: F.try_variant_get(v, "$", "array<variant>"))
+        opened = body.select(
+            *keep, as_list(F.col("_body")).alias("_whole"), F.try_variant_get("_body", "$", "map<string,variant>").alias("_map")
+        )
         is_object = lambda x: F.schema_of_variant(x).startswith("OBJECT")
+        lists = F.transform(F.map_values("_map"), as_list)
         usable = F.filter(lists, lambda a: a.isNotNull() & (F.size(a) > 0) & F.forall(a, is_object))
         longest = F.reduce(
             usable,
             F.lit(None).cast("array<variant>"),
             lambda best, a: F.when(best.isNull() | (F.size(a) > F.size(best)), a).otherwise(best),
         )
-        hinted = [F.try_variant_get(body, f"$.{h}", "array<variant>") for h in ENVELOPE_HINTS]
-        arrays = F.coalesce(F.try_variant_get(body, "$", "array<variant>"), *hinted, longest)
-    rows = df.select(*[c for c in df.columns if c != raw], arrays.alias("_records"))
-    return (
-        rows.select(*[c for c in rows.columns if c != "_records"], F.explode("_records").alias("record"))
-        .where(F.schema_of_variant("record").startswith("OBJECT"))
+        hinted = [as_list(F.try_element_at("_map", F.lit(h))) for h in ENVELOPE_HINTS]
+        rows = opened.select(*keep, F.coalesce("_whole", *hinted, longest).alias("_records"))
+    return rows.select(*keep, F.explode("_records").alias("record")).where(
+        F.schema_of_variant("record").startswith("OBJECT")
     )
 
 

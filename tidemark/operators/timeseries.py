@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans import blocks as B
@@ -80,10 +80,11 @@ def ts_summary(
     return _wide_to_long(timed, ["tag", "timestamp"], types)
 
 
-def segments(points: DataFrame, low: Column, high: Column, cuts=None) -> DataFrame:
+def segments(points: DataFrame, low: Column, high: Column) -> DataFrame:
     """Stretches ``[t, until)`` on which a tag holds one value, clipped to the range."""
     single = points.groupBy("tag", "t").agg(F.max("v").alias("v"))
-    ahead = B.neighbours(single, ["tag"], ["t"], lambda w: {"until": F.lead("t").over(w)}, before=False, cuts=cuts)
+    split = B.find_split(points, ["tag"], "t")
+    ahead = B.neighbours(single, ["tag"], ["t"], lambda w: {"until": F.lead("t").over(w)}, before=False, split=split)
     clipped = ahead.select(
         "tag", F.greatest("t", low).alias("t"), F.least(F.coalesce("until", high), high).alias("until"), "v"
     )
@@ -199,9 +200,11 @@ def ts_interpolate(
     """
     like = df.schema[ts].dataType
     low, high, step = _instant(start), _instant(end), interval_seconds * _SECOND
-    points = usable(df, tag, ts, value, good).groupBy("tag", "t").agg(F.max("v").alias("v"))
+    raw = usable(df, tag, ts, value, good)
+    split = B.find_split(raw, ["tag"], "t")
+    points = raw.groupBy("tag", "t").agg(F.max("v").alias("v"))
     ahead = B.neighbours(
-        points, ["tag"], ["t"], lambda w: {"t2": F.lead("t").over(w), "v2": F.lead("v").over(w)}, before=False
+        points, ["tag"], ["t"], lambda w: {"t2": F.lead("t").over(w), "v2": F.lead("v").over(w)}, before=False, split=split
     )
     last_step = F.floor((high - low) / step).cast("long")
 
@@ -259,19 +262,20 @@ def values_at(probes: DataFrame, points: DataFrame, tag: str, ts: str, value: st
     both = points.select(F.col(tag), F.col(ts), F.col(value).alias("_v"), F.lit(0).alias("_probe")).unionByName(
         probes.select(F.col(tag), F.col(ts).cast(kind).alias(ts), F.lit(None).alias("_v"), F.lit(1).alias("_probe"))
     )
-    from pyspark.sql import Window
-
-    cuts = B.order_cuts(both, ts)
-    blocked = B.add_block(both, ts, cuts)
+    split = B.find_split(both, [tag], ts)
+    blocked = split.add(both)
     hit = F.struct("_v")
-    ends = blocked.where(F.col("_probe") == 0).groupBy(tag, B.BLOCK).agg(F.max_by(hit, F.col(ts)).alias("_end"))
-    present = blocked.select(tag, B.BLOCK).distinct().join(ends, [tag, B.BLOCK], "left")
-    back = Window.partitionBy(tag).orderBy(B.BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = present.select(tag, B.BLOCK, F.last("_end", ignorenulls=True).over(back).alias("_carry"))
     inside = Window.partitionBy(tag, B.BLOCK).orderBy(ts, "_probe").rowsBetween(Window.unboundedPreceding, 0)
     seen = blocked.withColumn("_seen", F.last(F.when(F.col("_probe") == 0, hit), ignorenulls=True).over(inside))
-    return (
-        seen.where(F.col("_probe") == 1)
-        .join(carry, [tag, B.BLOCK])
-        .select(tag, ts, F.coalesce("_seen", "_carry")["_v"].alias(value))
+    answers = seen.where(F.col("_probe") == 1)
+    if split.plain:
+        return answers.select(tag, ts, F.col("_seen._v").alias(value))
+    # last value of each block of a hot tag, handed on over blocks without points
+    ends = blocked.where(split.is_hot()).groupBy(tag, B.BLOCK).agg(
+        F.max_by(F.when(F.col("_probe") == 0, hit), F.when(F.col("_probe") == 0, F.col(ts))).alias("_end")
+    )
+    back = Window.partitionBy(tag).orderBy(B.BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    carry = ends.select(tag, B.BLOCK, F.last("_end", ignorenulls=True).over(back).alias("_carry"))
+    return answers.join(carry, [tag, B.BLOCK], "left").select(
+        tag, ts, F.coalesce("_seen", "_carry")["_v"].alias(value)
     )

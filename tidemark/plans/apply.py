@@ -101,7 +101,7 @@ def current_rows(state: DataFrame) -> DataFrame:
     return state.where(~F.col(DELETED)).drop(DELETED)
 
 
-def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], blocks: int | None = None) -> DataFrame:
+def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], split: B.Split | None = None) -> DataFrame:
     """Version rows of ``rows``: validity, unchanged rows and tombstones flagged.
 
     A row whose payload equals the row before it opens no version; it is kept
@@ -117,7 +117,8 @@ def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], blocks:
         .select(*keys, *seq, "_r.*")
         .withColumn("_hash", payload_hash(rows, payload))
     )
-    cuts = B.order_cuts(single, seq[0], blocks)
+    # measured on the raw rows: a scan of key and sequence, not a run of the plan above
+    split = split or B.find_split(rows, keys, seq[0])
 
     def look_back(w):
         before, gone = F.lag("_hash").over(w), F.lag(DELETED).over(w)
@@ -125,9 +126,9 @@ def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], blocks:
         same = F.coalesce((before == F.col("_hash")) & ~gone & ~F.col(DELETED), F.lit(False))
         return {UNCHANGED: same | both_gone}
 
-    flagged = B.neighbours(single, keys, seq, look_back, after=False, cuts=cuts)
+    flagged = B.neighbours(single, keys, seq, look_back, after=False, split=split)
     opened = flagged.where(~F.col(UNCHANGED))
-    ahead = B.neighbours(opened, keys, seq, lambda w: {TO: F.lead(seq[0]).over(w)}, before=False, cuts=cuts)
+    ahead = B.neighbours(opened, keys, seq, lambda w: {TO: F.lead(seq[0]).over(w)}, before=False, split=split)
     kind = single.schema[seq[0]].dataType
     silent = flagged.where(F.col(UNCHANGED)).withColumn(TO, F.lit(None).cast(kind))
     return ahead.unionByName(silent).withColumn(FROM, F.col(seq[0])).drop("_hash")
@@ -139,21 +140,21 @@ def history_rows(state: DataFrame) -> DataFrame:
 
 
 def apply_changes_scd2(
-    state: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Sequence[str], blocks: int | None = None
+    state: DataFrame, changes: DataFrame, keys: Sequence[str], seq: Sequence[str], split: B.Split | None = None
 ) -> DataFrame:
     """Next type 2 state: only keys that occur in the batch are worked out again."""
     changes = as_changes(changes)
     touched = changes.select(*keys).distinct()
     base = [c for c in state.columns if c not in (FROM, TO, UNCHANGED)]
     affected = state.join(touched, list(keys), "left_semi").select(*base)
-    redone = scd2_state(affected.unionByName(changes, allowMissingColumns=True), keys, seq, blocks)
+    redone = scd2_state(affected.unionByName(changes, allowMissingColumns=True), keys, seq, split)
     return state.join(touched, list(keys), "left_anti").unionByName(redone)
 
 
-def scd2_intervals(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], blocks: int | None = None) -> DataFrame:
+def scd2_intervals(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], split: B.Split | None = None) -> DataFrame:
     """Start and end of validity of every change row, in order within its key."""
     return B.neighbours(
-        changes, keys, seq, lambda w: {FROM: F.col(seq[0]), TO: F.lead(seq[0]).over(w)}, before=False, blocks=blocks
+        changes, keys, seq, lambda w: {FROM: F.col(seq[0]), TO: F.lead(seq[0]).over(w)}, before=False, split=split
     )
 
 

@@ -1,11 +1,12 @@
 """Ordered work on keys of any size.
 
 A window ``partitionBy(key).orderBy(seq)`` puts a whole key into one task, so
-one key holding a third of the rows stops the job.  Here the order column is
-cut at its quantiles first, and windows run per ``(key, block)``: no group is
-larger than one block of the whole table, whatever the key distribution.  The
-rows next to a block border are carried over as extra *edge* rows, found by a
-map-side combined aggregation.
+one key holding a third of the rows stops the job.  The rows per key are
+counted first (only the key columns are read, with map-side combine).  Without
+a hot key a plain window runs.  Hot keys are cut along quantiles of their
+order column and their windows run per ``(key, block)``; the rows next to a
+block border are carried over as extra *edge* rows, found by an aggregation
+over the hot rows alone.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 BLOCK = "_block"
 EDGE = "_edge"
 _MAX_CUTS = 4095
+# rows of one key that a single task sorts without trouble
+HOT_ROWS = 1000000
 
 
 def as_number(df: DataFrame, name: str) -> Column:
@@ -69,31 +72,65 @@ def block_of(value: Column, cuts: Sequence) -> Column:
     )
 
 
-def add_block(df: DataFrame, order: str, cuts: Sequence) -> DataFrame:
-    number = as_number(df, order)
-    return df.withColumn(BLOCK, F.coalesce(block_of(number, cuts), F.lit(0)))
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None = None) -> list[int]:
+    """Hashes of the keys with more than ``hot_rows`` rows, the largest 4096 at most.
+
+    Only these few numbers come to the driver.  A key beyond that rank holds
+    less than a 4096th of the table.
+    """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    counts = df.groupBy(key_hash(keys).alias("k")).agg(F.count("*").alias("n")).where(F.col("n") > hot_rows)
+    return [r["k"] for r in counts.orderBy(F.desc("n")).limit(_MAX_CUTS + 1).collect()]
+
+
+class Split:
+    """Which keys are hot and where their order column is cut."""
+
+    def __init__(self, keys: Sequence[str], order: str, hot: Sequence[int], cuts: Sequence) -> None:
+        self.keys, self.order, self.hot, self.cuts = list(keys), order, list(hot), list(cuts)
+
+    @property
+    def plain(self) -> bool:
+        return not self.hot or not self.cuts
+
+    def is_hot(self) -> Column:
+        return key_hash(self.keys).isin(self.hot)
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """The block number; 0 for every key that is not hot."""
+        if self.plain:
+            return df.withColumn(BLOCK, F.lit(0))
+        spot = F.coalesce(block_of(as_number(df, self.order), self.cuts), F.lit(0))
+        return df.withColumn(BLOCK, F.when(self.is_hot(), spot).otherwise(F.lit(0)))
+
+
+def find_split(
+    df: DataFrame, keys: Sequence[str], order: str, blocks: int | None = None, hot_rows: int | None = None
+) -> Split:
+    """Measure ``df`` and decide how its keys are split."""
+    hot = hot_keys(df, keys, hot_rows)
+    if not hot:
+        return Split(keys, order, [], [])
+    return Split(keys, order, hot, order_cuts(df.where(key_hash(keys).isin(hot)), order, blocks))
 
 
 def with_edges(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    cuts: Sequence,
-    before: bool = True,
-    after: bool = True,
+    df: DataFrame, order: Sequence[str], split: Split, before: bool = True, after: bool = True
 ) -> DataFrame:
-    """Rows plus, per ``(key, block)``, the last row before and the first row after it."""
-    cols = df.columns
-    blocked = add_block(df, order[0], cuts)
-    if not cuts:
-        return blocked.withColumn(EDGE, F.lit(False))
-    whole = F.struct(*cols)
-    rank = F.struct(*order)
-    ends = blocked.groupBy(*keys, BLOCK).agg(
+    """Rows plus, per hot ``(key, block)``, the last row before and the first row after it."""
+    keys = split.keys
+    out = split.add(df).withColumn(EDGE, F.lit(False))
+    if split.plain:
+        return out
+    whole, rank = F.struct(*df.columns), F.struct(*order)
+    ends = split.add(df.where(split.is_hot())).groupBy(*keys, BLOCK).agg(
         F.max_by(whole, rank).alias("last_row"), F.min_by(whole, rank).alias("first_row")
     )
     over = Window.partitionBy(*keys).orderBy(BLOCK)
-    out = blocked.withColumn(EDGE, F.lit(False))
     carried = []
     if before:
         carried.append(F.lag("last_row").over(over))
@@ -115,18 +152,18 @@ def neighbours(
     build: Callable[[WindowSpec], dict[str, Column]],
     before: bool = True,
     after: bool = True,
-    blocks: int | None = None,
-    cuts: Sequence | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Add columns that look one row back or ahead within a key.
 
     ``build`` gets the window and returns ``{name: column}``; only offsets of
     one row are valid.  ``order`` must be unique within a key.
     """
-    if cuts is None:
-        cuts = order_cuts(df, order[0], blocks)
-    edged = with_edges(df, keys, order, cuts, before, after)
+    split = split or find_split(df, keys, order[0])
+    if split.plain:
+        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     over = Window.partitionBy(*keys, BLOCK).orderBy(*order)
+    edged = with_edges(df, order, split, before, after)
     return edged.withColumns(build(over)).where(~F.col(EDGE)).drop(BLOCK, EDGE)
 
 
@@ -137,34 +174,37 @@ def running_position(
     weight: Column | None = None,
     keys: Sequence[str] = (),
     blocks: int | None = None,
-    cuts: Sequence | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Running total of ``weight`` (default: row number from 1) in a total order.
 
-    The totals per block form a table of at most one row per ``(key, block)``;
-    only that table is summed serially, the rows themselves stay spread out.
+    Without keys, and for hot keys, the rows are cut into blocks.  The totals
+    per block form a table of at most one row per ``(key, block)``; only that
+    table is summed serially, the rows themselves stay spread out.
     """
-    weight = F.lit(1) if weight is None else weight
-    if cuts is None:
-        cuts = order_cuts(df, order[0], blocks)
-    blocked = add_block(df, order[0], cuts).withColumn("_weight", weight)
-    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order)
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if not cuts and keys:
-        return blocked.withColumn(name, F.sum("_weight").over(inside)).drop(BLOCK, "_weight")
+    weighted = df.withColumn("_weight", F.lit(1) if weight is None else weight)
+    upto = Window.unboundedPreceding, Window.currentRow
+    if keys:
+        split = split or find_split(df, keys, order[0], blocks)
+        if split.plain:
+            over = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+            return weighted.withColumn(name, F.sum("_weight").over(over)).drop("_weight")
+        blocked = split.add(weighted)
+    else:
+        spot = block_of(as_number(df, order[0]), order_cuts(df, order[0], blocks))
+        blocked = weighted.withColumn(BLOCK, F.coalesce(spot, F.lit(0)))
+    inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(*upto)
     totals = blocked.groupBy(*keys, BLOCK).agg(F.sum("_weight").alias("_total"))
-    ahead = Window.partitionBy(*keys).orderBy(BLOCK)
-    ahead = ahead.rowsBetween(Window.unboundedPreceding, -1)
-    base = totals.withColumn("_base", F.coalesce(F.sum("_total").over(ahead), F.lit(0)))
-    # null-safe renames keep null keys in the join
-    pairs = [(k, f"_base_{k}") for k in keys]
-    base = base.select(F.col(BLOCK).alias("_base_block"), "_base", *[F.col(k).alias(b) for k, b in pairs])
-    cond = F.col(BLOCK) == F.col("_base_block")
-    for k, b in pairs:
-        cond = cond & F.col(k).eqNullSafe(F.col(b))
-    summed = blocked.withColumn("_inside", F.sum("_weight").over(inside))
-    return (
-        summed.join(base, cond)
-        .withColumn(name, F.col("_base") + F.col("_inside"))
-        .drop(BLOCK, "_weight", "_inside", "_base", "_base_block", *[b for _, b in pairs])
+    ahead = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.select(
+        F.col(BLOCK).alias("_base_block"),
+        *[F.col(k).alias(f"_base_{k}") for k in keys],
+        F.coalesce(F.sum("_total").over(ahead), F.lit(0)).alias("_base"),
+    )
+    match = F.col(BLOCK) == F.col("_base_block")
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_base_{k}"))
+    summed = blocked.withColumn("_inside", F.sum("_weight").over(inside)).join(base, match)
+    return summed.withColumn(name, F.col("_base") + F.col("_inside")).drop(
+        BLOCK, "_weight", "_inside", "_base", "_base_block", *[f"_base_{k}" for k in keys]
     )
