@@ -90,27 +90,28 @@ def coerce_value(c: Column, source: T.DataType, target: T.DataType) -> Column:
         return coerce_scalar(c, source, target)
     text = T.StringType()
     if isinstance(target, T.StructType):
-        if isinstance(source, T.StructType):
-            raw, kinds = c, {f.name: f.dataType for f in source}
-        else:
-            raw = F.from_json(c, T.StructType([T.StructField(f.name, text) for f in target]))
-            kinds = {f.name: text for f in target}
-        fields = [
-            (coerce_value(raw[f.name], kinds[f.name], f.dataType) if f.name in kinds else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in target
-        ]
-        missing = F.lit(False)
-        for f in target:
-            if not f.nullable:
-                missing = missing | (raw[f.name].isNull() if f.name in kinds else F.lit(True))
-        # an empty object carries no record, and a required field must be there
-        empty = F.lit(True)
-        for f in target:
-            if f.name in kinds:
-                empty = empty & raw[f.name].isNull()
-        if not isinstance(source, T.StructType):
-            empty = F.regexp_replace(c, r"\s", "") == "{}"
-        return F.when(raw.isNotNull() & ~missing & ~empty, F.struct(*fields))
+        parsed = isinstance(source, T.StructType)
+        kinds = {f.name: f.dataType for f in source} if parsed else {f.name: text for f in target}
+
+        def build(raw: Column) -> Column:
+            fields, missing, empty = [], F.lit(False), F.lit(True)
+            for f in target:
+                known = f.name in kinds
+                value = coerce_value(raw[f.name], kinds[f.name], f.dataType) if known else F.lit(None).cast(f.dataType)
+                fields.append(value.alias(f.name))
+                if not f.nullable:
+                    missing = missing | (raw[f.name].isNull() if known else F.lit(True))
+                if known:
+                    empty = empty & raw[f.name].isNull()
+            # a required field must be there, and a struct without values is no record
+            return F.when(raw.isNotNull() & ~missing & (~empty if parsed else F.lit(True)), F.struct(*fields))
+
+        if parsed:
+            return build(c)
+        opened = F.from_json(c, T.StructType([T.StructField(f.name, text) for f in target]))
+        # bound once as a lambda variable, so the text is parsed once for all fields
+        once = F.get(F.transform(F.array(opened), build), F.lit(0))
+        return F.when(~c.rlike(r"^\s*\{\s*\}\s*$"), once)
     if isinstance(target, T.ArrayType):
         if isinstance(source, T.ArrayType):
             return F.transform(c, lambda x: coerce_value(x, source.elementType, target.elementType))
@@ -147,26 +148,33 @@ def coerce(df: DataFrame, schema: T.StructType, mode: str = "permissive") -> Dat
     if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode {mode!r}")
     have = {f.name: f.dataType for f in df.schema}
-    out, bad = [], []
+    values, given = [], []
     for field in schema:
-        if field.name not in have:
-            if not field.nullable:
-                raise ValueError(f"required column {field.name} is missing")
-            out.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        raw = F.col(field.name)
-        value = coerce_value(raw, have[field.name], field.dataType)
-        failed = raw.isNotNull() & value.isNull()
-        if not field.nullable:
-            failed = failed | raw.isNull()
-        if mode == "strict":
-            message = F.concat(F.lit(f"{field.name}: cannot convert "), F.coalesce(raw.cast("string"), F.lit("null")))
-            value = F.when(failed, F.raise_error(message).cast(field.dataType)).otherwise(value)
-        out.append(value.alias(field.name))
-        bad.append(F.when(failed, F.lit(field.name)))
+        if field.name in have:
+            values.append(coerce_value(F.col(field.name), have[field.name], field.dataType).alias(field.name))
+            given.append(F.col(field.name).isNotNull().alias(f"_given_{field.name}"))
+        elif field.nullable:
+            values.append(F.lit(None).cast(field.dataType).alias(field.name))
+        else:
+            raise ValueError(f"required column {field.name} is missing")
+    typed = df.select(*values, *given)
+    names = [f for f in schema if f.name in have]
+    failed = {}
+    for f in names:
+        value, had = F.col(f.name), F.col(f"_given_{f.name}")
+        failed[f.name] = value.isNull() & had if f.nullable else value.isNull()
     if mode == "permissive":
-        out.append(F.array_compact(F.array(*bad)).alias(ERRORS) if bad else F.array().cast("array<string>").alias(ERRORS))
-    return df.select(*out)
+        bad = [F.when(failed[f.name], F.lit(f.name)) for f in names]
+        errors = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>")
+        return typed.select(*[F.col(f.name) for f in schema], errors.alias(ERRORS))
+    out = []
+    for f in schema:
+        value = F.col(f.name)
+        if f.name in failed:
+            problem = F.raise_error(F.lit(f"{f.name}: value does not fit {f.dataType.simpleString()}"))
+            value = F.when(failed[f.name], problem.cast(f.dataType)).otherwise(value)
+        out.append(value.alias(f.name))
+    return typed.select(*out)
 
 
 # Source type names and the Spark type each stands for.

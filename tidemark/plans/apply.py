@@ -111,14 +111,17 @@ def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], split:
     rows = as_changes(rows.select(*cols))
     payload = [c for c in _payload(rows, keys) if c not in seq]
     rest = [c for c in rows.columns if c not in (*keys, *seq)]
+    # measured on the raw rows: a scan of key and sequence, not a run of the plan above
+    split = split or B.find_split(rows, keys, seq[0])
+    if split.plain:
+        # one shuffle by key serves the grouping by key and sequence and the windows
+        rows = rows.repartition(*keys)
     single = (
         rows.groupBy(*keys, *seq)
         .agg(F.max_by(F.struct(*rest), F.struct(DELETED, payload_hash(rows, _payload(rows, keys)).alias("_tie"))).alias("_r"))
         .select(*keys, *seq, "_r.*")
         .withColumn("_hash", payload_hash(rows, payload))
     )
-    # measured on the raw rows: a scan of key and sequence, not a run of the plan above
-    split = split or B.find_split(rows, keys, seq[0])
 
     def look_back(w):
         before, gone = F.lag("_hash").over(w), F.lag(DELETED).over(w)
@@ -127,11 +130,19 @@ def scd2_state(rows: DataFrame, keys: Sequence[str], seq: Sequence[str], split:
         return {UNCHANGED: same | both_gone}
 
     flagged = B.neighbours(single, keys, seq, look_back, after=False, split=split)
-    opened = flagged.where(~F.col(UNCHANGED))
-    ahead = B.neighbours(opened, keys, seq, lambda w: {TO: F.lead(seq[0]).over(w)}, before=False, split=split)
-    kind = single.schema[seq[0]].dataType
-    silent = flagged.where(F.col(UNCHANGED)).withColumn(TO, F.lit(None).cast(kind))
-    return ahead.unionByName(silent).withColumn(FROM, F.col(seq[0])).drop("_hash")
+    if split.plain:
+        # same keys and order as the window before, so no further shuffle or sort
+        by, order = ", ".join(f"`{k}`" for k in keys), ", ".join(f"`{s}`" for s in seq)
+        ahead = F.expr(f"lead(_opens) IGNORE NULLS OVER (PARTITION BY {by} ORDER BY {order})")
+        opens = F.when(~F.col(UNCHANGED), F.col(seq[0]))
+        state = flagged.withColumn("_opens", opens).withColumn(TO, ahead)
+        state = state.withColumn(TO, F.when(~F.col(UNCHANGED), F.col(TO))).drop("_opens")
+    else:
+        opened = flagged.where(~F.col(UNCHANGED))
+        ahead = B.neighbours(opened, keys, seq, lambda w: {TO: F.lead(seq[0]).over(w)}, before=False, split=split)
+        silent = flagged.where(F.col(UNCHANGED)).withColumn(TO, F.lit(None).cast(single.schema[seq[0]].dataType))
+        state = ahead.unionByName(silent)
+    return state.withColumn(FROM, F.col(seq[0])).drop("_hash")
 
 
 def history_rows(state: DataFrame) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import configure
+from tidemark.session import checkpoint_dir, configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +39,18 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder for one run under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+
+
+def generation(df: DataFrame) -> DataFrame:
+    """A target generation: written once, then read like any table."""
+    path = f"{scratch(df.sparkSession)}/gen"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name`` with its SQL."""
 

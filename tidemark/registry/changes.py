@@ -11,7 +11,7 @@ from tidemark.operators import incremental as I
 from tidemark.operators import scan as S
 from tidemark.operators.reshape import with_context
 from tidemark.plans import apply as A
-from tidemark.registry.base import query
+from tidemark.registry.base import generation, query
 
 # An older generation (dates before 1999) and a batch of newer and late rows.
 _OLD = "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'"
@@ -33,7 +33,7 @@ def new_rows(t):
 
 
 def old_state(t):
-    return A.winners(A.as_changes(old_rows(t)), ["o_custkey"], _SEQ_COLS)
+    return generation(A.winners(A.as_changes(old_rows(t)), ["o_custkey"], _SEQ_COLS))
 
 
 @query(
@@ -107,7 +107,7 @@ def scd2_apply(t):
     all_rows = versions(t)
     first = all_rows.where("o_orderdate >= TIMESTAMP_NTZ '1996-01-01' AND o_orderdate < TIMESTAMP_NTZ '1999-01-01'")
     batch = all_rows.where("o_orderdate < TIMESTAMP_NTZ '1997-01-01' OR o_orderdate >= TIMESTAMP_NTZ '1998-06-01'")
-    state = A.scd2_state(first, ["o_custkey"], ["o_orderdate"])
+    state = generation(A.scd2_state(first, ["o_custkey"], ["o_orderdate"]))
     return A.history_rows(A.apply_changes_scd2(state, batch, ["o_custkey"], ["o_orderdate"]))
 
 
@@ -172,8 +172,8 @@ def apply_deletes(t):
 )
 def apply_deletes_scd2(t):
     key, seq = ["o_orderkey"], ["o_orderdate"]
-    state = A.scd2_state(t.orders.select("o_orderkey", "o_totalprice", "o_orderdate"), key, seq)
-    state = A.apply_deletes(state, tombstones(t), key, seq, scd=2)
+    state = generation(A.scd2_state(t.orders.select("o_orderkey", "o_totalprice", "o_orderdate"), key, seq))
+    state = generation(A.apply_deletes(state, tombstones(t), key, seq, scd=2))
     return A.history_rows(A.apply_changes_scd2(state, late(t).unionByName(returned(t)), key, seq))
 
 

@@ -2,24 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from tidemark.operators import scan as S
 from tidemark.plans import apply as A
 from tidemark.plans import ingest as In
 from tidemark.plans.target import AppendTarget, Target, create_target, sink_append
-from tidemark.registry.base import query
-from tidemark.session import checkpoint_dir
+from tidemark.registry.base import query, scratch
 from tidemark.streaming import runs
 
 
-def scratch(t) -> str:
-    """A fresh folder for one run under the shared checkpoint folder."""
-    return f"{checkpoint_dir(t.spark).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
-
-
 def landing(t, name: str, max_files: int | None = None):
     """A given table as a landing stream."""
     schema = t.spark.read.parquet(f"{t.folder}/{name}.parquet").schema
@@ -38,7 +30,7 @@ _SEQ = ["o_orderdate", "o_orderkey"]
 @query("stream_upsert", _NEWEST)
 def stream_upsert(t):
     """Drain orders into a type 1 target; a second run finds nothing new."""
-    place = scratch(t)
+    place = scratch(t.spark)
     target = create_target(t.spark, f"{place}/target", t.orders.select(*_COLS).schema, ["o_custkey"])
     step = runs.upsert_flow(target, ["o_custkey"], _SEQ)
     for _ in range(2):
@@ -57,7 +49,7 @@ def stream_upsert(t):
     """,
 )
 def stream_scd2(t):
-    place = scratch(t)
+    place = scratch(t.spark)
     target = Target(t.spark, f"{place}/target")
     step = runs.upsert_flow(target, ["o_custkey"], ["o_orderkey"], scd=2)
     cols = ["o_custkey", "o_orderkey", "o_orderstatus"]
@@ -73,7 +65,7 @@ def stream_scd2(t):
 )
 def stream_deletes(t):
     """Upsert and delete flows with their own checkpoints into one target."""
-    place = scratch(t)
+    place = scratch(t.spark)
     target = Target(t.spark, f"{place}/target")
     key, seq = ["o_orderkey"], ["o_orderdate"]
     cols = ["o_orderkey", "o_orderdate", "o_totalprice"]
@@ -88,7 +80,7 @@ def stream_deletes(t):
 
 @query("stream_append", "SELECT event_id, ts, value FROM events")
 def stream_append(t):
-    place = scratch(t)
+    place = scratch(t.spark)
     target = AppendTarget(t.spark, f"{place}/data")
     for _ in range(2):
         runs.run_available_now(
@@ -100,7 +92,7 @@ def stream_append(t):
 @query("stream_partitioned", "SELECT event_type, count(*) AS n FROM events WHERE ts > date_trunc('day', (SELECT min(ts) FROM events)) GROUP BY 1")
 def stream_partitioned(t):
     """Each batch is spread over planned windows before it is applied."""
-    place = scratch(t)
+    place = scratch(t.spark)
     bounds = t.events.agg(F.date_trunc("day", F.min("ts").cast("timestamp")).alias("lo"), F.max("ts").alias("hi"))
     windows = S.plan_windows(bounds, "lo", "hi", 5)
     target = AppendTarget(t.spark, f"{place}/data")
@@ -112,7 +104,7 @@ def stream_partitioned(t):
 @query("stream_dedupe", "SELECT event_id, ts FROM events")
 def stream_dedupe(t):
     """Every event delivered twice; the second copy is dropped within the delay."""
-    place = scratch(t)
+    place = scratch(t.spark)
     twice = landing(t, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.explode(F.array(F.lit(1), F.lit(2))).alias("copy"))
     target = AppendTarget(t.spark, f"{place}/data")
     once = runs.dedupe_stream(twice, ["event_id"], "ts", "1 hour").drop("copy")
@@ -122,7 +114,7 @@ def stream_dedupe(t):
 
 @query("sink_append", "SELECT event_id, ts FROM events UNION ALL SELECT event_id, ts FROM events WHERE event_type = 'error'")
 def sink_append_query(t):
-    place = scratch(t)
+    place = scratch(t.spark)
     rows = t.events.select("event_id", "ts")
     sink_append(rows, f"{place}/data")
     sink_append(t.events.where("event_type = 'error'").select("event_id", "ts"), f"{place}/data")
@@ -140,7 +132,7 @@ def sink_append_query(t):
 )
 def ingest(t):
     """One spec over four tables: upsert, upsert with history, append, snapshot."""
-    place = scratch(t)
+    place = scratch(t.spark)
     spark = t.spark
     metadata = spark.createDataFrame(
         [
