@@ -53,7 +53,7 @@ HEADLINE = [
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     asked = os.environ.get("BENCH_QUERIES", "")
     names = list(QUERIES) if asked == "all" else asked.split(",") if asked else HEADLINE
     spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, os.environ.get("BENCH_MEMORY", "8g"))

@@ -72,11 +72,7 @@ def first_cursor(df: DataFrame, cursor: str) -> DataFrame:
 
 
 def dedupe_rows(df: DataFrame) -> DataFrame:
-    """Drop full-row duplicates.
-
-    Wide rows are shuffled once by their fingerprint; equal copies are already
-    combined on the map side.
-    """
+    """Drop full-row duplicates; equal copies are already combined on the map side."""
     return df.dropDuplicates()
 
 

@@ -35,12 +35,23 @@ def page(df: DataFrame, order: list[str], number: int, size: int, blocks: int |
     return window.where(F.col("_at") <= high).drop("_at").withColumn("next_page", follows.scalar())
 
 
+# rows up to which one task may hold the head of a sort
+SHALLOW_ROWS = 100000
+
+
 def offset_limit(df: DataFrame, order: list[str], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset .. offset + limit`` in order; a limit of 0 or less is empty."""
+    """Rows ``offset .. offset + limit`` in order; a limit of 0 or less is empty.
+
+    A shallow slice is a top-k; a deep one goes by row positions, since a top-k
+    of that size would end up in one task.
+    """
     if limit <= 0:
         return df.where(F.lit(False))
-    ordered = df.orderBy(*order)
-    return ordered.offset(max(offset, 0)).limit(limit)
+    offset = max(offset, 0)
+    if offset + limit <= SHALLOW_ROWS:
+        return df.orderBy(*order).offset(offset).limit(limit)
+    at = B.running_position(df, order, "_at")
+    return at.where((F.col("_at") > offset) & (F.col("_at") <= offset + limit)).drop("_at")
 
 
 def keyset_page(

@@ -42,6 +42,19 @@ def in_range(df: DataFrame, ts: str, start: Any, end: Any) -> DataFrame:
     return df.where((F.col(ts) >= F.lit(start).cast(kind)) & (F.col(ts) < F.lit(end).cast(kind)))
 
 
+def explode_numbers(df: DataFrame, name: str, first: Column, last: Column, chunk: int = 8192) -> DataFrame:
+    """A row per whole number of ``first .. last``; nothing where the range is empty.
+
+    Unfolded in two steps, so that a row never holds an array longer than
+    ``chunk`` numbers or than the count of chunks.
+    """
+    some = df.withColumn("_first", first).withColumn("_last", last).where(F.col("_first") <= F.col("_last"))
+    steps = F.sequence(F.col("_first"), F.col("_last"), F.lit(chunk).cast("bigint"))
+    split = some.withColumn("_step", F.explode(steps))
+    inner = F.sequence(F.col("_step"), F.least(F.col("_step") + chunk - 1, F.col("_last")))
+    return split.withColumn(name, F.explode(inner)).drop("_first", "_last", "_step")
+
+
 def _bucket(t: Column, start: Column, width: int) -> Column:
     return F.floor((t - start) / width).cast("long")
 
@@ -108,7 +121,7 @@ def ts_summary_time_weighted(
     width = duration_seconds * _SECOND if duration_seconds else None
     if width:
         first, last = _bucket(F.col("t"), low, width), _bucket(F.col("until") - 1, low, width)
-        held = held.withColumn("b", F.explode(F.sequence(first, last)))
+        held = explode_numbers(held, "b", first, last)
         edge = low + F.col("b") * width
         held = held.withColumn("dt", (F.least("until", edge + width) - F.greatest("t", edge)).cast("double"))
     else:
@@ -208,31 +221,21 @@ def ts_interpolate(
     )
     last_step = F.floor((high - low) / step).cast("long")
 
-    def grid(frm: Column, to: Column) -> Column:
-        """Numbers of the grid times in ``[frm, to)``, null if there is none."""
-        a = F.greatest(F.ceil((frm - low) / step).cast("long"), F.lit(0).cast("long"))
-        b = F.least(F.ceil((to - low) / step).cast("long") - 1, last_step)
-        return F.when(a <= b, F.sequence(a, b))
+    def grid(frm: Column, to: Column) -> tuple[Column, Column]:
+        """First and last number of the grid times in ``[frm, to)``."""
+        first = F.greatest(F.ceil((frm - low) / step).cast("long"), F.lit(0).cast("long"))
+        return first, F.least(F.ceil((to - low) / step).cast("long") - 1, last_step)
 
+    at = low + F.col("g") * step
+    slope = (F.col("v2") - F.col("v")) * (at - F.col("t")) / (F.col("t2") - F.col("t"))
+    value_at = F.when(F.col("t2").isNull() | (at == F.col("t")), F.col("v")).otherwise(F.col("v") + slope)
     until = F.coalesce(F.col("t2"), F.col("t") + 1)
-    inner = ahead.withColumn("g", F.explode(grid(F.col("t"), until))).select(
-        "tag",
-        (low + F.col("g") * step).alias("at"),
-        F.when(F.col("t2").isNull() | (low + F.col("g") * step == F.col("t")), F.col("v"))
-        .otherwise(
-            F.col("v")
-            + (F.col("v2") - F.col("v")) * (low + F.col("g") * step - F.col("t")) / (F.col("t2") - F.col("t"))
-        )
-        .alias("value"),
-    )
+    inner = explode_numbers(ahead, "g", *grid(F.col("t"), until)).select("tag", at.alias("at"), value_at.alias("value"))
     reach = points.groupBy("tag").agg(F.min("t").alias("t1"), F.max("t").alias("tn"))
-    none = F.array().cast("array<bigint>")
-    outside = F.concat(
-        F.coalesce(grid(low, F.col("t1")), none), F.coalesce(grid(F.col("tn") + 1, high + 1), none)
-    )
-    outer = reach.withColumn("g", F.explode(outside)).select(
-        "tag", (low + F.col("g") * step).alias("at"), F.lit(None).cast("double").alias("value")
-    )
+    empty = F.lit(None).cast("double").alias("value")
+    head = explode_numbers(reach, "g", *grid(low, F.col("t1"))).select("tag", at.alias("at"), empty)
+    tail = explode_numbers(reach, "g", *grid(F.col("tn") + 1, high + 1)).select("tag", at.alias("at"), empty)
+    outer = head.unionByName(tail)
     return inner.unionByName(outer).select("tag", _as_time(F.col("at"), like).alias("timestamp"), "value")
 
 

@@ -314,3 +314,62 @@ def job_object_batch(t):
     return Rc.object_batch(rows, "o_orderdate", "o_orderkey", 400, datetime(1997, 1, 1), 50)[0]
 
 
+
+
+@query(
+    "job_ticket_comments",
+    "SELECT event_id AS ticket_id, ts AS created_at, 'Comment' AS event_type, event_type AS body FROM events",
+)
+def job_ticket_comments(t):
+    child = lambda kind: F.struct(F.lit(kind).alias("event_type"), F.col("event_type").alias("body"))
+    rows = t.events.select(
+        F.col("event_id").alias("ticket_id"), F.col("ts").alias("created_at"),
+        F.array(child("Change"), child("Comment")).alias("child_events"),
+    )
+    return Rc.ticket_comments(rows)
+
+
+@query(
+    "job_subform_lines",
+    "SELECT o_orderkey AS parent_id, o_custkey AS product, o_totalprice AS amount FROM orders WHERE o_orderstatus <> 'P'",
+)
+def job_subform_lines(t):
+    line = F.array(F.struct(F.col("o_custkey").alias("product"), F.col("o_totalprice").alias("amount")))
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderstatus") != "P", line).alias("lines"))
+    return Rc.subform_lines(rows, "lines")
+
+
+@query(
+    "job_survey_questions",
+    "SELECT doc_id AS survey_id, 1 AS page_id, 10 AS question_id, quality FROM labels",
+)
+def job_survey_questions(t):
+    page = F.struct(F.lit(1).alias("id"), F.array(F.struct(F.lit(10).alias("question_id"), "quality")).alias("questions"))
+    return D.survey_questions(t.labels.select(F.col("doc_id").alias("id"), F.array(page).alias("pages")))
+
+
+@query(
+    "job_channel_tree",
+    """
+    SELECT o_orderkey AS id, c_name AS channel_name, n_name AS team_name FROM orders JOIN customer ON o_custkey = c_custkey
+    JOIN nation ON c_nationkey = n_nationkey
+    """,
+)
+def job_channel_tree(t):
+    teams = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+    channels = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("team_id"), F.col("c_name").alias("name"))
+    messages = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("channel_id"))
+    return D.channel_tree(teams, channels, messages).drop("channel_id")
+
+
+@query(
+    "job_subsurface_windows",
+    """
+    WITH b AS (SELECT date_trunc('day', min(ts)) - INTERVAL 30 MINUTE AS lo, max(ts) AS hi FROM events)
+    SELECT event_id, CAST((epoch_us(ts) - epoch_us(lo) - 1) // (7 * 86400000000) AS INTEGER) AS window_id FROM events, b
+    """,
+)
+def job_subsurface_windows(t):
+    bounds = t.events.agg(F.date_trunc("day", F.min("ts").cast("timestamp")).alias("since"), F.max("ts").alias("until"))
+    rows = t.events.select("event_id", F.col("ts").alias("modifyTime"))
+    return M.subsurface_windows(rows, bounds, 7, 30).select("event_id", "window_id")
