@@ -49,7 +49,7 @@ def test_running_position(skewed, blocks, hot_rows):
 def test_no_block_is_larger_than_its_share(skewed):
     cuts = B.order_cuts(skewed, "ts", 16)
     assert len(cuts) == 15
-    blocked = skewed.withColumn(B.BLOCK, B.block_of(B.as_number(skewed, "ts"), cuts))
+    blocked = skewed.withColumn(B.BLOCK, B.block_of(B.comparable(skewed, "ts"), cuts))
     sizes = blocked.groupBy(B.BLOCK).count().agg(F.max("count")).first()[0]
     assert sizes <= 2000 / 16 * 1.5
 
@@ -121,3 +121,17 @@ def test_probes_against_brute_force(spark, skewed, monkeypatch, hot_rows):
     for tag, at in sorted((r["tag"], r["ts"]) for r in probes.collect()):
         want.append((tag, at, [v for g, x, v in points if g == tag and x <= at][-1]))
     assert got == want
+
+
+def test_pages_by_text_key(spark):
+    df = spark.range(500).select(F.concat(F.lit("key-"), F.col("id") * 7919 % 500).alias("k"))
+    want = sorted(r["k"] for r in df.collect())
+    got = [r["k"] for n in (1, 2, 3) for r in P.page(df, ["k"], n, 200).orderBy("k").collect()]
+    assert got == want
+
+
+def test_deep_offset(spark, monkeypatch):
+    monkeypatch.setattr(P, "SHALLOW_ROWS", 10)
+    df = spark.range(300).withColumnRenamed("id", "n")
+    assert sorted(r["n"] for r in P.offset_limit(df, ["n"], 120, 7).collect()) == list(range(120, 127))
+    assert P.offset_limit(df, ["n"], 400, 7).count() == 0

@@ -95,9 +95,9 @@ def test_decimal_bounds():
 
 
 def test_files(spark, tmp_path):
-    (tmp_path / "r.csv").write_text('﻿Event Time,Event Name,AppsFlyer ID\n2024-01-01,"a, b",\n', encoding="utf-8")
+    (tmp_path / "r.csv").write_text('﻿Event Time,Event Name,Device ID\n2024-01-01,"a, b",\n', encoding="utf-8")
     report = Sc.read_csv_report(spark, str(tmp_path / "r.csv"))
-    assert report.columns == ["event_time", "event_name", "appsflyer_id"]
+    assert report.columns == ["event_time", "event_name", "device_id"]
     assert [tuple(r) for r in report.collect()] == [("2024-01-01", "a, b", None)]
     (tmp_path / "h.csv").write_text("A,B\n")
     assert Sc.read_csv_report(spark, str(tmp_path / "h.csv")).count() == 0

@@ -20,6 +20,9 @@ from pyspark.sql import types as T
 
 from tidemark.plans import blocks as B
 
+# a batch up to this many rows streams past the target instead of shuffling it
+PROBE_ROWS = 50000
+
 DELETED = "_deleted"
 UNCHANGED = "_unchanged"
 FROM = "valid_from"
@@ -64,8 +67,11 @@ def apply_changes_scd1(
 
     ``shuffle`` meets both sides in one full outer join.  ``probe`` suits a
     small batch: the target streams through a join that AQE broadcasts once
-    the batch is measured to be small, and is not shuffled.
+    the batch is measured to be small, and is not shuffled.  ``auto`` counts
+    the batch, up to ``PROBE_ROWS``, to choose.
     """
+    if merge == "auto":
+        merge = "probe" if changes.limit(PROBE_ROWS + 1).count() <= PROBE_ROWS else "shuffle"
     old, new = as_changes(target), winners(as_changes(changes), keys, seq)
     cols = old.columns
     new = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in cols])

@@ -24,8 +24,8 @@ _MAX_CUTS = 4095
 HOT_ROWS = 1000000
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """The order column as a double-comparable number (micros for times)."""
+def comparable(df: DataFrame, name: str) -> Column:
+    """The order column as a number (micros for times) or as text, to compare with cuts."""
     kind = df.schema[name].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp"))
@@ -33,6 +33,8 @@ def as_number(df: DataFrame, name: str) -> Column:
         return F.col(name).cast("long")
     if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
         return F.col(name).cast("double")
+    if isinstance(kind, T.StringType):
+        return F.col(name)
     raise TypeError(f"cannot order blocks by {name}: {kind.simpleString()}")
 
 
@@ -41,16 +43,24 @@ def default_blocks(spark: SparkSession) -> int:
 
 
 def order_cuts(df: DataFrame, order: str, blocks: int | None = None) -> list:
-    """Quantile cut points of ``order``: at most 4095 numbers, the only thing collected."""
+    """Quantile cut points of ``order``, at most 4095.
+
+    Numbers and times by an approximate quantile, text by a random sample of a
+    fixed size.  Cuts only balance the work; any choice of them is correct.
+    """
     blocks = blocks or default_blocks(df.sparkSession)
     size = 1
     while size < min(blocks, _MAX_CUTS + 1):
         size *= 2
     if size == 1:
         return []
+    if isinstance(df.schema[order].dataType, T.StringType):
+        sample = df.select(order).where(F.col(order).isNotNull()).orderBy(F.rand(7)).limit(32 * size)
+        drawn = sorted(r[order] for r in sample.collect())
+        return [drawn[i * len(drawn) // size] for i in range(1, size)] if drawn else []
     shares = [i / size for i in range(1, size)]
     row = df.agg(
-        F.percentile_approx(as_number(df, order), shares, max(10000, 4 * size)).alias("cuts")
+        F.percentile_approx(comparable(df, order), shares, max(10000, 4 * size)).alias("cuts")
     ).first()
     return list(row["cuts"] or [])
 
@@ -104,7 +114,7 @@ class Split:
         """The block number; 0 for every key that is not hot."""
         if self.plain:
             return df.withColumn(BLOCK, F.lit(0))
-        spot = F.coalesce(block_of(as_number(df, self.order), self.cuts), F.lit(0))
+        spot = F.coalesce(block_of(comparable(df, self.order), self.cuts), F.lit(0))
         return df.withColumn(BLOCK, F.when(self.is_hot(), spot).otherwise(F.lit(0)))
 
 
@@ -191,7 +201,7 @@ def running_position(
             return weighted.withColumn(name, F.sum("_weight").over(over)).drop("_weight")
         blocked = split.add(weighted)
     else:
-        spot = block_of(as_number(df, order[0]), order_cuts(df, order[0], blocks))
+        spot = block_of(comparable(df, order[0]), order_cuts(df, order[0], blocks))
         blocked = weighted.withColumn(BLOCK, F.coalesce(spot, F.lit(0)))
     inside = Window.partitionBy(*keys, BLOCK).orderBy(*order).rowsBetween(*upto)
     totals = blocked.groupBy(*keys, BLOCK).agg(F.sum("_weight").alias("_total"))

@@ -32,7 +32,9 @@ class Target:
         try:
             log = self.spark.read.schema(_COMMIT).json(f"{self.path}/commits/*")
             row = log.orderBy(F.desc("generation")).first()
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return 0, {}
         return (row["generation"], json.loads(row["flows"])) if row else (0, {})
 

@@ -211,12 +211,12 @@ def job_report_rows(t):
 @query(
     "job_attribution",
     """
-    SELECT CAST(event_id AS VARCHAR) AS appsflyer_id, date_trunc('second', ts) AS event_time FROM events
+    SELECT CAST(event_id AS VARCHAR) AS device_id, date_trunc('second', ts) AS event_time FROM events
     WHERE date_trunc('second', ts) >= TIMESTAMP '2024-01-09' AND date_trunc('second', ts) <= TIMESTAMP '2024-01-20'
     """,
 )
 def job_attribution(t):
-    raw = t.events.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Event Time"), F.col("event_id").cast("string").alias("AppsFlyer ID"))
+    raw = t.events.select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("Event Time"), F.col("event_id").cast("string").alias("Device ID"))
     return D.attribution_batch(Sc.csv_report_columns(raw), datetime(2024, 1, 10), 6, datetime(2024, 1, 20))
 
 
@@ -291,7 +291,7 @@ def job_clinical_records(t):
 )
 def job_subsurface(t):
     doc = js(
-        F.concat(F.lit("w"), "p_partkey").alias("id"), F.lit("osdu:wks:master-data--Wellbore:1.0.0").alias("kind"),
+        F.concat(F.lit("w"), "p_partkey").alias("id"), F.lit("src:wks:master-data--Wellbore:1.0.0").alias("kind"),
         F.col("p_size").alias("version"), F.lit("2024-01-01").alias("createTime"), F.struct(F.lit("o").alias("owners")).alias("acl"),
         F.struct(F.col("p_name").alias("FacilityName"), F.array("p_brand").alias("GeoContexts")).alias("data"),
     )

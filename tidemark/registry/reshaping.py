@@ -43,7 +43,7 @@ def wrap_array(t):
 def envelopes(t):
     """Events as nested envelope JSON with a kind."""
     doc = F.struct(
-        F.concat(F.lit("opendes:"), F.col("event_id")).alias("id"),
+        F.concat(F.lit("part:"), F.col("event_id")).alias("id"),
         F.concat(F.lit("src:wks:master-data--"), F.initcap("event_type"), F.lit(":1.0.0")).alias("kind"),
         F.col("event_id").cast("string").alias("version"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("createTime"),
@@ -70,7 +70,7 @@ ENVELOPE_KINDS = {
 @query(
     "flatten_envelope",
     """
-    SELECT 'opendes:' || event_id AS id, event_id AS version,
+    SELECT 'part:' || event_id AS id, event_id AS version,
            CASE WHEN event_type = 'view' THEN strftime(ts, '%Y-%m-%d') ELSE strftime(ts, '%Y-%m-%dT%H:%M:%SZ') END AS modify_time,
            'owner,' || event_type AS owners, 'all' AS viewers,
            CASE WHEN event_type = 'click' THEN value END AS click_depth,

@@ -217,14 +217,14 @@ def read_jsonl(t):
     "csv_report",
     """
     SELECT c_name AS customer_name, nullif(CASE WHEN c_acctbal < 0 THEN '' ELSE c_mktsegment END, '') AS market_segment,
-           CAST(c_custkey AS VARCHAR) AS appsflyer_id FROM customer
+           CAST(c_custkey AS VARCHAR) AS device_id FROM customer
     """,
 )
 def csv_report(t):
     raw = t.customer.select(
         F.col("c_name").alias("﻿Customer Name"),
         F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("Market Segment"),
-        F.col("c_custkey").cast("string").alias("AppsFlyer ID"),
+        F.col("c_custkey").cast("string").alias("Device ID"),
     )
     return S.csv_report_columns(raw)
 

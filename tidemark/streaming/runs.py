@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scan import scan_partitioned
@@ -44,22 +45,20 @@ def run_available_now(stream: DataFrame, apply_fn: Callable[[DataFrame, int], An
 
 
 def upsert_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "shuffle"
+    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "auto"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that upserts into a keyed target."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=False)
 
 
 def delete_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "shuffle"
+    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "auto"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that applies tombstones; may share a target with an upsert flow."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=True)
 
 
-def _change_flow(target, keys, seq, scd, flow, merge, deletes):
-    from pyspark.sql import functions as F
-
+def _change_flow(target: Target, keys, seq, scd: int, flow: str, merge: str, deletes: bool):
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*keys, *seq).withColumn(A.DELETED, F.lit(True)) if deletes else A.as_changes(batch)
 
