@@ -20,17 +20,17 @@ def rounded(df, digits=4):
 
 
 _SUMMARY = """
-  UNPIVOT (SELECT tag, timestamp, round(sum(value), 4) AS "Total", round(avg(value), 4) AS "Average", round(min(value), 4) AS "Minimum",
+  SELECT tag, timestamp, round(sum(value), 4) AS "Total", round(avg(value), 4) AS "Average", round(min(value), 4) AS "Minimum",
     round(max(value), 4) AS "Maximum", round(max(value) - min(value), 4) AS "Range", round(stddev_samp(value), 4) AS "StdDev",
-    CAST(count(value) AS DOUBLE) AS "Count" FROM p GROUP BY tag, timestamp)
-  ON "Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "Count" INTO NAME summary_type VALUE value
+    CAST(count(value) AS DOUBLE) AS "Count" FROM p GROUP BY tag, timestamp
 """
+_LONG = 'UNPIVOT INCLUDE NULLS (value FOR summary_type IN ("Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "Count"))'
 
 
 @query(
     "ts_summary",
     f"WITH p AS (SELECT event_type AS tag, TIMESTAMP '2024-01-03' AS timestamp, value FROM events WHERE {_IN}) "
-    f"SELECT * FROM ({_SUMMARY})",
+    f"SELECT * FROM ({_SUMMARY}) {_LONG}",
 )
 def ts_summary(t):
     return rounded(Ts.ts_summary(t.events, *_ARGS))
@@ -39,7 +39,7 @@ def ts_summary(t):
 @query(
     "ts_summary_daily",
     f"WITH p AS (SELECT event_type AS tag, date_trunc('day', ts) AS timestamp, value FROM events WHERE {_IN} AND value <= 80) "
-    f"SELECT * FROM ({_SUMMARY})",
+    f"SELECT * FROM ({_SUMMARY}) {_LONG}",
 )
 def ts_summary_daily(t):
     """Per day; values above 80 count as bad points."""
