@@ -263,11 +263,22 @@ def _at(c: Column, path: list[str]) -> Column:
     return c
 
 
+def _as_read(kind: Any) -> bool:
+    """Whether a type is read in its final form: text, or an object of texts under their own names."""
+    if isinstance(kind, dict):
+        return all(sub == TEXT and element_name(column) == column for column, sub in kind.items())
+    return kind == TEXT
+
+
 def extract(c: Column, kind: Any) -> Column:
     """One element by its description; a missing list is empty, a missing object null."""
     if isinstance(kind, list):
-        items = F.transform(F.filter(c, lambda x: x.isNotNull()), lambda x: extract(x, kind[0]))
+        items = F.filter(c, lambda x: x.isNotNull())
+        if not _as_read(kind[0]):
+            items = F.transform(items, lambda x: extract(x, kind[0]))
         return F.coalesce(items, F.array().cast(f"array<{_out_ddl(kind[0])}>"))
+    if _as_read(kind):
+        return c
     if isinstance(kind, dict):
         fields = []
         for column, sub in kind.items():
@@ -280,7 +291,7 @@ def extract(c: Column, kind: Any) -> Column:
         return c.try_cast("bigint")
     if kind == REAL:
         return c.try_cast("double")
-    return parse_ts_any(c) if kind == TIME else c
+    return parse_ts_any(c)
 
 
 _OUT = {TEXT: "string", FLAG: "boolean", LONG: "bigint", REAL: "double", TIME: "timestamp"}

@@ -175,3 +175,11 @@ def ingest(t):
     )
 
 
+
+
+@query("create_target", "SELECT * FROM orders")
+def create_target_query(t):
+    """Orders written as a target laid out by customer and date."""
+    target = create_target(t.spark, f"{scratch(t.spark)}/target", t.orders.schema, ["o_custkey", "o_orderdate"])
+    target.apply("load", 0, lambda state: t.orders)
+    return target.state()
