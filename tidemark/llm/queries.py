@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, langid, lm, quality, simhash
+from tidemark.llm import bpe, decontaminate, exact_dedup, html_text, langid, licenses, lm, quality, secrets, simhash
 from tidemark.llm.common import ready
 
 
@@ -22,6 +22,17 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence of every document, laid out as files of its source: each tenth document is a licence file."""
+    docs = _table(spark, folder, "documents")
+    path = F.concat_ws(
+        "/", "source", F.expr("doc_id div 1000").cast("string"), F.expr("doc_id div 100 % 10").cast("string"),
+        F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
+        .otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))),
+    )
+    return licenses.license_scan(docs.select(path.alias("path"), "text"))
+
+
 def op2_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Log-bilinear score of every document."""
     return lm.lm_scores(_table(spark, folder, "documents"))
@@ -56,15 +67,19 @@ def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(_table(spark, folder, "pages"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_lm_scores, op3_quality, op4_exact_dedup, op5_bpe, op6_language, op7_decontaminate, op9_simhash)
-}
-
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.secret_spans(_table(spark, folder, "documents"))
 
 
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
@@ -74,6 +89,12 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
-QUERIES["pipeline"] = pipeline
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_licenses, op2_lm_scores, op3_quality, op4_exact_dedup, op5_bpe, op6_language, op7_decontaminate, op8_main_text,
+        op9_simhash, op10_secrets, pipeline,
+    )
+}
 
 ORACLES: dict[str, str] = {}
