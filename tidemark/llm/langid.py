@@ -53,42 +53,35 @@ class ByteNet:
     out: np.ndarray  # filters x langs
     out_bias: np.ndarray
 
-    def pooled(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Largest answer of each filter in each window, and where it is."""
-        best, where = [], []
+    def filtered(self, x: np.ndarray) -> Iterator[np.ndarray]:
+        """Per width, the answer of each filter at each place of each window."""
         for width, f in zip(WIDTHS, self.filters):
-            span = WINDOW - width + 1
-            total = None
+            span, total = WINDOW - width + 1, None
             for k in range(width):
                 # a filter's part at one place depends on one byte: a table of 256 rows
                 part = (self.embed @ f[k]).astype(np.float32)[x[:, k : k + span]]
                 total = part if total is None else np.add(total, part, out=total)
-            at = total.argmax(1)
-            best.append(np.take_along_axis(total, at[:, None, :], 1)[:, 0])
-            where.append(at)
-        return np.concatenate(best, 1) + self.bias, np.concatenate(where, 1)
+            yield total
+
+    def pooled(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest answer of each filter in each window, and where it is."""
+        each = [(t.argmax(1), t) for t in self.filtered(x)]
+        best = [np.take_along_axis(t, at[:, None, :], 1)[:, 0] for at, t in each]
+        return np.concatenate(best, 1) + self.bias, np.concatenate([at for at, _ in each], 1)
 
     def answers(self, x: np.ndarray) -> np.ndarray:
         """Language probabilities of each window."""
+        if not self.langs:
+            return np.zeros((len(x), 0), np.float32)
         done = [np.zeros((0, len(self.langs)), np.float32)]
         for at in range(0, len(x), 64):  # a piece stays in the cache
-            hidden = np.maximum(self._largest(x[at : at + 64]), 0)
+            largest = np.concatenate([t.max(1) for t in self.filtered(x[at : at + 64])], 1)
+            hidden = np.maximum(largest + self.bias, 0)
             logits = hidden @ self.out + self.out_bias
             e = np.exp(logits - logits.max(1, keepdims=True))
             done.append(e / e.sum(1, keepdims=True))
         return np.concatenate(done)
 
-    def _largest(self, x: np.ndarray) -> np.ndarray:
-        best = []
-        for width, f in zip(WIDTHS, self.filters):
-            span = WINDOW - width + 1
-            total = None
-            for k in range(width):
-                part = (self.embed @ f[k]).astype(np.float32)[x[:, k : k + span]]
-                total = part if total is None else np.add(total, part, out=total)
-            best.append(total.max(1))
-        return np.concatenate(best, 1) + self.bias
-
 
 def learn(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 6, batch: int = 128, seed: int = 3) -> ByteNet:
     """Cross-entropy by Adam over the sampled windows; the same rows give the same net."""

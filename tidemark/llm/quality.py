@@ -92,7 +92,7 @@ def learn(rows: np.ndarray, good: np.ndarray, cut: float = CUT, seed: int = 7) -
     fall on their own side; the score is ``cut`` there. With one class only, every
     score is 1 for good, 0 for bad and ``cut`` without any row.
     """
-    width = rows.shape[1] if rows.size else 0
+    width = rows.shape[1]
     if not len(rows) or good.all() or not good.any():
         level = np.log(cut / (1 - cut)) if not len(rows) else 40.0 if good.all() else -40.0
         return Ranking(np.zeros(width), np.ones(width), np.zeros(width), 0.0, level)

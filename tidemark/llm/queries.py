@@ -97,4 +97,47 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
+        FROM (
+            SELECT doc_id, sha256(norm) AS text_sha256, min(doc_id) OVER (PARTITION BY norm) AS keep_id,
+                   count(*) OVER (PARTITION BY norm) AS group_size
+            FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
+        )""",
+    "op7_decontaminate": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+                  FROM b WHERE len(w) > 0)
+        ),
+        places AS (
+            SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+            FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+                  FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
+        ),
+        met AS (SELECT r, n, i, item_id FROM places JOIN win USING (n, s)),
+        hits AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met)),
+        runs AS (
+            SELECT r, min(p) - 1 AS a, max(p) AS z
+            FROM (SELECT r, p, p - row_number() OVER (PARTITION BY r ORDER BY p) AS g FROM hits) GROUP BY r, g
+        ),
+        spans AS (
+            SELECT r, sum(z - a)::BIGINT AS n_hit, max(z - a)::BIGINT AS longest,
+                   string_agg(a || ':' || z, ',' ORDER BY a) AS spans
+            FROM runs GROUP BY r
+        ),
+        items AS (
+            SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+            FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM met) GROUP BY r
+        )
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+               coalesce(spans, '') AS spans, coalesce(longest, 0) AS longest
+        FROM d LEFT JOIN spans USING (r) LEFT JOIN items USING (r)""",
+}

@@ -25,12 +25,14 @@ BASE = (("assign", ASSIGN, 2, 8), ("access", ACCESS, 0, 16), ("hex", HEX, 0, 32)
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: A run that may be a secret: this many token characters.
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
-#: An ordinary word of the training sample.
-WORD = r"[A-Za-z0-9_]{6,}"
+#: An ordinary word of the training sample: too short to be such a run.
+WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_]{4,19}+(?![A-Za-z0-9+/_=-])"
 #: Documents and values the models are fitted on, at most: the smallest by hash.
 SAMPLE_DOCS, SAMPLE_VALUES = 5_000, 20_000
 #: Log-likelihood ratio (nats) per character pair, and in all, from which a run is a secret.
 MARGIN_EACH, MARGIN_ALL = 0.5, 10.0
+#: Counts that a character's own share weighs beside those of its pairs.
+BACKOFF = 10.0
 
 
 def _found(text: Column, pattern: str, group: int) -> Column:
@@ -82,8 +84,9 @@ def _pairs(values: DataFrame) -> DataFrame:
 def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     """``a, b, ratio`` for every pair of characters: log of its probability under both models.
 
-    ``random`` and ``ordinary`` have a column ``v``. Counts are smoothed by a half,
-    so a pair that neither has seen has a ratio near zero. The table has at most
+    ``random`` and ``ordinary`` have a column ``v``. A pair's share among its first
+    character's pairs is smoothed by the second character's own share, and that by
+    half a count. The table has at most
     ``(len(ALPHABET) + 1) ** 2`` rows.
     """
     size = len(ALPHABET) + 1
@@ -92,10 +95,16 @@ def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     )
     counts = _pairs(random.select(F.lit(1).alias("id"), "v")).unionByName(_pairs(ordinary.select(F.lit(0).alias("id"), "v")))
     seen = counts.groupBy("a", "b").agg(F.sum("id").cast("double").alias("r"), F.sum(1 - F.col("id")).cast("double").alias("o"))
-    zero = lambda c: F.coalesce(c, F.lit(0.0))
-    first = Window.partitionBy("a")
-    share = lambda c: (zero(c) + 0.5) / (F.sum(zero(c)).over(first) + 0.5 * size)
-    return every.join(seen, ["a", "b"], "left").select("a", "b", F.ln(share(F.col("r")) / share(F.col("o"))).alias("ratio"))
+    count = lambda k: F.coalesce(F.col(k), F.lit(0.0))
+    after, of, all_ = Window.partitionBy("a"), Window.partitionBy("b"), F.lit(0.5 * size)
+
+    def share(k: str) -> Column:
+        alone = (F.sum(count(k)).over(of) + 0.5) / (F.col(f"n{k}") + all_)
+        return (count(k) + BACKOFF * alone) / (F.sum(count(k)).over(after) + BACKOFF)
+
+    total = seen.agg(F.coalesce(F.sum("r"), F.lit(0.0)).alias("nr"), F.coalesce(F.sum("o"), F.lit(0.0)).alias("no")).first()
+    paired = every.join(seen, ["a", "b"], "left").withColumns({"nr": F.lit(total.nr), "no": F.lit(total.no)})
+    return paired.select("a", "b", F.ln(share("r") / share("o")).alias("ratio"))
 
 
 def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
