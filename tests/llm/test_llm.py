@@ -423,13 +423,14 @@ def test_secrets(docs, plain):
     check_secrets(secrets.secret_spans(docs).collect(), plain)
 
 
-def test_secrets_odd(spark, odd, none):
+def test_secrets_odd(spark, odd, none, plain):
     check_secrets(secrets.secret_spans(odd).collect(), TEXTS)
     assert secrets.secret_spans(none).collect() == []
     rng = np.random.default_rng(3)
     draw = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), n))
     words = "the network configuration_of_the_department international communication_with_partners understanding".split()
     rows = [(i, f'é {" ".join(rng.choice(words, 30))} secret: "{draw(40)}" token: api_key="short1" AKIA12 {"ab" * 8}') for i in range(150)]
+    rows += [(500 + i, t) for i, (_, t) in enumerate(plain)]
     planted = [(1000 + i, f"ü {' '.join(rng.choice(words, 20))} value {draw(40)} end") for i in range(20)]
     got = secrets.secret_spans(spark.createDataFrame(rows + planted, "doc_id long, text string")).collect()
     check_secrets(got, rows + planted)
