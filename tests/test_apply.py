@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tidemark.plans import apply as A
 from tidemark.plans import blocks as B
-from tidemark.plans.target import Target
+from tidemark.plans.target import AppendTarget, Target
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "order_id string, amount double, updated_at timestamp, _deleted boolean"
@@ -155,4 +155,47 @@ def test_target_skips_a_repeated_batch(spark, tmp_path):
     assert not target.apply("f", 0, lambda state: df.where("false"))
     assert target.apply("g", 0, lambda state: state.where("id = 1"))
     assert rows(target.state()) == [(1, "a")]
-    assert target.head() == (2, {"f": 0, "g": 0})
+    assert (target.head().generation, target.head().flows) == (2, {"f": ["", 0], "g": ["", 0]})
+
+
+def test_target_rewrites_touched_buckets_only(spark, tmp_path):
+    target = Target(spark, str(tmp_path / "t"), keys=["id"], buckets=8, keep=2)
+    many = spark.range(200).select("id", F.lit("a").alias("v"), F.lit(1).alias("s"))
+    step = lambda rows: lambda state: A.winners(A.as_changes(rows), ["id"], ["s"]) if state is None else A.apply_changes_scd1(state, rows, ["id"], ["s"])
+    assert target.apply("f", 0, step(many), many, "q1")
+    before = dict(target.head().parts)
+    one = spark.createDataFrame([(7, "b", 2)], "id long, v string, s int")
+    assert target.apply("f", 1, step(one), one, "q1")
+    after = target.head().parts
+    assert sum(before[b] != after[b] for b in before) == 1
+    assert not target.apply("f", 1, step(one), one, "q1")
+    assert target.apply("f", 0, step(one), one, "q2")  # another checkpoint counts from 0 again
+    state = A.current_rows(target.state())
+    assert state.count() == 200 and rows(state.where("id = 7")) == [(7, "b", 2)]
+    for k in range(3):
+        target.apply("g", k, step(one), one)
+    assert len(list((tmp_path / "t" / "commits").iterdir())) == 2
+    assert A.current_rows(target.state()).count() == 200
+
+
+def test_append_refuses_an_unknown_query(spark, tmp_path):
+    target = AppendTarget(spark, str(tmp_path / "t"))
+    df = spark.range(3)
+    target.append(df, "f", 0, "q1")
+    target.append(df, "f", 0, "q1")
+    assert target.read().count() == 3
+    with pytest.raises(ValueError, match="another query"):
+        target.append(df, "f", 0, "q2")
+
+
+@pytest.mark.parametrize("merge", ["shuffle", "probe"])
+def test_null_keys_are_replayed_once(spark, merge):
+    batch = spark.createDataFrame([(None, 1, "a"), (1, 1, "b")], "id int, s int, v string")
+    state = A.winners(A.as_changes(batch), ["id"], ["s"])
+    for _ in range(2):
+        state = A.apply_changes_scd1(state, batch, ["id"], ["s"], merge)
+    assert rows(A.current_rows(state)) == [(1, 1, "b"), (None, 1, "a")]
+    history = A.scd2_state(batch, ["id"], ["s"])
+    for _ in range(2):
+        history = A.apply_changes_scd2(history, batch, ["id"], ["s"])
+    assert A.history_rows(history).count() == 2

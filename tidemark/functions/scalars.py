@@ -28,8 +28,12 @@ FLOAT_METRICS = (
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 EMAIL_PLACEHOLDER = "redacted@example.com"
 SECRET_PLACEHOLDER = "***REDACTED***"
-# Header names whose value never leaves the source.
-SECRET_HEADERS = ("authorization", "x-api-key", "cookie", "set-cookie", "proxy-authorization")
+# Header names whose value never leaves the source, of requests and of responses.
+REQUEST_HEADERS = ("authorization", "proxy-authorization", "cookie", "set-cookie", "x-api-key")
+RESPONSE_HEADERS = (
+    "set-cookie", "x-oauth-scopes", "x-accepted-oauth-scopes", "github-authentication-token-expiration", "x-github-token",
+)
+SECRET_HEADERS = tuple(dict.fromkeys(REQUEST_HEADERS + RESPONSE_HEADERS))
 _ISO_TEXT = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 
 

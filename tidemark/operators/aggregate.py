@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans import blocks as B
+from tidemark.plans.apply import payload_hash
 
 # Natural key columns, tried in this order.
 KEY_HINTS = ("id", "sha", "uuid", "node_id", "name")
@@ -91,9 +92,13 @@ def dedupe_by_key_hints(df: DataFrame, hints: Sequence[str] = KEY_HINTS) -> Data
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
-    """Newest row of each key.  ``max_by`` combines on the map side, so a hot key is cheap."""
+    """Newest row of each key.  ``max_by`` combines on the map side, so a hot key is cheap.
+
+    Rows of equal sequence are settled by the hash of their payload.
+    """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*seq)).alias("_r"))
+    order = F.struct(*seq, payload_hash(df, rest).alias("_tie"))
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"))
     return best.select(*keys, "_r.*").select(*df.columns)
 
 

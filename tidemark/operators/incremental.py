@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as S
 from tidemark.operators.paging import cap_records
+from tidemark.plans.apply import payload_hash
 
 
 def _bound(df: DataFrame, cursor: str, value: Any) -> Column:
@@ -103,8 +104,12 @@ def multi_series_resume(df: DataFrame, tag: str, ts: str) -> DataFrame:
 
 
 def dedupe_points(df: DataFrame, tag: str, ts: str) -> DataFrame:
-    """Faster series are read again from the slowest one's mark; keep one row per point."""
-    return df.dropDuplicates([tag, ts])
+    """Faster series are read again from the slowest one's mark; keep one row per point.
+
+    Copies that differ are settled by their hash, so a retried task keeps the same one.
+    """
+    best = df.groupBy(tag, ts).agg(F.max_by(F.struct(*df.columns), payload_hash(df, df.columns)).alias("r"))
+    return best.select("r.*")
 
 
 def resume_by_key_order(df: DataFrame, key: str, last: Any) -> DataFrame:

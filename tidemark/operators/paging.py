@@ -57,7 +57,11 @@ def offset_limit(df: DataFrame, order: list[str], offset: int, limit: int) -> Da
 def keyset_page(
     df: DataFrame, cursor: str, tie: str, last: Any, last_tie: Any, n: int
 ) -> DataFrame:
-    """The next ``n`` rows after ``(last, last_tie)``; rows that share a cursor are never lost."""
+    """The next ``n`` rows after ``(last, last_tie)``; rows that share a cursor are never lost.
+
+    A row without a cursor is not readable by cursor and stays out (``uncursored``
+    counts them); a row with a cursor but no tie-break fails the read.
+    """
     if not tie:
         raise ValueError("a unique tie-break column is required")
     c, t = F.col(cursor), F.col(tie)
@@ -67,8 +71,17 @@ def keyset_page(
             df = df.where(c > mark)
         else:
             # the first clause alone is pushed to the scan
-            df = df.where((c >= mark) & ((c > mark) | (t > F.lit(last_tie))))
-    return df.where(c.isNotNull() & t.isNotNull()).orderBy(c, t).limit(n)
+            df = df.where((c >= mark) & ((c > mark) | t.isNull() | (t > F.lit(last_tie))))
+    kind = df.schema[tie].dataType
+    checked = df.where(c.isNotNull()).withColumn(
+        tie, F.when(t.isNotNull(), t).otherwise(F.raise_error(F.lit(f"a row has no value in the tie-break column {tie}")).cast(kind))
+    )
+    return checked.orderBy(c, t).limit(n)
+
+
+def uncursored(df: DataFrame, cursor: str) -> DataFrame:
+    """Number of rows that reading by cursor leaves out."""
+    return df.agg(F.count_if(F.col(cursor).isNull()).alias("uncursored"))
 
 
 def recent(df: DataFrame, newest: str, tie: str, n: int = 10, text: str | None = None, width: int = 100) -> DataFrame:

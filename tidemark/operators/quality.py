@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans import blocks as B
+from tidemark.plans.apply import same_key
+from tidemark.session import saved
+
 INGESTION_TYPES = ("snapshot", "cdc", "cdc_with_deletes", "append")
 
 
@@ -89,28 +93,32 @@ def check_records(df: DataFrame, keys: Sequence[str], cursor: str | None, requir
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
-def nested_paths(df: DataFrame, raw: str, max_depth: int = 16) -> DataFrame:
-    """Every field path in JSON records and how often it occurs.
+def nested_paths(df: DataFrame, raw: str) -> DataFrame:
+    """Every field path in JSON records and how often it occurs, at any depth.
 
     Objects are opened level by level; array items share the path of the array.
-    Every level is counted with map-side combine, so only paths are shuffled.
+    What is still to be opened is written once per level, so the text is parsed
+    once and a deep record costs its own depth only. Every level is counted with
+    map-side combine, so only paths are shuffled. The jobs run when it is called.
     """
-    level = df.select(F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(raw)).alias("v"))
+    kind = F.schema_of_variant("v")
+    held = saved(
+        df.select(F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(raw)).alias("v")).where(kind.rlike("^(OBJECT|ARRAY)")),
+        "level0",
+    )
     found = []
-    for _ in range(max_depth):
-        items = F.when(
-            F.schema_of_variant("v").startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")
-        ).otherwise(F.array("v"))
-        opened = level.where(F.col("v").isNotNull()).select("path", F.explode(items).alias("v"))
+    while True:
+        items = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
         level = (
-            opened.where(F.schema_of_variant("v").startswith("OBJECT"))
+            held.select("path", F.explode(items).alias("v"))
+            .where(kind.startswith("OBJECT"))
             .select("path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("key", "v"))
             .select(F.concat_ws(".", "path", "key").alias("path"), "v")
         )
         found.append(level.groupBy("path").agg(F.count("*").alias("records")))
-        if level.where(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).isEmpty():
-            break
-    return reduce(DataFrame.unionByName, found)
+        held = saved(level.where(kind.rlike("^(OBJECT|ARRAY)")), f"level{len(found)}")
+        if held.isEmpty():
+            return reduce(DataFrame.unionByName, found)
 
 
 def declared_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
@@ -191,23 +199,40 @@ def key_uniqueness(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("copies")).where("copies > 1")
 
 
-def check_partitions(plan: DataFrame, since: str = "since", until: str = "until") -> DataFrame:
-    """Whether planned windows are disjoint and cover their range without gaps.
+def check_partitions(plan: DataFrame, since: str = "since", until: str = "until", entity: str | None = None) -> DataFrame:
+    """Whether planned windows ``(since, until]`` are disjoint and cover their range without gaps.
 
-    Each bound is counted as an end and as a start; in a chain every inner
-    bound is both exactly once.  No ordering of the plan is needed.
+    Each start is compared with the furthest end before it, per entity if one is
+    named, else over the whole plan; contained, crossing and repeated windows count
+    as overlapping. ``backwards`` windows (not of positive length) count only there.
+    The plan runs in blocks of start times, so a long one is not sorted in one task.
     """
-    ends = plan.select(F.col(since).alias("at"), F.lit(1).alias("opens"), F.lit(0).alias("closes")).unionByName(
-        plan.select(F.col(until).alias("at"), F.lit(0).alias("opens"), F.lit(1).alias("closes"))
-    )
-    bounds = ends.groupBy("at").agg(F.sum("opens").alias("opens"), F.sum("closes").alias("closes"))
-    backwards = plan.select(F.count_if(F.col(since) >= F.col(until)).alias("n"))
-    return bounds.agg(
-        F.count_if((F.col("opens") > 1) | (F.col("closes") > 1)).alias("overlapping"),
-        F.greatest(F.count_if((F.col("opens") == 0)) - 1, F.lit(0)).alias("gaps"),
-        F.min("at").alias("covers_from"),
-        F.max("at").alias("covers_to"),
-    ).withColumn("backwards", backwards.scalar())
+    by = [entity] if entity else []
+    good = plan.where(F.col(since) < F.col(until)).select(*by, F.col(since).alias("_s"), F.col(until).alias("_u"))
+    cuts = B.order_cuts(good, "_s")
+    blocked = good.withColumn(B.BLOCK, F.coalesce(B.block_of(B.comparable(good, "_s"), cuts), F.lit(0)))
+    before = Window.unboundedPreceding, -1
+    inside = Window.partitionBy(*by, B.BLOCK).orderBy("_s", "_u").rowsBetween(*before)
+    ends = blocked.groupBy(*by, B.BLOCK).agg(F.max("_u").alias("_end"))
+    ends = ends.withColumn("_ahead", F.max("_end").over(Window.partitionBy(*by).orderBy(B.BLOCK).rowsBetween(*before)))
+    side = ends.select(*[F.col(k).alias(f"_k_{k}") for k in [*by, B.BLOCK]], "_ahead")
+    seen = blocked.withColumn("_far", F.max("_u").over(inside)).join(side, same_key([*by, B.BLOCK]), "left")
+    far = F.greatest("_far", "_ahead")
+    counted = seen.groupBy(*by).agg(
+        F.count_if(F.col("_s") < far).alias("overlapping"),
+        F.count_if(F.col("_s") > far).alias("gaps"),
+        F.min("_s").alias("covers_from"),
+        F.max("_u").alias("covers_to"),
+    )
+    wrong = plan.where(F.col(since) >= F.col(until)).groupBy(*by).agg(F.count("*").alias("backwards"))
+    if not entity:
+        return counted.withColumn("backwards", wrong.scalar())
+    wrong = wrong.withColumnRenamed(entity, f"_k_{entity}")
+    return counted.join(wrong, same_key(by), "full_outer").select(
+        F.coalesce(F.col(entity), F.col(f"_k_{entity}")).alias(entity),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in ("overlapping", "gaps")], "covers_from", "covers_to",
+        F.coalesce("backwards", F.lit(0)).alias("backwards"),
+    )
 
 
 def endpoint_coverage(log: DataFrame, url: str, method: str) -> DataFrame:

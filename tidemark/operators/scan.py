@@ -177,8 +177,9 @@ def history_deletes(hist: DataFrame, level: str = "message") -> DataFrame:
             .agg(F.min("history_id").alias("history_id"))
         )
     return entries.groupBy("id").agg(
-        F.min_by("thread_id", "history_id").alias("thread_id"), F.min("history_id").alias("history_id")
-    )
+        # at equal history the thread that sorts first
+        F.min(F.struct("history_id", "thread_id")).alias("first")
+    ).select("id", "first.thread_id", "first.history_id")
 
 
 def history_added(hist: DataFrame, since: int) -> DataFrame:
@@ -224,37 +225,41 @@ def csv_report_columns(df: DataFrame) -> DataFrame:
     return out.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in out.columns])
 
 
-def read_csv_report(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV report; every column is text."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv_report(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """A CSV report; every column is text.
+
+    Files are split by size. With ``multi_line`` quoted values may hold line
+    breaks, and each file is read by one task.
+    """
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     return csv_report_columns(raw)
 
 
 def unwrap_records(df: DataFrame, raw: str = "raw", key: str | None = None) -> DataFrame:
     """One row (a VARIANT ``record``) per object in the record array of an envelope.
 
-    The array is the body itself, the named key, a known key, or else the
-    longest top-level array that holds only objects.
+    The array is the body itself, the named key, a known key, or else (without a
+    named key) the longest top-level array that holds only objects.
     """
     keep = [c for c in df.columns if c != raw]
-    body = df.select(*keep, F.try_parse_json(F.col(raw)).alias("_body"))
     as_list = lambda v: F.try_variant_get(v, "$", "array<variant>")
-    if key:
-        rows = body.select(*keep, F.try_variant_get("_body", f"$.{key}", "array<variant>").alias("_records"))
-    else:
-        opened = body.select(
-            *keep, as_list(F.col("_body")).alias("_whole"), F.try_variant_get("_body", "$", "map<string,variant>").alias("_map")
-        )
+    opened = df.select(*keep, F.try_parse_json(F.col(raw)).alias("_body")).select(
+        *keep, as_list(F.col("_body")).alias("_whole"), F.try_variant_get("_body", "$", "map<string,variant>").alias("_map")
+    )
+    hints = [key, *(h for h in ENVELOPE_HINTS if h != key)] if key else ENVELOPE_HINTS
+    found = [as_list(F.try_element_at(F.col("_map"), F.lit(h))) for h in hints]
+    if not key:
         is_object = lambda x: F.schema_of_variant(x).startswith("OBJECT")
         lists = F.transform(F.map_values("_map"), as_list)
         usable = F.filter(lists, lambda a: a.isNotNull() & (F.size(a) > 0) & F.forall(a, is_object))
-        longest = F.reduce(
-            usable,
-            F.lit(None).cast("array<variant>"),
-            lambda best, a: F.when(best.isNull() | (F.size(a) > F.size(best)), a).otherwise(best),
+        found.append(
+            F.reduce(
+                usable,
+                F.lit(None).cast("array<variant>"),
+                lambda best, a: F.when(best.isNull() | (F.size(a) > F.size(best)), a).otherwise(best),
+            )
         )
-        hinted = [as_list(F.try_element_at("_map", F.lit(h))) for h in ENVELOPE_HINTS]
-        rows = opened.select(*keep, F.coalesce("_whole", *hinted, longest).alias("_records"))
+    rows = opened.select(*keep, F.coalesce("_whole", *found).alias("_records"))
     return rows.select(*keep, F.explode("_records").alias("record")).where(
         F.schema_of_variant("record").startswith("OBJECT")
     )

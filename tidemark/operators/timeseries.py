@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.plans import blocks as B
+from tidemark.plans.apply import payload_hash
 
 SUMMARY_TYPES = ("Total", "Average", "Minimum", "Maximum", "Range", "StdDev", "Count")
 _SECOND = 1000000
@@ -240,8 +241,9 @@ def ts_interpolate(
 
 
 def end_value(df: DataFrame, tag: str, ts: str) -> DataFrame:
-    """Latest row of each tag."""
-    return df.groupBy(tag).agg(F.max_by(F.struct(*df.columns), F.col(ts)).alias("r")).select("r.*")
+    """Latest row of each tag; rows of the same time are settled by their hash."""
+    order = F.struct(ts, payload_hash(df, df.columns).alias("_tie"))
+    return df.groupBy(tag).agg(F.max_by(F.struct(*df.columns), order).alias("r")).select("r.*")
 
 
 def current_value(df: DataFrame, tag: str, ts: str, now: Any) -> DataFrame:
@@ -259,7 +261,8 @@ def values_at(probes: DataFrame, points: DataFrame, tag: str, ts: str, value: st
     """As-of look-up for many ``(tag, ts)`` probes: last value at or before each.
 
     Probes and points run through one ordered pass per block; a block without
-    points takes over the last value of an earlier block.
+    points takes over the last value of an earlier block.  Of several values at
+    one time the largest counts.
     """
     kind = points.schema[ts].dataType
     both = points.select(F.col(tag), F.col(ts), F.col(value).alias("_v"), F.lit(0).alias("_probe")).unionByName(
@@ -268,16 +271,17 @@ def values_at(probes: DataFrame, points: DataFrame, tag: str, ts: str, value: st
     split = B.find_split(both, [tag], ts)
     blocked = split.add(both)
     hit = F.struct("_v")
-    inside = Window.partitionBy(tag, B.BLOCK).orderBy(ts, "_probe").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(tag, B.BLOCK).orderBy(ts, "_probe", "_v").rowsBetween(Window.unboundedPreceding, 0)
     seen = blocked.withColumn("_seen", F.last(F.when(F.col("_probe") == 0, hit), ignorenulls=True).over(inside))
     answers = seen.where(F.col("_probe") == 1)
     if split.plain:
         return answers.select(tag, ts, F.col("_seen._v").alias(value))
     # last value of each block of a hot tag, handed on over blocks without points
     ends = blocked.where(split.is_hot()).groupBy(tag, B.BLOCK).agg(
-        F.max_by(F.when(F.col("_probe") == 0, hit), F.when(F.col("_probe") == 0, F.col(ts))).alias("_end")
+        F.max(F.when(F.col("_probe") == 0, F.struct(ts, "_v"))).alias("_end")
     )
     back = Window.partitionBy(tag).orderBy(B.BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("_end", F.when(F.col("_end").isNotNull(), F.struct(F.col("_end._v").alias("_v"))))
     carry = ends.select(tag, B.BLOCK, F.last("_end", ignorenulls=True).over(back).alias("_carry"))
     return answers.join(carry, [tag, B.BLOCK], "left").select(
         tag, ts, F.coalesce("_seen", "_carry")["_v"].alias(value)

@@ -20,9 +20,6 @@ from pyspark.sql import types as T
 
 from tidemark.plans import blocks as B
 
-# a batch up to this many rows streams past the target instead of shuffling it
-PROBE_ROWS = 50000
-
 DELETED = "_deleted"
 UNCHANGED = "_unchanged"
 FROM = "valid_from"
@@ -80,7 +77,7 @@ def apply_changes_scd1(
     right = new.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*rest).alias("_new"), _rank(new, keys, seq).alias("_new_rank")
     )
-    match = _same_key(keys)
+    match = same_key(keys)
     newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (F.col("_new_rank") > F.col("_old_rank")))
     row = F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_r")
     if merge == "shuffle":
@@ -90,18 +87,24 @@ def apply_changes_scd1(
     if merge != "probe":
         raise ValueError(f"unknown merge {merge!r}")
     kept = left.join(right, match, "left").select(*keys, row).select(*keys, "_r.*")
-    known = old.select(*keys).join(new.select(*keys), list(keys), "left_semi")
-    fresh = new.join(known, list(keys), "left_anti")
+    known = old.select(*keys).join(keys_of(new, keys), match, "left_semi")
+    fresh = new.join(keys_of(known, keys), match, "left_anti")
     return kept.select(*cols).unionByName(fresh.select(*cols))
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    cond = F.col(keys[0]) == F.col(f"_k_{keys[0]}")
-    for k in keys[1:]:
-        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
+def same_key(keys: Sequence[str]) -> Column:
+    """Equality with the columns ``_k_<key>``; a null is a value like any other."""
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return cond
 
 
+def keys_of(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of ``df``, each once, as ``_k_<key>``."""
+    return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+
+
 def current_rows(state: DataFrame) -> DataFrame:
     """What users see of a type 1 state."""
     return state.where(~F.col(DELETED)).drop(DELETED)
@@ -161,11 +164,11 @@ def apply_changes_scd2(
 ) -> DataFrame:
     """Next type 2 state: only keys that occur in the batch are worked out again."""
     changes = as_changes(changes)
-    touched = changes.select(*keys).distinct()
+    touched, match = keys_of(changes, keys), same_key(keys)
     base = [c for c in state.columns if c not in (FROM, TO, UNCHANGED)]
-    affected = state.join(touched, list(keys), "left_semi").select(*base)
+    affected = state.join(touched, match, "left_semi").select(*base)
     redone = scd2_state(affected.unionByName(changes, allowMissingColumns=True), keys, seq, split)
-    return state.join(touched, list(keys), "left_anti").unionByName(redone)
+    return state.join(touched, match, "left_anti").unionByName(redone)
 
 
 def scd2_intervals(changes: DataFrame, keys: Sequence[str], seq: Sequence[str], split: B.Split | None = None) -> DataFrame:
@@ -195,7 +198,7 @@ def snapshot_changes(target: DataFrame, snap: DataFrame, keys: Sequence[str]) ->
     rest = [c for c in cols if c not in keys]
     old = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*rest).alias("_old"), payload_hash(target, rest).alias("_h1"))
     new = snap.select(*keys, F.struct(*rest).alias("_new"), payload_hash(snap, rest).alias("_h2"))
-    joined = new.join(old, _same_key(keys), "full_outer")
+    joined = new.join(old, same_key(keys), "full_outer")
     change = (
         F.when(F.col("_old").isNull(), "insert")
         .when(F.col("_new").isNull(), "delete")
@@ -229,7 +232,7 @@ def apply_snapshot(
     live = target.where(F.col(TO).isNull())
     moved = snapshot_changes(live.drop(FROM, TO), snap, keys)
     ended = moved.where(F.col("change") != "insert").select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.lit(True).alias("_end"))
-    old = live.join(ended, _same_key(keys), "left")
+    old = live.join(ended, same_key(keys), "left")
     old = old.withColumn(TO, F.when(F.col("_end"), at).cast(kind)).select(*target.columns)
     opened = moved.where(F.col("change") != "delete").drop("change")
     opened = opened.withColumn(FROM, at).withColumn(TO, F.lit(None).cast(kind)).select(*target.columns)

@@ -92,8 +92,11 @@ def table_plans(spec: dict[str, Any], metadata: dict[str, dict[str, Any]]) -> li
 
 
 def _metadata(frame: DataFrame, names: list[str]) -> dict[str, dict[str, Any]]:
-    # one row per table of the spec
-    rows = frame.where(F.col("tableName").isin(*names)).limit(len(names)).collect()
+    # one row per table of the spec, or one more that shows a name to be ambiguous
+    rows = frame.where(F.col("tableName").isin(*names)).dropDuplicates().limit(len(names) + 1).collect()
+    twice = sorted({r["tableName"] for r in rows if sum(x["tableName"] == r["tableName"] for x in rows) > 1})
+    if twice:
+        raise ValueError(f"metadata describes {twice} more than once")
     return {r["tableName"]: r.asDict() for r in rows}
 
 
@@ -126,9 +129,9 @@ def _run_table(spark, plan: TablePlan, schema, landing: str, out: str, fmt: str,
         stream = runs.stream_landing(spark, source, schema, files, fmt)
         runs.run_available_now(stream, runs.append_flow(AppendTarget(spark, f"{dest}/data")), f"{dest}/checkpoint/append")
         return
-    target = Target(spark, dest, plan.cluster_by)
+    target = Target(spark, dest, plan.cluster_by, plan.keys)
     if plan.ingestion_type == "snapshot":
-        _run_snapshot(spark, plan, target, spark.read.format(fmt).schema(schema).load(source), version)
+        run_snapshot(target, spark.read.format(fmt).schema(schema).load(source), plan.keys, plan.scd, version)
         return
     if not plan.sequence_by or not plan.keys:
         raise ValueError(f"table {plan.source} needs keys and a sequence column")
@@ -140,15 +143,16 @@ def _run_table(spark, plan: TablePlan, schema, landing: str, out: str, fmt: str,
         runs.run_available_now(gone, runs.delete_flow(target, plan.keys, seq, plan.scd), f"{dest}/checkpoint/delete")
 
 
-def _run_snapshot(spark, plan: TablePlan, target: Target, snap: DataFrame, version: Any) -> None:
+def run_snapshot(target: Target, snap: DataFrame, keys: Sequence[str], scd: int = 1, version: Any = None) -> None:
+    """A full snapshot becomes the target's rows (type 1) or closes and opens versions (type 2)."""
     at = F.lit(version).cast("timestamp") if version is not None else F.current_timestamp()
 
     def build(state: DataFrame | None) -> DataFrame:
-        if plan.scd == 1:
+        if scd == 1:
             return snap
         if state is None:
             return snap.withColumn(A.FROM, at).withColumn(A.TO, F.lit(None).cast("timestamp"))
-        return A.apply_snapshot(state, snap, plan.keys, at, scd=2)
+        return A.apply_snapshot(state, snap, keys, at, scd=2)
 
-    _, flows = target.head()
-    target.apply("snapshot", flows.get("snapshot", -1) + 1, build)
+    last = target.head().flows.get("snapshot", ["", -1])
+    target.apply("snapshot", last[1] + 1, build)

@@ -225,7 +225,24 @@ def tree_walk(t):
         .unionByName(node(t.customer, "c", "c_custkey", "n", "c_nationkey"))
         .unionByName(node(t.orders, "o", "o_orderkey", "c", "o_custkey"))
     )
-    return J.tree_walk(t.spark, edges)
+    return J.tree_walk(edges)
+
+
+@query(
+    "tree_walk_deep",
+    """
+    SELECT o_orderkey AS id, CASE WHEN (o_orderkey - 1) % 120 <> 0 THEN o_orderkey - 1 END AS parent_id,
+           CAST((o_orderkey - 1) % 120 AS INTEGER) AS depth, length(array_to_string(range(o_orderkey - (o_orderkey - 1) % 120, o_orderkey + 1), '/')) AS path_length
+    FROM orders WHERE o_orderkey > 0
+    """,
+)
+def tree_walk_deep(t):
+    """Orders as chains of 120 nodes."""
+    step = F.col("o_orderkey") - 1
+    edges = t.orders.where("o_orderkey > 0").select(
+        F.col("o_orderkey").alias("id"), F.when(step % 120 != 0, step).alias("parent_id")
+    )
+    return J.tree_walk(edges).select("id", "parent_id", "depth", F.length("path").cast("bigint").alias("path_length"))
 
 
 @query(

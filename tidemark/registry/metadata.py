@@ -233,6 +233,21 @@ def nested_paths(t):
     return Q.nested_paths(nested_docs(t), "raw")
 
 
+_DEEP = [".".join(["a"] * k) for k in range(1, 21)]
+
+
+@query(
+    "nested_paths_deep",
+    f"SELECT unnest({_DEEP + [_DEEP[-1] + '.b']}) AS path, unnest([{', '.join(['count(*)'] * 20)}, count(*) FILTER (event_type = 'click')]) AS records FROM events",
+)
+def nested_paths_deep(t):
+    """Twenty objects inside each other, the innermost with a field on some records."""
+    doc = F.struct(F.when(F.col("event_type") == "click", F.col("value")).alias("b"))
+    for _ in range(20):
+        doc = F.struct(doc.alias("a"))
+    return Q.nested_paths(t.events.select(F.to_json(doc).alias("raw")), "raw")
+
+
 @query(
     "schema_drift",
     """
@@ -298,6 +313,29 @@ def check_partitions(t):
     return Q.check_partitions(S.plan_windows(bounds, "lo", "hi", 3))
 
 
+@query(
+    "check_partitions_faulty",
+    """
+    WITH p AS (
+      SELECT o_custkey % 50 AS who, CAST(o_custkey % 97 AS BIGINT) AS s, CAST(o_custkey % 97 + o_orderkey % 23 - 2 AS BIGINT) AS u FROM orders
+    ), g AS (
+      SELECT *, max(u) OVER (PARTITION BY who ORDER BY s, u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM p WHERE s < u
+    ), c AS (
+      SELECT who, count(*) FILTER (s < far) AS overlapping, count(*) FILTER (s > far) AS gaps, min(s) AS covers_from, max(u) AS covers_to FROM g GROUP BY who
+    ), w AS (SELECT who, count(*) AS backwards FROM p WHERE s >= u GROUP BY who)
+    SELECT coalesce(c.who, w.who) AS who, coalesce(overlapping, 0) AS overlapping, coalesce(gaps, 0) AS gaps, covers_from, covers_to,
+           coalesce(backwards, 0) AS backwards FROM c FULL JOIN w ON c.who = w.who
+    """,
+)
+def check_partitions_faulty(t):
+    """Crossing, contained, repeated and backward windows per entity."""
+    start = F.col("o_custkey") % 97
+    plan = t.orders.select(
+        (F.col("o_custkey") % 50).alias("who"), start.alias("since"), (start + F.col("o_orderkey") % 23 - 2).alias("until")
+    )
+    return Q.check_partitions(plan, entity="who")
+
+
 @query(
     "endpoint_coverage",
     """

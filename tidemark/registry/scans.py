@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import scan as S
-from tidemark.registry.base import query
+from tidemark.registry.base import query, scratch
 
 
 
@@ -204,13 +204,14 @@ def delta_feed(t):
     """,
 )
 def read_jsonl(t):
-    """Events as JSON lines; error events come as broken lines."""
+    """Event files of JSON lines; error events come as broken lines."""
     whole = F.to_json(F.struct("event_id", "event_type", "value"))
     line = F.when(F.col("event_type") == "error", F.concat(F.lit('{"event_id": '), F.col("event_id"))).otherwise(whole)
-    parsed = S.parse_jsonl(t.events.select(line.alias("value")), "event_id long, event_type string, value double")
-    return parsed.groupBy(F.col(S.CORRUPT).isNotNull().alias("bad")).agg(
-        F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")
-    )
+    place = f"{scratch(t.spark)}/lines"
+    t.events.select(line.alias("value")).repartition(4).write.text(place)
+    good, bad = S.read_jsonl(t.spark, place, "event_id long, event_type string, value double")
+    total = good.agg(F.lit(False).alias("bad"), F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total"))
+    return total.unionByName(bad.select(F.lit(True).alias("bad"), F.col("bad_lines").alias("n"), F.lit(None).cast("double").alias("total")))
 
 
 @query(
@@ -226,7 +227,9 @@ def csv_report(t):
         F.when(F.col("c_acctbal") < 0, "").otherwise(F.col("c_mktsegment")).alias("Market Segment"),
         F.col("c_custkey").cast("string").alias("Device ID"),
     )
-    return S.csv_report_columns(raw)
+    place = f"{scratch(t.spark)}/report"
+    raw.repartition(3).write.option("header", True).csv(place)
+    return S.read_csv_report(t.spark, place)
 
 
 @query("unwrap_records", "SELECT o_orderkey AS id, o_orderstatus AS status FROM orders")
@@ -246,6 +249,22 @@ def unwrap_records(t):
     )
 
 
+@query("unwrap_records_key", "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 5 <> 4")
+def unwrap_records_key(t):
+    """A named key beside bare arrays, other known keys and unknown ones."""
+    row = F.concat(F.lit('[{"id":'), "o_orderkey", F.lit("}]"))
+    form = F.col("o_orderkey") % 5
+    raw = (
+        F.when(form == 0, F.concat(F.lit('{"userRates":'), row, F.lit("}")))
+        .when(form == 1, row)
+        .when(form == 2, F.concat(F.lit('{"data":'), row, F.lit("}")))
+        .when(form == 3, F.concat(F.lit('{"items":[],"userRates":'), row, F.lit("}")))
+        .otherwise(F.concat(F.lit('{"other":'), row, F.lit("}")))
+    )
+    out = S.unwrap_records(t.orders.select(raw.alias("raw")), key="userRates")
+    return out.select(F.try_variant_get("record", "$.id", "bigint").alias("id"))
+
+
 @query(
     "sheet_to_table",
     """

@@ -38,6 +38,47 @@ def stream_upsert(t):
     return A.current_rows(target.state())
 
 
+@query("stream_many_batches", _NEWEST)
+def stream_many_batches(t):
+    """Orders in six files, one a batch; a run that starts again finds nothing new."""
+    place = scratch(t.spark)
+    t.orders.select(*_COLS).repartition(6, "o_orderkey").write.parquet(f"{place}/landing")
+    target = Target(t.spark, f"{place}/target", buckets=4)
+    step = runs.upsert_flow(target, ["o_custkey"], _SEQ)
+    for _ in range(2):
+        stream = runs.stream_landing(t.spark, f"{place}/landing", t.orders.select(*_COLS).schema, 1)
+        runs.run_available_now(stream, step, f"{place}/checkpoint")
+    return A.current_rows(target.state())
+
+
+@query("stream_restart", _NEWEST)
+def stream_restart(t):
+    """Two loads under checkpoints of their own, the second also repeating the first: nothing is lost or applied twice."""
+    place = scratch(t.spark)
+    rows, half = t.orders.select(*_COLS), F.col("o_orderkey") % 2 == 0
+    rows.where(half).write.parquet(f"{place}/landing/first")
+    target = Target(t.spark, f"{place}/target", buckets=4)
+    step = runs.upsert_flow(target, ["o_custkey"], _SEQ)
+    runs.run_available_now(runs.stream_landing(t.spark, f"{place}/landing/*", rows.schema), step, f"{place}/checkpoint1")
+    rows.where(~half).write.parquet(f"{place}/landing/second")
+    runs.run_available_now(runs.stream_landing(t.spark, f"{place}/landing/*", rows.schema), step, f"{place}/checkpoint2")
+    return A.current_rows(target.state())
+
+
+@query("stream_append_restart", "SELECT event_id, ts, value FROM events")
+def stream_append_restart(t):
+    """Two append queries with checkpoints of their own whose files are known to differ."""
+    place = scratch(t.spark)
+    rows, half = t.events.select("event_id", "ts", "value"), F.col("event_id") % 2 == 0
+    target = AppendTarget(t.spark, f"{place}/data", other_queries=True)
+    for name, part in (("first", half), ("second", ~half)):
+        rows.where(part).write.parquet(f"{place}/{name}")
+        runs.run_available_now(
+            runs.stream_landing(t.spark, f"{place}/{name}", rows.schema), runs.append_flow(target), f"{place}/checkpoint/{name}"
+        )
+    return target.read()
+
+
 @query(
     "stream_scd2",
     """

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -28,18 +31,29 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints: the one the cluster names, else a local one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    current = named or spark.sparkContext.getCheckpointDir()
+    """Folder for checkpoints and intermediate tables: the one ``spark.checkpoint.dir`` names.
+
+    All executors must share it, so a cluster has to name one. A session on one
+    machine that names none gets a folder that is removed when the process ends.
+    """
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        current = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        current = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+def saved(df: DataFrame, name: str = "table") -> DataFrame:
+    """The rows as a table in the shared folder: lineage is cut and lost executors cost nothing."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tidemark-{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and the bench."""
     spark = (

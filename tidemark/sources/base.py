@@ -8,7 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans.target import AppendTarget, Target
+from tidemark.plans.ingest import run_snapshot
+from tidemark.plans.target import AppendTarget, Target, folder_names
 from tidemark.streaming import runs
 
 
@@ -38,20 +39,25 @@ def metadata(spark: SparkSession, jobs: Sequence[Job]) -> DataFrame:
 
 
 def run(spark: SparkSession, job: Job, landing: str, out: str, fmt: str = "json", scd: int = 1) -> DataFrame:
-    """Drain the landing folder of one job into its target and return its state."""
+    """Drain the landing folder of one job into its target and return its state.
+
+    Tombstones of a ``cdc_with_deletes`` job lie in ``<landing>__deletes``, in the
+    same form; they are applied after the upserts by a flow of their own.
+    """
     if job.ingestion_type == "snapshot":
-        rows = job.shape(spark.read.format(fmt).schema(job.landing).load(landing))
-        target = Target(spark, out)
-        _, flows = target.head()
-        target.apply("snapshot", flows.get("snapshot", -1) + 1, lambda state: rows)
+        target = Target(spark, out, keys=job.keys)
+        run_snapshot(target, job.shape(spark.read.format(fmt).schema(job.landing).load(landing)), job.keys, scd)
         return target.state()
     stream = job.shape(runs.stream_landing(spark, landing, job.landing, fmt=fmt))
     if job.ingestion_type == "append":
         sink = AppendTarget(spark, f"{out}/data")
         runs.run_available_now(stream, runs.append_flow(sink), f"{out}/checkpoint")
         return sink.read()
-    target = Target(spark, out)
+    target = Target(spark, out, keys=job.keys)
     runs.run_available_now(stream, runs.upsert_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint")
+    if job.ingestion_type == "cdc_with_deletes" and folder_names(spark, f"{landing}__deletes"):
+        gone = job.shape(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt))
+        runs.run_available_now(gone, runs.delete_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint_deletes")
     return target.state()
 
 

@@ -89,8 +89,17 @@ PROFILE_PROPERTIES = (
 )
 
 
+def bad_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Number of exported lines that are no records and so give no event."""
+    parsed = Sc.parse_jsonl(lines, "event string, properties string", value)
+    return parsed.agg(F.count_if(F.col(Sc.CORRUPT).isNotNull()).alias("bad_lines"))
+
+
 def analytics_events(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Exported event lines: name, insert id, known properties and the rest as a map."""
+    """Exported event lines: name, insert id, known properties and the rest as a map.
+
+    Lines that are no records are left out; ``bad_lines`` counts them.
+    """
     rows = Sc.parse_jsonl(lines, "event string, properties string", value).where(F.col(Sc.CORRUPT).isNull())
     insert_id = F.try_element_at(F.from_json("properties", "map<string,string>"), F.lit("$insert_id"))
     named = rows.select("event", insert_id.alias("insert_id"), "properties")

@@ -2,7 +2,7 @@
 
 The file source lists what exists at start and replays the same files after a
 failure, so a batch is the same each time it is tried.  Targets skip a batch
-they already hold.
+of the same query that they already hold.
 """
 
 from __future__ import annotations
@@ -44,21 +44,28 @@ def run_available_now(stream: DataFrame, apply_fn: Callable[[DataFrame, int], An
     return seen[0]
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query that delivers a batch: it belongs to the checkpoint. Empty outside a stream."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def upsert_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "auto"
+    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "shuffle"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that upserts into a keyed target."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=False)
 
 
 def delete_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "auto"
+    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "shuffle"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that applies tombstones; may share a target with an upsert flow."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=True)
 
 
 def _change_flow(target: Target, keys, seq, scd: int, flow: str, merge: str, deletes: bool):
+    target.keys = target.keys or list(keys)
+
     def step(batch: DataFrame, batch_id: int) -> None:
         rows = batch.select(*keys, *seq).withColumn(A.DELETED, F.lit(True)) if deletes else A.as_changes(batch)
 
@@ -73,13 +80,13 @@ def _change_flow(target: Target, keys, seq, scd: int, flow: str, merge: str, del
                 base = base.withColumn(c, F.lit(None).cast(rows.schema[c].dataType))
             return A.apply_changes_scd1(base, rows, keys, seq, merge)
 
-        target.apply(flow, batch_id, build)
+        target.apply(flow, batch_id, build, rows, query_id(batch))
 
     return step
 
 
 def append_flow(target: AppendTarget, flow: str = "append") -> Callable[[DataFrame, int], None]:
-    return lambda batch, batch_id: target.append(batch, flow, batch_id)
+    return lambda batch, batch_id: target.append(batch, flow, batch_id, query_id(batch))
 
 
 def windowed_flow(
