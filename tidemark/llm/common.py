@@ -45,6 +45,15 @@ def fold(column: Column, parts: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(column.cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def drawn(rows: DataFrame, count: int, sample: int, *columns: str) -> DataFrame:
+    """About ``sample`` of ``count`` rows, all if there are fewer, picked by a hash of the columns.
+
+    No rows are sorted or gathered for it, and a retried task picks the same ones.
+    """
+    draw = F.pmod(F.xxhash64(*columns), F.lit(1_000_003)) / 1_000_003.0
+    return rows.where(draw < F.lit(min(1.0, sample / max(1, count)))) if count > sample else rows
+
+
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """A batch's texts as UTF-8."""
     return batch.column(column).cast(pa.binary()).to_pylist()

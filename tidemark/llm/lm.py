@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches_of, fold, keyed_texts, texts, written
+from tidemark.llm.common import batches_of, drawn, fold, keyed_texts, texts, written
 
 #: Frequent words with a unit of their own, shared units, size of an embedding.
 UNITS, SHARED, SIZE = 1024, 512, 24
@@ -229,7 +229,17 @@ class Tables:
 def _tables(counts: DataFrame, documents: int) -> Tables:
     size = F.length("word")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    top = counts.where(size <= HEAD_BYTES).orderBy(F.desc("n"), "word").limit(HEAD).collect()
+    short, step = counts.where(size <= HEAD_BYTES), F.floor(F.log2("n") * 8)
+    # words by eighths of an octave of their count: all above one step are frequent, HEAD at most
+    steps = sorted(short.groupBy(step.alias("s")).agg(F.count(F.lit(1)).alias("v")).collect(), key=lambda r: -r.s)
+    least, room = None, HEAD
+    for r in steps:
+        room -= r.v
+        if room < 0:
+            break
+        least = r.s
+    top = short.where(step >= least).collect() if least is not None else []
+    top.sort(key=lambda r: (-r.n, bytes(r.word)))
     place = {bytes(r.word): i for i, r in enumerate(top)}
     last = lambda k: F.conv(F.hex(F.substring("word", k, 1)), 16, 10).cast("int")
     ending = F.pmod(last(-1) * 31 + F.when(size > 1, last(-2)).otherwise(last(-1)) * 7 + (size > 7).cast("int"), F.lit(SHARED))
@@ -299,8 +309,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     context = docs.sparkSession.sparkContext
     shared = context.broadcast(tables)
 
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_003)) / 1_000_003.0
-    share = min(1.0, START_DOCS / max(1, tables.ends))
+    some_rows = drawn(training, tables.ends, START_DOCS, "doc_id", "text")
     weights = Weights.fresh(tables.noise())
     units: list[np.ndarray] = []
 
@@ -309,7 +318,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             some = [shared.value.units(t.lower().split())[0].astype(np.int16).tobytes() for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary())], ["units"])
 
-    for r in sorted(bytes(x.units) for x in training.where(draw < share).select("text").mapInArrow(sampled, "units binary").collect()):
+    for r in sorted(bytes(x.units) for x in some_rows.select("text").mapInArrow(sampled, "units binary").collect()):
         units.append(np.frombuffer(r, np.int16).astype(np.int64))
     trainer = Trainer(weights, tables.noise(), 0.1, 1)
     for _ in range(START_ROUNDS):

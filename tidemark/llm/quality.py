@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, keyed_texts, texts
+from tidemark.llm.common import drawn, fold, keyed_texts, texts
 
-#: Labelled rows that are learned from, at most: the smallest by hash of the id.
+#: Labelled rows that are learned from (expected number): picked by a hash of the id.
 SAMPLE = 20_000
 #: Preference pairs of one pass, and passes.
 PAIRS, PASSES = 50_000, 30
@@ -121,16 +121,16 @@ def learn(rows: np.ndarray, good: np.ndarray, cut: float = CUT, seed: int = 7) -
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ranking:
     """Learn from the labelled documents outside fold 0.
 
-    At most ``SAMPLE`` labelled ids are used, the smallest by hash; only their
-    features come to the driver. An id that is labelled several times counts as good if
+    About ``SAMPLE`` labelled ids are used, picked by hash; only their features
+    come to the driver. An id that is labelled several times counts as good if
     most of its labels are 1; null ids and labels are left out.
     """
-    chosen = (
+    usable = (
         labels.select(F.col(f"`{id_col}`").alias("doc_id"), F.col("quality").cast("double").alias("quality"))
         .where((F.col("doc_id").isNotNull()) & F.col("quality").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
         .groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
     )
+    chosen = drawn(usable, usable.count(), SAMPLE, "doc_id")
     # bounded by SAMPLE ids
     rows = keyed_texts(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("good", "text")
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import keyed_texts, written
+from tidemark.llm.common import drawn, keyed_texts, written
 
 #: The patterns of the base rule, as listed; the second number is the group whose length counts.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -27,7 +27,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 #: An ordinary word of the training sample: too short to be such a run.
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_]{4,19}+(?![A-Za-z0-9+/_=-])"
-#: Documents and values the models are fitted on, at most: the smallest by hash.
+#: Documents and values the models are fitted on (expected numbers): picked by a hash.
 SAMPLE_DOCS, SAMPLE_VALUES = 5_000, 20_000
 #: Log-likelihood ratio (nats) per character pair, and in all, from which a run is a secret.
 MARGIN_EACH, MARGIN_ALL = 0.5, 10.0
@@ -132,8 +132,9 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         long |= (F.col("kind") == kind) & (F.length("value") >= least)
     base = spans.where(long)
 
-    values = base.select(F.col("value").alias("v")).distinct().orderBy(F.xxhash64("v"), "v").limit(SAMPLE_VALUES)
-    chosen = rows.where(F.length("text") > 0).orderBy(F.xxhash64("doc_id", F.length("text")), "doc_id").limit(SAMPLE_DOCS)
+    values = base.select(F.col("value").alias("v")).distinct()
+    values = drawn(values, values.count(), SAMPLE_VALUES, "v")
+    chosen = drawn(rows, found.count(), SAMPLE_DOCS, "doc_id")
     plain = text
     for _, pattern, _, _ in BASE:
         plain = F.regexp_replace(plain, pattern, " ")
