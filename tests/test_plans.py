@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.registry import QUERIES
 
-STREAMS = {n for n in QUERIES if n.startswith("stream_")} | {"ingest", "sink_append", "synth_from_schema", "tree_walk"}
+STREAMS = {n for n in QUERIES if n.startswith(("stream_", "target_"))} | {"ingest", "sink_append", "synth_from_schema", "tree_walk"}
 
 
 def plan_of(df) -> str:

@@ -161,7 +161,8 @@ def scan_archived_as_deletes(
     return scan_incremental(moved, cursor, since)
 
 
-def _history_entries(hist: DataFrame, field: str) -> DataFrame:
+def history_entries(hist: DataFrame, field: str) -> DataFrame:
+    """``history_id, id, thread_id`` of each message entry of a change log."""
     return hist.select(
         F.col("id").try_cast("bigint").alias("history_id"), F.explode(field).alias("entry")
     ).select("history_id", F.col("entry.message.id").alias("id"), F.col("entry.message.threadId").alias("thread_id"))
@@ -169,7 +170,7 @@ def _history_entries(hist: DataFrame, field: str) -> DataFrame:
 
 def history_deletes(hist: DataFrame, level: str = "message") -> DataFrame:
     """Ids deleted in a change log, first report wins; per message or per thread."""
-    entries = _history_entries(hist, "messagesDeleted").where(F.col("id").isNotNull())
+    entries = history_entries(hist, "messagesDeleted").where(F.col("id").isNotNull())
     if level == "thread":
         return (
             entries.where(F.col("thread_id").isNotNull())
@@ -185,7 +186,7 @@ def history_deletes(hist: DataFrame, level: str = "message") -> DataFrame:
 def history_added(hist: DataFrame, since: int) -> DataFrame:
     """Distinct ids added after a numeric history id."""
     newer = hist.where(F.col("id").try_cast("bigint") > since)
-    return _history_entries(newer, "messagesAdded").where(F.col("id").isNotNull()).select("id").distinct()
+    return history_entries(newer, "messagesAdded").where(F.col("id").isNotNull()).select("id").distinct()
 
 
 def delta_feed(df: DataFrame, removed: str, key: str, context: list[str] = ()) -> DataFrame:

@@ -17,8 +17,9 @@ from tidemark.streaming import runs
 class Job:
     """One table of a source family.
 
-    ``landing`` is the declared schema of the raw files, ``shape`` turns a raw
-    frame into rows of the target.
+    ``landing`` is the declared schema of the raw files of format ``fmt``, ``shape``
+    turns a raw frame into rows of the target, ``shape_deletes`` one of tombstones
+    into keys and cursor (by default as ``shape`` does).
     """
 
     name: str
@@ -28,6 +29,8 @@ class Job:
     cursor: str | None = None
     ingestion_type: str = "cdc"
     options: dict = field(default_factory=dict)
+    fmt: str = "json"
+    shape_deletes: Callable[[DataFrame], DataFrame] | None = None
 
 
 def metadata(spark: SparkSession, jobs: Sequence[Job]) -> DataFrame:
@@ -38,12 +41,12 @@ def metadata(spark: SparkSession, jobs: Sequence[Job]) -> DataFrame:
     )
 
 
-def run(spark: SparkSession, job: Job, landing: str, out: str, fmt: str = "json", scd: int = 1) -> DataFrame:
+def run(spark: SparkSession, job: Job, landing: str, out: str, scd: int = 1) -> DataFrame:
     """Drain the landing folder of one job into its target and return its state.
 
-    Tombstones of a ``cdc_with_deletes`` job lie in ``<landing>__deletes``, in the
-    same form; they are applied after the upserts by a flow of their own.
+    Tombstones of a ``cdc_with_deletes`` job lie in ``<landing>__deletes``; they are applied after the upserts by a flow of their own.
     """
+    fmt = job.fmt
     if job.ingestion_type == "snapshot":
         target = Target(spark, out, keys=job.keys)
         run_snapshot(target, job.shape(spark.read.format(fmt).schema(job.landing).load(landing)), job.keys, scd)
@@ -56,7 +59,7 @@ def run(spark: SparkSession, job: Job, landing: str, out: str, fmt: str = "json"
     target = Target(spark, out, keys=job.keys)
     runs.run_available_now(stream, runs.upsert_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint")
     if job.ingestion_type == "cdc_with_deletes" and folder_names(spark, f"{landing}__deletes"):
-        gone = job.shape(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt))
+        gone = (job.shape_deletes or job.shape)(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt))
         runs.run_available_now(gone, runs.delete_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint_deletes")
     return target.state()
 

@@ -62,9 +62,9 @@ def mail_changes(messages: DataFrame, history: DataFrame, since: int) -> DataFra
 # ---- chat -----------------------------------------------------------------
 
 
-def channel_messages(feed: DataFrame, complex_fields: Sequence[str]) -> DataFrame:
+def channel_messages(feed: DataFrame, complex_fields: Sequence[str], context: Sequence[str] = ("team_id", "channel_id")) -> DataFrame:
     """A delta feed of messages; nested fields as JSON text, removed ones flagged."""
-    rows = Sc.delta_feed(feed, "removed", "id", ["team_id", "channel_id"])
+    rows = Sc.delta_feed(feed, "removed", "id", list(context))
     return R.json_stringify(rows, complex_fields)
 
 
