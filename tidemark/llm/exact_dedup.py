@@ -61,6 +61,8 @@ def exact_duplicates(
         .where("size > 1")
         .select("hash", "part", F.col("first.doc_id").alias("keep_id"), F.col("first.row").alias("keep_row"), "size")
     )
+    # as a table of its own, so that a join on a large group's key can be split
+    groups = written(groups, "groups")
     alone = F.col("size").isNull()
     return rows.join(groups, ["hash", "part"], "left").select(
         "doc_id",
