@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import texts, written
 
 #: Importance under which a branch goes; weight of boilerplate kinds; floor of an article.
 CUT, BOILERPLATE, FLOOR = 0.5, 0.4, 0.6
@@ -248,6 +248,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("text"),
     )
     low = style_tree(rows).where(F.col("importance") < CUT).groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
+    # as a table of its own, so that the pages of a large host can be split in the join
+    low = written(low, "low")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -149,11 +149,14 @@ def license_scan(files: DataFrame, templates=TEMPLATES, cut: float = CUT) -> Dat
     nearest = above.join(homes, "home").groupBy("dir").agg(
         F.max(F.struct(F.length("home"), "home", "given", "given_score")).alias("near")
     ).select("dir", "near.home", "near.given", "near.given_score")
-    takes = known.withColumn("dir", F.when(F.col("own").isNull() & F.col("path").isNotNull(), F.col("dir")))
-    return takes.join(nearest, "dir", "left").select(
+    nearest = written(nearest, "nearest")
+    asks = known.where("own is null and path is not null")
+    settled = known.where("own is not null or path is null").select("path", "own", "score", F.lit(None).cast("string").alias("home"))
+    given = asks.join(nearest, "dir", "left").select("path", F.col("given").alias("own"), F.col("given_score").alias("score"), "home")
+    return settled.unionByName(given).select(
         "path",
-        F.coalesce("own", "given").alias("license"),
-        F.round(F.coalesce("score", "given_score"), 6).alias("score"),
-        F.when(F.col("own").isNotNull(), "own").when(F.col("given").isNotNull(), "inherited").otherwise("none").alias("origin"),
+        F.col("own").alias("license"),
+        F.round("score", 6).alias("score"),
+        F.when(F.col("home").isNotNull(), "inherited").when(F.col("own").isNotNull(), "own").otherwise("none").alias("origin"),
         F.col("home").alias("source_dir"),
     )

@@ -202,10 +202,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(links.select(F.greatest("fp", "root").alias("u"), F.least("fp", "root").alias("v")).distinct(), "edges")
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # tables of their own, so that the joins on a hub's key can be split
+        low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = written(large, "large")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = written(large.groupBy("u").agg(F.min("v").alias("m")), "lower")
         joined = large.join(low, "u")
         small = (
             joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -232,10 +233,11 @@ def near_duplicates(
     prints = written(fingerprints(docs, id_col, text_col, width), "prints")
     own = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "own")
     links = near_links(own.select("fp"), radius, own.count())
-    grouped = own.join(components(links), own.fp == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    grouped = written(
+        own.join(components(links), own.fp == F.col("node"), "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")),
+        "grouped",
     )
-    least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    least = written(grouped.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
     classes = grouped.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
