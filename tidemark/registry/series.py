@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from datetime import date, datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import timeseries as Ts
@@ -309,3 +311,62 @@ def report_multi(t):
     everything = hits(t)
     frames = {"p1": everything.where("country <> 'none'"), "p2": everything.where("country = 'none'")}
     return Rp.report_multi(frames, model(), dimensions=["date"], metrics=["sessions", "activeUsers"])
+
+
+_NAMES = ["page_view", "view_item", "add_to_cart", "purchase", "view_promotion", "select_promotion", "click", "error"]
+# a value for every dimension the named reports use: a prefix and the number of values
+_DIMENSIONS = {
+    "country": ("c", 5), "sessionSource": ("s", 3), "sessionMedium": ("m", 2), "pagePath": ("p", 6), "pageTitle": ("t", 4),
+    "deviceCategory": ("d", 3), "browser": ("b", 4), "landingPage": ("l", 5), "itemName": ("n", 6), "itemId": ("i", 6),
+    "itemPromotionName": ("o", 3), "newVsReturning": ("r", 2), "language": ("g", 4), "audienceName": ("a", 3),
+    "operatingSystem": ("y", 3), "defaultChannelGroup": ("h", 4),
+}
+
+
+def _all_reports_sql() -> str:
+    """Every named report in long form, each from its session rows."""
+    name = "CASE " + " ".join(f"WHEN event_id % 8 = {i} THEN '{n}'" for i, n in enumerate(_NAMES)) + " END"
+    dims = ", ".join(f"""'{p}' || ((user_id + event_id // 8) % {k}) AS "{d}" """ for d, (p, k) in _DIMENSIONS.items())
+    engaged = "count(*) FILTER (secs >= 10 OR n >= 2 OR keys > 0)"
+    value = {
+        "activeUsers": "count(DISTINCT user_id)", "sessions": "count(*)", "newUsers": "count(DISTINCT CASE WHEN fresh THEN user_id END)",
+        "eventCount": "sum(n)", "keyEvents": "sum(keys)", "totalRevenue": "sum(rev)", "itemRevenue": "sum(rev)",
+        "advertiserAdCost": "sum(cost)", "engagedSessions": engaged, "engagementRate": f"{engaged} / count(*)",
+        "bounceRate": f"1 - {engaged} / count(*)", "averageSessionDuration": "sum(secs) / count(*)",
+        "screenPageViews": "sum(e0)", "itemsViewed": "sum(e1)", "itemsAddedToCart": "sum(e2)", "itemsPurchased": "sum(e3)",
+        "itemsViewedInPromotion": "sum(e4)", "itemsClickedInPromotion": "sum(e5)",
+    }
+    parts = []
+    for report, (by, metrics) in Rp.NAMED_REPORTS.items():
+        keys = ", ".join(f'"{d}"' for d in by)
+        key = " || '|' || ".join(f'"{d}"::VARCHAR' for d in by)
+        session = f"""SELECT {keys}, user_id, session_id, sum(duration) AS secs, count(*) AS n, count(*) FILTER (name = 'purchase') AS keys,
+            bool_or(fresh) AS fresh, sum(revenue) AS rev, sum(cost) AS cost, {', '.join(f"count(*) FILTER (name = '{n}') AS e{i}" for i, n in enumerate(_NAMES))}
+            FROM h GROUP BY {keys}, user_id, session_id"""
+        for m in metrics:
+            parts.append(f"SELECT '{report}' AS report, {key} AS key, '{m}' AS metric, round(({value[m]})::DOUBLE, 4) AS value FROM ({session}) GROUP BY {keys}")
+    return f"""
+    WITH h AS (SELECT CAST(ts AS DATE) AS date, user_id, user_id || '-' || strftime(ts, '%Y-%m-%d') AS session_id, {name} AS name, {name} AS "eventName",
+        {dims}, CASE WHEN event_id % 8 = 3 THEN value ELSE 0 END AS revenue, value / 7 AS duration, value / 11 AS cost,
+        CAST(ts AS DATE) <= DATE '2024-01-05' AS fresh FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2023-12-31' AND DATE '2024-01-30')
+    {' UNION ALL '.join(parts)}"""
+
+
+@query("prebuilt_reports_all", _all_reports_sql())
+def prebuilt_reports_all(t):
+    """All named reports over their default range, one row per report, key and metric."""
+    name = F.get(F.array(*[F.lit(n) for n in _NAMES]), (F.col("event_id") % 8).cast("int"))
+    spot = F.col("user_id") + F.expr("event_id div 8")
+    wide = Rp.HitModel(
+        date=F.col("ts"), user_id=F.col("user_id"), session_id=F.concat_ws("-", F.col("user_id"), F.to_date("ts")), event_name=name,
+        dimensions={d: F.concat(F.lit(p), (spot % k).cast("string")) for d, (p, k) in _DIMENSIONS.items()},
+        revenue=F.when(F.col("event_id") % 8 == 3, F.col("value")).otherwise(0), duration=F.col("value") / 7,
+        ad_cost=F.col("value") / 11, is_new=F.to_date("ts") <= F.lit("2024-01-05").cast("date"),
+    )
+    parts = []
+    for report, (dims, metrics) in Rp.NAMED_REPORTS.items():
+        out = Rp.prebuilt_report(t.events, wide, report, TODAY)
+        key = F.concat_ws("|", *[F.col(d).cast("string") for d in dims]).alias("key")
+        rows = out.select(key, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(["key"], metrics, "metric", "value")
+        parts.append(rows.select(F.lit(report).alias("report"), "key", "metric", F.round("value", 4).alias("value")))
+    return reduce(DataFrame.unionByName, parts)
