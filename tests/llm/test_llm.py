@@ -383,11 +383,12 @@ def test_main_text_odd(spark):
         "<form><input>f</form><section id=comments><p>c</p></section></main><footer>&copy; z</footer>"
     )
     rows = [(1, "http://a.b/c", rich), (2, None, None), (3, "x", ""), (4, "http://h/1", "plain"), (4, "http://h/1", "plain"), (None, "http://h", "<p>q"),
-            (5, "http://d/1", "<div>" * 3000 + "deep"), (6, "http://d/2", "<p a='>cut")]
+            (5, "http://d/1", "<div>" * 3000 + "deep"), (6, "http://d/2", "<p a='>cut"),
+            (7, "http://e/1", "<body class='has-sidebar'><div class='with-ads'><article>keep</article></div><aside><article>teaser</article></aside>")]
     pages = spark.createDataFrame([(*r, "h", 1) for r in rows], "page_id long, url string, html string, host string, path int")
     got = {(r.page_id, r.text) for r in html_text.main_text(pages).collect()}
     assert (1, "A & B\n\none two three\n\nfour 5 <x>\n\nu\n\nv") in got
-    assert {(2, ""), (3, ""), (4, "plain"), (None, "q"), (5, "deep")} <= got
+    assert {(7, "keep"), (2, ""), (3, ""), (4, "plain"), (None, "q"), (5, "deep")} <= got
     assert html_text.main_text(pages).count() == len(rows) and html_text.main_text(pages.limit(0)).collect() == []
 
 

@@ -62,24 +62,27 @@ _TOKEN = re.compile(
 )
 _MARKED = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
+#: A class that begins so tells what a wrapper holds, not what it is.
+_HOLDS = frozenset("has with no without is".split())
 
 
 class Node:
-    """An open element: its path in the style tree, weight and zone."""
+    """An open element: its path in the style tree, weight, zone, and whether it lies in boilerplate."""
 
-    __slots__ = ("tag", "path", "weight", "article", "children")
+    __slots__ = ("tag", "path", "weight", "article", "low", "children")
 
-    def __init__(self, tag: str, path: int, weight: float, article: bool) -> None:
-        self.tag, self.path, self.weight, self.article = tag, path, weight, article
+    def __init__(self, tag: str, path: int, weight: float, article: bool, low: bool) -> None:
+        self.tag, self.path, self.weight, self.article, self.low = tag, path, weight, article, low
         self.children: list[str] = []
 
 
 def _label(tag: str, more: str) -> tuple[str, bool]:
     """Tag with its classes and role, and whether it looks like boilerplate."""
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _MARKED.findall(more)} if more else {}
-    words = {w for k in ("class", "id", "role") for w in _PARTS.split(found.get(k, ""))}
+    names = [_PARTS.split(x) for k in ("class", "id", "role") for x in found.get(k, "").split()]
+    words = {w for parts in names if parts[0] not in _HOLDS for w in parts}
     label = f"{tag}.{found.get('class', '')}.{found.get('role', '')}"
-    return label, tag in MENUS or bool(words & MARKS) or "hidden" in found
+    return label, tag not in ("html", "body", "main") and (tag in MENUS or bool(words & MARKS) or "hidden" in found)
 
 
 class Page:
@@ -92,7 +95,7 @@ class Page:
         self._read(source)
 
     def _read(self, source: str) -> None:
-        root = Node("", 0, 1.0, False)
+        root = Node("", 0, 1.0, False, False)
         stack, held, skip, at = [root], [], 0, 0
 
         def flush() -> None:
@@ -100,7 +103,8 @@ class Page:
                 text = " ".join(html.unescape("".join(held)).split())
                 held.clear()
                 if text:
-                    near = stack[-NEAREST:]
+                    # what stands around an article says nothing about it
+                    near = [n for n in stack[-NEAREST:] if n.article or not stack[-1].article]
                     self.blocks.append((text, tuple(n.path for n in near), stack[-1].article))
 
         def close(upto: int) -> None:
@@ -157,12 +161,12 @@ class Page:
                 continue
             label, marked = _label(tag, m["more"] or m["more2"] or "")
             above = stack[-1]
-            opens = tag in ("article", "main")
-            self.has_article |= opens and not marked
-            header = tag == "header" and not above.article
+            opens = tag in ("article", "main") and not marked and not above.low
+            self.has_article |= opens
+            marked |= tag == "header" and not above.article
             above.children.append(label)
             path = xxhash.xxh64_intdigest(f"{above.path}/{label}".encode()) >> 1
-            stack.append(Node(tag, path, BOILERPLATE if marked or header else 1.0, above.article or (opens and not marked)))
+            stack.append(Node(tag, path, BOILERPLATE if marked else 1.0, above.article or opens, above.low or marked))
         close(0)
 
     def statistics(self) -> set[tuple[int, float, bool, int, int]]:
