@@ -138,9 +138,10 @@ def near_links(prints: DataFrame, radius: int, count: int) -> DataFrame:
         ":", *[F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1 if w < 64 else -1)).cast("string") for s, w in parts]
     )
     shards = prints.select("fp", F.posexplode(F.array(*[key(c) for c in _blocks(count, radius)])).alias("tree", "shard"))
-    sizes = shards.groupBy("tree", "shard").count().where("count > 1")
-    pieces = F.ceil(F.col("count") / PIECE).cast("int")
-    placed = shards.join(sizes.select("tree", "shard", pieces.alias("pieces")), ["tree", "shard"]).withColumn(
+    # only shards beyond one piece, a small table of its own: no shard has to gather in one task for it
+    sizes = shards.groupBy("tree", "shard").count().where(F.col("count") > PIECE)
+    large = written(sizes.select("tree", "shard", F.ceil(F.col("count") / PIECE).cast("int").alias("pieces")), "large_shards")
+    placed = shards.join(large, ["tree", "shard"], "left").withColumn("pieces", F.coalesce("pieces", F.lit(1))).withColumn(
         "piece", F.pmod(F.xxhash64("fp"), F.col("pieces")).cast("int")
     )
     # a piece meets every other piece of its shard once; the first two also compare within
@@ -154,6 +155,8 @@ def near_links(prints: DataFrame, radius: int, count: int) -> DataFrame:
 
     def links(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for meeting in _meetings(rows, keys):
+            if len(meeting) < 2:
+                continue
             values, piece = meeting["fp"].to_numpy().view(np.uint64), meeting["piece"].to_numpy()
             order = np.argsort(values)
             values, piece, low, high = values[order], piece[order], meeting["low"].iloc[0], meeting["high"].iloc[0]
