@@ -200,3 +200,132 @@ def clinical_data_types(t):
         "c_custkey", cc["coding"][0]["code"].alias("code"), cc["text"].alias("display"),
         period["start"].alias("started"), qty["value"].alias("amount"),
     )
+
+
+def _two(first, second):
+    return F.array(first, second)
+
+
+def _both(first, second):
+    """Two objects whose fields may differ."""
+    return F.array(F.parse_json(F.to_json(first)), F.parse_json(F.to_json(second)))
+
+
+def _ref(prefix, c):
+    return F.struct(F.concat(F.lit(prefix), c).alias("reference"))
+
+
+def _value_docs():
+    """Per type: its fields, and the checked values of the result."""
+    key, name, seg = F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_mktsegment")
+    code = lambda c: concept(c)
+    coded = lambda c: c["coding"][0]["code"]
+    notes = _two(F.struct(name.alias("text")), F.struct(F.lit("two").alias("text")))
+    day, when = F.lit("2024-01-02"), F.lit("2024-01-02T03:04:05Z")
+    as_time = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    col = F.col
+    return {
+        "Condition": (
+            {"clinicalStatus": code(seg), "onsetDateTime": when, "note": notes, "bodySite": _two(code(F.lit("left")), code(seg))},
+            {"clinical": coded(col("clinical_status")), "onset": as_time("onset_datetime"),
+             "second note": col("note")[1]["text"], "second site": coded(col("body_site")[1])},
+        ),
+        "AllergyIntolerance": (
+            {"type": seg, "category": _two(F.lit("food"), seg), "criticality": F.lit("low"),
+             "reaction": _both(F.struct(F.lit("first").alias("description")), F.struct(name.alias("description"), _two(code(seg), code(F.lit("m2"))).alias("manifestation")))},
+            {"type": col("type"), "second category": col("category")[1],
+             "second reaction": col("reaction")[1]["description"], "second sign": coded(col("reaction")[1]["manifestation"][1])},
+        ),
+        "Procedure": (
+            {"status": seg, "performedDateTime": when, "performer": _two(F.struct(_ref("a/", key).alias("actor")), F.struct(_ref("b/", key).alias("actor"))), "note": notes},
+            {"status": col("status"), "performed": as_time("performed_datetime"),
+             "second actor": col("performer")[1]["actor"]["reference"], "notes": F.size("note").cast("string")},
+        ),
+        "DiagnosticReport": (
+            {"status": seg, "issued": when, "result": _two(_ref("r/", key), _ref("s/", key)), "conclusion": name},
+            {"status": col("status"), "issued": as_time("issued"),
+             "second result": col("result")[1]["reference"], "conclusion": col("conclusion")},
+        ),
+        "Immunization": (
+            {"vaccineCode": code(seg), "occurrenceDateTime": when, "primarySource": F.col("c_acctbal") >= 0, "lotNumber": name,
+             "protocolApplied": _both(F.struct(F.lit("x").alias("series"), F.lit(1).alias("doseNumberPositiveInt")), F.struct(seg.alias("series"), F.col("c_nationkey").alias("doseNumberPositiveInt")))},
+            {"vaccine": coded(col("vaccine_code")), "occurred": as_time("occurrence_datetime"),
+             "primary": col("primary_source").cast("string"), "lot": col("lot_number"),
+             "second dose": col("protocol_applied")[1]["dose_number_positive_int"].cast("string")},
+        ),
+        "Coverage": (
+            {"status": seg, "subscriberId": key, "payor": _two(_ref("p/", key), _ref("q/", key)), "order": F.col("c_nationkey"),
+             "class": _both(F.struct(F.lit("a").alias("value")), F.struct(name.alias("value")))},
+            {"subscriber": col("subscriber_id"), "second payor": col("payor")[1]["reference"],
+             "order": col("order").cast("string"), "second class": col("class_coverage")[1]["value"]},
+        ),
+        "CarePlan": (
+            {"title": name, "intent": seg, "goal": _two(_ref("g/", key), _ref("h/", key)),
+             "activity": _both(F.struct(F.struct(F.lit("a").alias("status")).alias("detail")), F.struct(F.struct(seg.alias("status"), name.alias("description")).alias("detail")))},
+            {"title": col("title"), "second goal": col("goal")[1]["reference"],
+             "second status": col("activity")[1]["detail_status"], "second text": col("activity")[1]["detail_description"]},
+        ),
+        "Goal": (
+            {"lifecycleStatus": seg, "description": code(seg), "startDate": day,
+             "target": _both(F.struct(F.lit("2024-01-01").alias("dueDate")), F.struct(F.lit("2024-02-01").alias("dueDate"), F.struct(F.col("c_acctbal").alias("value")).alias("detailQuantity")))},
+            {"lifecycle": col("lifecycle_status"), "start": col("start_date"),
+             "second due": col("target")[1]["due_date"],
+             "second amount": F.round(col("target")[1]["detail_quantity"]["value"] * 100).cast("bigint").cast("string")},
+        ),
+        "Device": (
+            {"manufacturer": name, "serialNumber": key, "deviceName": _both(F.struct(F.lit("n").alias("name")), F.struct(seg.alias("name"), F.lit("t").alias("type")))},
+            {"manufacturer": col("manufacturer"), "serial": col("serial_number"),
+             "second name": col("device_name")[1]["name"], "second kind": col("device_name")[1]["type"]},
+        ),
+        "DocumentReference": (
+            {"docStatus": seg, "date": when, "author": _two(_ref("a/", key), _ref("b/", key)),
+             "content": _both(F.struct(F.struct(F.lit("u").alias("url")).alias("attachment")), F.struct(F.struct(name.alias("url"), F.lit("t/p").alias("contentType")).alias("attachment")))},
+            {"state": col("doc_status"), "date": as_time("date"),
+             "second author": col("author")[1]["reference"], "second url": col("content")[1]["attachment_url"],
+             "second type": col("content")[1]["attachment_content_type"]},
+        ),
+    }
+
+
+# what the SQL expects, field by field
+_VALUE_SQL = {
+    "Condition": {"clinical": "c_mktsegment", "onset": "'2024-01-02 03:04:05'", "second note": "'two'", "second site": "c_mktsegment"},
+    "AllergyIntolerance": {"type": "c_mktsegment", "second category": "c_mktsegment", "second reaction": "c_name", "second sign": "'m2'"},
+    "Procedure": {"status": "c_mktsegment", "performed": "'2024-01-02 03:04:05'", "second actor": "'b/' || c_custkey", "notes": "'2'"},
+    "DiagnosticReport": {"status": "c_mktsegment", "issued": "'2024-01-02 03:04:05'", "second result": "'s/' || c_custkey", "conclusion": "c_name"},
+    "Immunization": {
+        "vaccine": "c_mktsegment", "occurred": "'2024-01-02 03:04:05'", "primary": "(c_acctbal >= 0)::VARCHAR", "lot": "c_name",
+        "second dose": "c_nationkey::VARCHAR",
+    },
+    "Coverage": {"subscriber": "c_custkey::VARCHAR", "second payor": "'q/' || c_custkey", "order": "c_nationkey::VARCHAR", "second class": "c_name"},
+    "CarePlan": {"title": "c_name", "second goal": "'h/' || c_custkey", "second status": "c_mktsegment", "second text": "c_name"},
+    "Goal": {
+        "lifecycle": "c_mktsegment", "start": "'2024-01-02'", "second due": "'2024-02-01'", "second amount": "round(c_acctbal * 100)::BIGINT::VARCHAR",
+    },
+    "Device": {"manufacturer": "c_name", "serial": "c_custkey::VARCHAR", "second name": "c_mktsegment", "second kind": "'t'"},
+    "DocumentReference": {
+        "state": "c_mktsegment", "date": "'2024-01-02 03:04:05'", "second author": "'b/' || c_custkey", "second url": "c_name", "second type": "'t/p'",
+    },
+}
+
+
+@query(
+    "clinical_values",
+    " UNION ALL ".join(
+        f"SELECT '{resource}' AS resource, c_custkey::VARCHAR AS id, '{field}' AS field, {sql} AS value FROM customer"
+        for resource, fields in _VALUE_SQL.items()
+        for field, sql in fields.items()
+    ),
+)
+def clinical_values(t):
+    """Values of ten resource types, among them the second child of each array."""
+
+    def one(resource: str, fields: dict, values: dict) -> DataFrame:
+        doc = F.struct(
+            F.lit(resource).alias("resourceType"), F.col("c_custkey").cast("string").alias("id"), *[c.alias(k) for k, c in fields.items()]
+        )
+        got = Cl.clinical_extract(t.customer.select(F.to_json(doc).alias("raw")), "raw", resource)
+        pairs = F.array(*[F.struct(F.lit(k).alias("field"), c.alias("value")) for k, c in values.items()])
+        return got.select(F.lit(resource).alias("resource"), "id", F.explode(pairs).alias("p")).select("resource", "id", "p.field", "p.value")
+
+    return reduce(DataFrame.unionByName, [one(r, fields, values) for r, (fields, values) in _value_docs().items()])
