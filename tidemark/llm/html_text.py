@@ -203,10 +203,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     schema = "host string, path long, weight double, article boolean, kind int, feature long"
-    seen = (
+    # a table, as hosts and the tree over all hosts both read it: pages are parsed once for them
+    seen = written(
         pages.select("host", "text").mapInArrow(run, schema)
         .groupBy("host", "path", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"), F.max("article").alias("article"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"), F.max("article").alias("article")),
+        "seen",
     )
 
     def nodes(rows: DataFrame, *keys: str) -> DataFrame:
