@@ -100,7 +100,67 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
+_quoted = lambda x: "'" + x.replace("'", "''") + "'"
+_TEMPLATES = ", ".join(f"({i}, {_quoted(n)}, {_quoted(x)})" for i, (n, x) in enumerate(licenses.TEMPLATES))
+
 ORACLES: dict[str, str] = {
+    "op1_licenses": rf"""
+        WITH t(id, license, text) AS (VALUES {_TEMPLATES}),
+        f AS (
+            SELECT source || '/' || (doc_id // 1000) || '/' || (doc_id // 100 % 10) || '/'
+                   || CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS path, lower(coalesce(text, '')) AS low
+            FROM documents
+        ),
+        files AS (
+            SELECT path, low, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir,
+                   regexp_matches(regexp_extract(path, '([^/]*)$', 1), '(?i)^(licen[sc]e|copying|unlicense)([.\-_].*)?$') AS lic
+            FROM f
+        ),
+        tw AS (SELECT id, license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM t),
+        df AS (
+            SELECT w, count(*) AS n FROM (SELECT DISTINCT path, unnest(regexp_extract_all(low, '[a-z0-9]+')) AS w FROM f)
+            WHERE w IN (SELECT w FROM tw) GROUP BY w
+        ),
+        idf AS (
+            SELECT w, ln((1 + (SELECT count(*) FROM f)) / (1 + coalesce(n, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w)
+        ),
+        tv AS (
+            SELECT id, license, w, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS wt
+            FROM (SELECT id, license, w, count(*) * any_value(idf) AS v FROM tw JOIN idf USING (w) GROUP BY id, license, w)
+        ),
+        units AS (
+            SELECT path, row_number() OVER () AS u, x FROM (
+                SELECT path, unnest(string_split(low, chr(10))) AS x FROM files
+                UNION ALL SELECT path, x FROM (SELECT path, unnest(string_split_regex(low, '\n[\x20\x09\x0D]*\n')) AS x FROM files)
+                          WHERE contains(x, chr(10))
+                UNION ALL SELECT path, low FROM files WHERE lic)
+        ),
+        terms AS (
+            SELECT path, u, w, count(*) * coalesce(any_value(idf), 1.0) AS v
+            FROM (SELECT path, u, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS w FROM units) LEFT JOIN idf USING (w) GROUP BY path, u, w
+        ),
+        norms AS (SELECT path, u, sqrt(sum(v * v)) AS n FROM terms GROUP BY path, u),
+        scores AS (
+            SELECT path, license, round(sum(v * wt) / any_value(n), 9) AS s
+            FROM terms JOIN tv USING (w) JOIN norms USING (path, u) GROUP BY path, u, id, license
+        ),
+        own AS (
+            SELECT path, license, s FROM scores WHERE s >= {licenses.CUT}
+            QUALIFY row_number() OVER (PARTITION BY path ORDER BY s DESC, license) = 1
+        ),
+        homes AS (
+            SELECT dir, license, s FROM files JOIN own USING (path) WHERE lic
+            QUALIFY row_number() OVER (PARTITION BY dir ORDER BY s DESC, license, path) = 1
+        ),
+        near AS (
+            SELECT a.path, h.dir AS home, h.license, h.s FROM files a JOIN homes h ON a.dir = h.dir OR starts_with(a.dir, h.dir || '/')
+            WHERE a.path NOT IN (SELECT path FROM own)
+            QUALIFY row_number() OVER (PARTITION BY a.path ORDER BY length(h.dir) DESC) = 1
+        )
+        SELECT files.path, coalesce(own.license, near.license) AS license, round(coalesce(own.s, near.s), 6) AS score,
+               CASE WHEN own.path IS NOT NULL THEN 'own' WHEN near.path IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+               near.home AS source_dir
+        FROM files LEFT JOIN own USING (path) LEFT JOIN near USING (path)""",
     "op4_exact_dedup": r"""
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (
