@@ -51,6 +51,8 @@ def exact_duplicates(
         .groupBy("hash").agg(F.count(F.lit(1)).alias("texts"))
         .where("texts > 1").select("hash", F.lit(True).alias("several"))
     )
+    # a table of its own, nearly always empty: the rows need not be dealt out by hash to meet it
+    collided = written(collided, "collided")
     rows = rows.join(collided, "hash", "left").select(
         "row", "doc_id", "hash", "sha", F.when(F.col("several"), F.col("sha")).otherwise(F.lit("")).alias("part")
     )
