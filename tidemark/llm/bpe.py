@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.common import keyed_texts, texts
 
-#: Encoded words and transitions a worker remembers; both are cleared when full.
-REMEMBERED = 400_000
+#: Encoded runs, words and transitions a worker remembers; each is cleared when full.
+RUNS, WORDS, TRANSITIONS = 300_000, 100_000, 300_000
 #: Python's split takes these for white space, the vocabulary's split doesn't.
 CONTROLS = regex.compile("[\x1c-\x1f]")
 
@@ -68,15 +68,17 @@ class TokenAutomaton:
                 for symbol in plain:
                     node = node[2].setdefault(symbol, [-1, -1, {}])
                 node[plain != token] = i
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}  # by state * size + token
+        self.size = max(vocab.values(), default=0) + 1
 
     def has_arc(self, state: int, token: int) -> bool:
         """Whether ``token`` may follow ``state`` in the finished automaton."""
-        found = self.known.get((state, token))
+        key = state * self.size + token
+        found = self.known.get(key)
         if found is None:
-            if len(self.known) > REMEMBERED:
+            if len(self.known) > TRANSITIONS:
                 self.known.clear()
-            found = self.known[state, token] = self._arc(state, token)
+            found = self.known[key] = self._arc(state, token)
         return found
 
     def _arc(self, state: int, token: int) -> bool:
@@ -99,7 +101,7 @@ class TokenAutomaton:
         The longest arc is tried first. A place in the word has one state, whichever
         way it was reached, so a place from which no arc leads on is never tried again.
         """
-        size, known, tree = len(word), self.known, self.tree
+        size, known, tree, states = len(word), self.known, self.tree, self.size
         out: list[int] = []
         options: list[list[tuple[int, int]]] = []
         ends = [0]
@@ -122,7 +124,7 @@ class TokenAutomaton:
                 if end in dead:
                     continue
                 if out:
-                    fits = known.get((out[-1], token))
+                    fits = known.get(out[-1] * states + token)
                     if fits is None:
                         fits = self.has_arc(out[-1], token)
                     if not fits:
@@ -162,7 +164,7 @@ class WordEncoder:
         """Count of ids, the ids and the labels of a word, each joined by a space."""
         found = self.words.get(word)
         if found is None:
-            if len(self.words) > REMEMBERED:
+            if len(self.words) > WORDS:
                 self.words.clear()
             ids = self.automaton.path("".join([self.symbols[b] for b in word.encode()]))
             found = self.words[word] = (len(ids), " ".join(map(str, ids)), " ".join([self.labels[i] for i in ids]))
@@ -170,7 +172,7 @@ class WordEncoder:
 
     def chunk(self, chunk: str) -> tuple[int, str, str]:
         """The same of a run without white space."""
-        if len(self.chunks) > REMEMBERED:
+        if len(self.chunks) > RUNS:
             self.chunks.clear()
         found = self.chunks[chunk] = _joined([self.word(w) for w in self.split.findall(chunk)])
         return found

@@ -25,7 +25,7 @@ from tidemark.llm.common import batches_of, keyed_texts, texts
 #: Consecutive words of a window.
 WINDOW = 10
 #: Bytes of text of one suffix array.
-SHARD_BYTES = 24_000_000
+SHARD_BYTES = 12_000_000
 #: Benchmark words of one broadcast block: under 100 MB with their tables.
 BLOCK_WORDS = 2_000_000
 
