@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tests.oracle import compare
 from tidemark.llm import bpe, decontaminate, exact_dedup, html_text, langid, licenses, lm, quality, queries, secrets, simhash
-from tidemark.llm.common import ready
+from tidemark.llm.common import drawn, ready
 
 SCHEMA = "doc_id bigint, text string, row string, size int, fp bigint, hash string, dir string, n long"
 LONG = "lorem ipsum dolor sit amet " * 20_000
@@ -349,6 +349,22 @@ def test_lm_odd(odd, none):
     assert lm.lm_scores(none).collect() == []
 
 
+@pytest.mark.parametrize("head", [40, 0])
+def test_lm_counts_do_not_depend_on_the_head(docs, plain, monkeypatch, head):
+    """Words beyond the frequent ones get their counts by the join; the scores of the base are the same."""
+    monkeypatch.setattr(lm, "HEAD", head)
+    got = lm.lm_scores(docs).collect()
+    assert sorted(((*r[:5], round(r.base_score, 6)) for r in got), key=repr) == base_scores(plain)
+    assert all(math.isfinite(r.score) for r in got)
+
+
+def test_drawn_rows(spark):
+    rows = spark.range(20_000)
+    picked = [r.id for r in drawn(rows, 20_000, 1_000, "id").collect()]
+    assert 850 < len(picked) < 1_150 and picked == [r.id for r in drawn(rows, 20_000, 1_000, "id").collect()]
+    assert drawn(rows, 20_000, 30_000, "id").count() == 20_000
+
+
 def test_lm_probabilities_sum_to_one():
     noise = np.full(lm.ALL, 1 / lm.ALL)
     weights = lm.Weights.fresh(noise)
