@@ -73,7 +73,7 @@ def target_commits(t):
     "target_issues",
     """
     SELECT o_custkey AS id, o_orderstatus AS state, o_orderdate AS updated_at FROM orders
-    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) = 1
+    QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderstatus DESC) = 1
     """,
 )
 def target_issues(t):
