@@ -416,6 +416,22 @@ def test_repeated_branch_goes(spark):
     assert all(r.text == f"text number {r.page_id}" for r in got)
 
 
+def main_texts(spark, rows):
+    """Text by page id."""
+    return {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+@pytest.mark.parametrize("order", [("nav", "content", "footer"), ("content", "nav", "footer")])
+def test_ids_mark_branches(spark, order):
+    """Neighbours that only their ids tell apart are nodes apart."""
+    ready(spark)
+    rows = [
+        (i, f"http://h/{i}", "<body>" + "".join(f"<div id={k}><p>{'text' if k == 'content' else 'menu'} number {i if k == 'content' else 0}</p></div>" for k in order))
+        for i in range(40)
+    ]
+    assert main_texts(spark, rows) == {i: f"text number {i}" for i in range(40)}
+
+
 # --- secrets
 
 

@@ -77,12 +77,13 @@ class Node:
 
 
 def _label(tag: str, more: str) -> tuple[str, bool]:
-    """Tag with its classes and role, and whether it looks like boilerplate."""
+    """Tag with its classes, role and mark, and whether it looks like boilerplate."""
     found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _MARKED.findall(more)} if more else {}
     names = [_PARTS.split(x) for k in ("class", "id", "role") for x in found.get(k, "").split()]
     words = {w for parts in names if parts[0] not in _HOLDS for w in parts}
-    label = f"{tag}.{found.get('class', '')}.{found.get('role', '')}"
-    return label, tag not in ("html", "body", "main") and (tag in MENUS or bool(words & MARKS) or "hidden" in found)
+    marked = tag not in ("html", "body", "main") and (tag in MENUS or bool(words & MARKS) or "hidden" in found)
+    # marked and unmarked neighbours are nodes apart, also if only an id tells them apart
+    return f"{tag}.{found.get('class', '')}.{found.get('role', '')}.{'!' if marked else ''}", marked
 
 
 class Page:
