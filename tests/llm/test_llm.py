@@ -432,6 +432,16 @@ def test_ids_mark_branches(spark, order):
     assert main_texts(spark, rows) == {i: f"text number {i}" for i in range(40)}
 
 
+def test_value_outweighs_kinds(spark):
+    """Inside and beside articles a repeated branch goes without a mark, and varying text stays under one."""
+    ready(spark)
+    page = "<body><section><p>{}</p></section><article><p>text {}</p><div><p>{}</p></div><div class=related><p>{}</p></div></article>"
+    rows = [(i, f"http://h/{i}", page.format(f"beside {i}", i, "Follow us", f"more {i}")) for i in range(60)]
+    rows += [(100 + i, f"http://g/{i}", page.format("beside", i, f"follow {i}", "more")) for i in range(60)]
+    got = main_texts(spark, rows)
+    assert got == {i: f"beside {i}\n\ntext {i}\n\nmore {i}" for i in range(60)} | {100 + i: f"text {i}\n\nfollow {i}" for i in range(60)}
+
+
 # --- secrets
 
 

@@ -7,8 +7,9 @@ children. Over the ``m`` pages that have a node,
 * content importance is one less the mean entropy (base ``m``) of its blocks over
   the pages: text that returns on many pages says little;
 * presentation importance is the entropy of its layouts;
-* the kind of an element weighs both: menus, adverts and the like count less,
-  an article has a floor.
+* the kind of an element weighs both as odds: marked ones (menus, adverts and the
+  like) and what stands beside an article count less, an article counts more. The
+  value can outweigh any kind, the more so the more pages tell it.
 
 A host with few pages takes the importance of the same path over all hosts. A
 branch whose importance is under the cut is removed from every page of the host.
@@ -27,8 +28,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts, written
 
-#: Importance under which a branch goes; weight of boilerplate kinds; floor of an article.
-CUT, BOILERPLATE, FLOOR = 0.5, 0.4, 0.6
+#: Importance under which a branch goes.
+CUT = 0.5
+#: Odds of kinds to be main text: marked ones, unmarked ones of an article, and a factor of what stands beside one.
+MARKED, ARTICLE, BESIDE = 1 / 9, 2.0, 1 / 9
+#: Pages that the value over all hosts, and doubt (an even value), each weigh as much as.
+PULL = 4
 #: Pages from which on a host's own tree decides.
 MIN_PAGES = 30
 #: Nearest elements above a block that count it as theirs.
@@ -167,28 +172,30 @@ class Page:
             marked |= tag == "header" and not above.article
             above.children.append(label)
             path = xxhash.xxh64_intdigest(f"{above.path}/{label}".encode()) >> 1
-            stack.append(Node(tag, path, BOILERPLATE if marked else 1.0, above.article or opens, above.low or marked))
+            article = above.article or opens
+            stack.append(Node(tag, path, MARKED if marked else ARTICLE if article else 1.0, article, above.low or marked))
         close(0)
+        if self.has_article:
+            # what stands beside an article is a node of its own
+            self.nodes = {p if n[1] else p ^ 1: n if n[1] else (n[0] * BESIDE, *n[1:]) for p, n in self.nodes.items()}
+            self.blocks = [(t, paths if article else tuple(p ^ 1 for p in paths), article) for t, paths, article in self.blocks]
 
-    def statistics(self) -> set[tuple[int, float, bool, int, int]]:
-        """(path, weight, article, kind, feature): 0 a block below, 1 a layout, 2 the node itself."""
+    def statistics(self) -> set[tuple[int, float, int, int]]:
+        """(path, weight, kind, feature): 0 a block below, 1 a layout, 2 the node itself."""
         out = set()
-        for path, (weight, article, layouts) in self.nodes.items():
-            out.add((path, weight, article, 2, 0))
+        for path, (weight, _, layouts) in self.nodes.items():
+            out.add((path, weight, 2, 0))
             for x in layouts:
-                out.add((path, weight, article, 1, xxhash.xxh64_intdigest(x.encode()) >> 1))
+                out.add((path, weight, 1, xxhash.xxh64_intdigest(x.encode()) >> 1))
         for text, paths, _ in self.blocks:
             feature = xxhash.xxh64_intdigest(text.encode()) >> 1
             for path in paths:
-                weight, article, _ = self.nodes[path]
-                out.add((path, weight, article, 0, feature))
+                out.add((path, self.nodes[path][0], 0, feature))
         return out
 
     def text(self, removed: set[int]) -> str:
-        """Blocks outside the removed branches, of the article if the page has one."""
-        return "\n\n".join(
-            t for t, paths, article in self.blocks if (article or not self.has_article) and not any(p in removed for p in paths)
-        )
+        """Blocks outside the removed branches."""
+        return "\n\n".join(t for t, paths, _ in self.blocks if not any(p in removed for p in paths))
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -198,17 +205,17 @@ def style_tree(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, found = batch.column("host").to_pylist(), [Page(t.decode()).statistics() for t in texts(batch)]
             flat = [(h, *s) for h, each in zip(hosts, found) for s in each]
-            columns = list(zip(*flat)) or [()] * 6
-            kinds = [pa.string(), pa.int64(), pa.float64(), pa.bool_(), pa.int32(), pa.int64()]
-            names = ["host", "path", "weight", "article", "kind", "feature"]
+            columns = list(zip(*flat)) or [()] * 5
+            kinds = [pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int64()]
+            names = ["host", "path", "weight", "kind", "feature"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    schema = "host string, path long, weight double, article boolean, kind int, feature long"
+    schema = "host string, path long, weight double, kind int, feature long"
     # a table, as hosts and the tree over all hosts both read it: pages are parsed once for them
     seen = written(
         pages.select("host", "text").mapInArrow(run, schema)
         .groupBy("host", "path", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight"), F.max("article").alias("article")),
+        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")),
         "seen",
     )
 
@@ -219,9 +226,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
             F.avg(F.when(F.col("kind") == 0, F.ln("n"))).alias("spread"),
             (at(1, F.col("n") * F.ln("n")) / at(1, F.col("n"))).alias("same"),
             F.ln(at(1, F.col("n"))).alias("layouts"),
-            F.max("weight").alias("weight"), F.max("article").alias("article"),
+            F.max("weight").alias("weight"),
         ).select(
-            *keys, "m", "weight", "article",
+            *keys, "m", "weight",
             F.when(F.col("m") <= 1, F.lit(1.0)).otherwise(
                 F.greatest(
                     1 - F.coalesce(F.col("spread"), F.ln("m")) / F.ln("m"),
@@ -232,14 +239,14 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     own = nodes(seen, "host", "path")
     everywhere = nodes(
-        seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("weight").alias("weight"), F.max("article").alias("article")),
+        seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("weight").alias("weight")),
         "path",
     ).select("path", F.col("value").alias("common"))
     value = F.when(F.col("m") >= MIN_PAGES, F.col("value")).otherwise(F.col("common"))
+    value = (value * (F.col("m") - 1 + PULL) + PULL / 2) / (F.col("m") - 1 + 2 * PULL)
     return own.join(everywhere, "path").select(
-        "host", "path",
-        (F.col("weight") * F.when(F.col("article"), F.greatest(value, F.lit(FLOOR))).otherwise(value)).alias("importance"),
-    )
+        "host", "path", (F.col("weight") * value / (F.col("weight") * value + 1 - value)).alias("importance")
+    )
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
