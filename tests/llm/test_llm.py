@@ -442,6 +442,18 @@ def test_value_outweighs_kinds(spark):
     assert got == {i: f"beside {i}\n\ntext {i}\n\nmore {i}" for i in range(60)} | {100 + i: f"text {i}\n\nfollow {i}" for i in range(60)}
 
 
+def test_small_hosts_have_their_own_tree(spark):
+    """A repeated branch under a common path goes from small hosts too, and one more page is no switch."""
+    ready(spark)
+    page = "<body><div><p>{}</p></div><section><p>text {}</p></section>"
+    sizes = {10: "a", 29: "b", 30: "c"}
+    rows = [(k * 1000 + i, f"http://{h}/{i}", page.format(f"notice of {h}", f"{h}{i}")) for k, h in sizes.items() for i in range(k)]
+    rows += [(100_000 + i, f"http://other{i % 50}/{i}", page.format(f"news {i}", f"o{i}")) for i in range(500)]
+    got = main_texts(spark, rows)
+    assert all(got[k * 1000 + i] == f"text {h}{i}" for k, h in sizes.items() for i in range(k))
+    assert all(got[100_000 + i] == f"news {i}\n\ntext o{i}" for i in range(500))
+
+
 # --- secrets
 
 

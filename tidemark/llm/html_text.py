@@ -11,8 +11,8 @@ children. Over the ``m`` pages that have a node,
   like) and what stands beside an article count less, an article counts more. The
   value can outweigh any kind, the more so the more pages tell it.
 
-A host with few pages takes the importance of the same path over all hosts. A
-branch whose importance is under the cut is removed from every page of the host.
+The value is blended with that of the same path over all hosts, which weighs less
+the more pages of the host have the node. A branch whose importance is under the cut is removed from every page of the host.
 """
 
 from __future__ import annotations
@@ -34,8 +34,6 @@ CUT = 0.5
 MARKED, ARTICLE, BESIDE = 1 / 9, 2.0, 1 / 9
 #: Pages that the value over all hosts, and doubt (an even value), each weigh as much as.
 PULL = 4
-#: Pages from which on a host's own tree decides.
-MIN_PAGES = 30
 #: Nearest elements above a block that count it as theirs.
 NEAREST = 64
 
@@ -241,9 +239,9 @@ def style_tree(pages: DataFrame) -> DataFrame:
     everywhere = nodes(
         seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("weight").alias("weight")),
         "path",
-    ).select("path", F.col("value").alias("common"))
-    value = F.when(F.col("m") >= MIN_PAGES, F.col("value")).otherwise(F.col("common"))
-    value = (value * (F.col("m") - 1 + PULL) + PULL / 2) / (F.col("m") - 1 + 2 * PULL)
+    ).select("path", ((F.col("value") * (F.col("m") - 1) + PULL / 2) / (F.col("m") - 1 + PULL)).alias("common"))
+    # a single page tells nothing; there is no number of pages at which the host's own tree sets in
+    value = (F.col("value") * (F.col("m") - 1) + F.col("common") * PULL + PULL / 2) / (F.col("m") - 1 + 2 * PULL)
     return own.join(everywhere, "path").select(
         "host", "path", (F.col("weight") * value / (F.col("weight") * value + 1 - value)).alias("importance")
     )
