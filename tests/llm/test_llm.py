@@ -454,6 +454,19 @@ def test_small_hosts_have_their_own_tree(spark):
     assert all(got[100_000 + i] == f"news {i}\n\ntext o{i}" for i in range(500))
 
 
+def test_deep_branches(spark):
+    """A branch counts and takes with it all that lies below, however deep."""
+    ready(spark)
+    page = "<body><section><p>text {0}</p></section><div class=comments>" + "<div>" * 100 + "<p>reply {0}"
+    assert main_texts(spark, [(i, f"http://h/{i}", page.format(i)) for i in range(3)]) == {i: f"text {i}" for i in range(3)}
+    for depth in (1, 5, 100):
+        tree = "<body><section>" + "<div>" * depth + "<p>{}"
+        pages = spark.createDataFrame([("h", tree.format(i % 2)) for i in range(8)], "host string, text string")
+        body = html_text.Page(tree).nodes
+        got = {r.path: r.importance for r in html_text.style_tree(pages).collect()}
+        assert set(got) == set(body) and len(set(got.values())) == 1
+
+
 # --- secrets
 
 

@@ -1,8 +1,8 @@
 """Main text of web pages by site style trees.
 
 The pages of a host are merged into one tree: a node is an element's path of tags
-and classes, with the blocks of text seen below it and the layouts of its
-children. Over the ``m`` pages that have a node,
+and classes, with the blocks of text seen below it, at any depth (a block is its
+text and the node that holds it), and the layouts of its children. Over the ``m`` pages that have a node,
 
 * content importance is one less the mean entropy (base ``m``) of its blocks over
   the pages: text that returns on many pages says little;
@@ -32,10 +32,10 @@ from tidemark.llm.common import texts, written
 CUT = 0.5
 #: Odds of kinds to be main text: marked ones, unmarked ones of an article, and a factor of what stands beside one.
 MARKED, ARTICLE, BESIDE = 1 / 9, 2.0, 1 / 9
+#: Stands for all hosts; no host has a slash.
+ALL = "/"
 #: Pages that the value over all hosts, and doubt (an even value), each weigh as much as.
 PULL = 4
-#: Nearest elements above a block that count it as theirs.
-NEAREST = 64
 
 #: Elements by kind.
 BLOCKS = frozenset(
@@ -70,12 +70,12 @@ _HOLDS = frozenset("has with no without is".split())
 
 
 class Node:
-    """An open element: its path in the style tree, weight, zone, and whether it lies in boilerplate."""
+    """An open element: its path in the style tree, zone, and whether it lies in boilerplate."""
 
-    __slots__ = ("tag", "path", "weight", "article", "low", "children")
+    __slots__ = ("tag", "path", "article", "low", "children")
 
-    def __init__(self, tag: str, path: int, weight: float, article: bool, low: bool) -> None:
-        self.tag, self.path, self.weight, self.article, self.low = tag, path, weight, article, low
+    def __init__(self, tag: str, path: int, article: bool, low: bool) -> None:
+        self.tag, self.path, self.article, self.low = tag, path, article, low
         self.children: list[str] = []
 
 
@@ -90,16 +90,17 @@ def _label(tag: str, more: str) -> tuple[str, bool]:
 
 
 class Page:
-    """Blocks of a page in order, each with the paths of the elements around it."""
+    """Blocks of a page in order, each with the node that holds it; nodes in order, each below one before it."""
 
     def __init__(self, source: str) -> None:
-        self.blocks: list[tuple[str, tuple[int, ...], bool]] = []
-        self.nodes: dict[int, tuple[float, bool, tuple[str, ...]]] = {}
+        self.blocks: list[tuple[str, int]] = []
+        # node above, depth, weight, article, layouts
+        self.nodes: dict[int, tuple[int | None, int, float, bool, list[str]]] = {0: (None, 0, 1.0, False, [])}
         self.has_article = False
         self._read(source)
 
     def _read(self, source: str) -> None:
-        root = Node("", 0, 1.0, False, False)
+        root = Node("", 0, False, False)
         stack, held, skip, at = [root], [], 0, 0
 
         def flush() -> None:
@@ -107,18 +108,15 @@ class Page:
                 text = " ".join(html.unescape("".join(held)).split())
                 held.clear()
                 if text:
-                    # what stands around an article says nothing about it
-                    near = [n for n in stack[-NEAREST:] if n.article or not stack[-1].article]
-                    self.blocks.append((text, tuple(n.path for n in near), stack[-1].article))
+                    self.blocks.append((text, stack[-1].path))
 
         def close(upto: int) -> None:
             flush()
             while len(stack) > upto:
                 node = stack.pop()
-                weight, article, seen = self.nodes.get(node.path, (node.weight, node.article, ()))
                 # equal neighbours count once, so that longer texts are no other layout
                 layout = [c for i, c in enumerate(node.children) if not i or node.children[i - 1] != c]
-                self.nodes[node.path] = (weight, article, (*seen, "/".join(layout)))
+                self.nodes[node.path][-1].append("/".join(layout))
 
         while at < len(source):
             m = _TOKEN.match(source, at)
@@ -171,29 +169,64 @@ class Page:
             above.children.append(label)
             path = xxhash.xxh64_intdigest(f"{above.path}/{label}".encode()) >> 1
             article = above.article or opens
-            stack.append(Node(tag, path, MARKED if marked else ARTICLE if article else 1.0, article, above.low or marked))
+            if path not in self.nodes:
+                # what stands around an article says nothing about it
+                up, depth = (above.path, self.nodes[above.path][1] + 1) if above.article or not opens else (None, 0)
+                self.nodes[path] = (up, depth, MARKED if marked else ARTICLE if article else 1.0, article, [])
+            stack.append(Node(tag, path, article, above.low or marked))
         close(0)
         if self.has_article:
             # what stands beside an article is a node of its own
-            self.nodes = {p if n[1] else p ^ 1: n if n[1] else (n[0] * BESIDE, *n[1:]) for p, n in self.nodes.items()}
-            self.blocks = [(t, paths if article else tuple(p ^ 1 for p in paths), article) for t, paths, article in self.blocks]
-
-    def statistics(self) -> set[tuple[int, float, int, int]]:
-        """(path, weight, kind, feature): 0 a block below, 1 a layout, 2 the node itself."""
+            beside = {p: p if n[3] else p ^ 1 for p, n in self.nodes.items()}
+            self.nodes = {
+                beside[p]: (beside.get(up), depth, weight if article else weight * BESIDE, article, layouts)
+                for p, (up, depth, weight, article, layouts) in self.nodes.items()
+            }
+            self.blocks = [(t, beside[p]) for t, p in self.blocks]
+
+    def statistics(self) -> set[tuple[int, int | None, int | None, float | None, int, int]]:
+        """(path, path above, depth, weight, kind, feature): 0 a block, 1 a layout, 2 the node itself."""
         out = set()
-        for path, (weight, _, layouts) in self.nodes.items():
-            out.add((path, weight, 2, 0))
+        for path, (up, depth, weight, _, layouts) in self.nodes.items():
+            out.add((path, up, depth, weight, 2, 0))
             for x in layouts:
-                out.add((path, weight, 1, xxhash.xxh64_intdigest(x.encode()) >> 1))
-        for text, paths, _ in self.blocks:
-            feature = xxhash.xxh64_intdigest(text.encode()) >> 1
-            for path in paths:
-                out.add((path, self.nodes[path][0], 0, feature))
+                out.add((path, None, None, None, 1, xxhash.xxh64_intdigest(x.encode()) >> 1))
+        for text, path in self.blocks:
+            out.add((path, None, None, None, 0, xxhash.xxh64_intdigest(text.encode()) >> 1))
         return out
 
     def text(self, removed: set[int]) -> str:
         """Blocks outside the removed branches."""
-        return "\n\n".join(t for t, paths, _ in self.blocks if not any(p in removed for p in paths))
+        gone: dict[int | None, bool] = {None: False}
+        for path, (up, *_) in self.nodes.items():
+            gone[path] = path in removed or gone[up]
+        return "\n\n".join(t for t, p in self.blocks if not gone[p])
+
+
+def _below(tree: DataFrame) -> DataFrame:
+    """``host, path, texts, spread``: summed over each node and all nodes below it.
+
+    Pointer doubling: round ``k`` adds the sums of the nodes ``2^k`` below, as many
+    rounds as the deepest node needs.
+    """
+    deepest, step = tree.agg(F.max("depth")).first()[0] or 0, 1
+    sums = tree.select("host", "path", "up", "texts", "spread")
+    while step <= deepest:
+        more = sums.where("up is not null").groupBy("host", F.col("up").alias("path")).agg(
+            F.sum("texts").alias("more_texts"), F.sum("spread").alias("more_spread")
+        )
+        far = sums.select("host", F.col("path").alias("up"), F.col("up").alias("far"))
+        raised = sums.where("up is not null").join(far, ["host", "up"]).select("host", "path", F.col("far").alias("up"), "texts", "spread")
+        sums = written(
+            raised.unionByName(sums.where("up is null")).join(more, ["host", "path"], "left").select(
+                "host", "path", "up",
+                (F.col("texts") + F.coalesce("more_texts", F.lit(0))).alias("texts"),
+                (F.col("spread") + F.coalesce("more_spread", F.lit(0.0))).alias("spread"),
+            ),
+            "sums",
+        )
+        step *= 2
+    return sums.drop("up")
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -203,47 +236,47 @@ def style_tree(pages: DataFrame) -> DataFrame:
         for batch in batches:
             hosts, found = batch.column("host").to_pylist(), [Page(t.decode()).statistics() for t in texts(batch)]
             flat = [(h, *s) for h, each in zip(hosts, found) for s in each]
-            columns = list(zip(*flat)) or [()] * 5
-            kinds = [pa.string(), pa.int64(), pa.float64(), pa.int32(), pa.int64()]
-            names = ["host", "path", "weight", "kind", "feature"]
+            columns = list(zip(*flat)) or [()] * 7
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int64()]
+            names = ["host", "path", "up", "depth", "weight", "kind", "feature"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    schema = "host string, path long, weight double, kind int, feature long"
+    schema = "host string, path long, up long, depth int, weight double, kind int, feature long"
+    known = lambda: [F.max(c).alias(c) for c in ("up", "depth", "weight")]
     # a table, as hosts and the tree over all hosts both read it: pages are parsed once for them
     seen = written(
         pages.select("host", "text").mapInArrow(run, schema)
-        .groupBy("host", "path", "kind", "feature")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")),
+        .groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("n"), *known()),
         "seen",
-    )
+    )
+    everywhere = seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"), *known()).select(F.lit(ALL).alias("host"), "*")
 
-    def nodes(rows: DataFrame, *keys: str) -> DataFrame:
+    def nodes(rows: DataFrame) -> DataFrame:
         at = lambda k, value: F.sum(F.when(F.col("kind") == k, value))
-        return rows.groupBy(*keys).agg(
+        return rows.groupBy("host", "path").agg(
             at(2, F.col("n")).alias("m"),
-            F.avg(F.when(F.col("kind") == 0, F.ln("n"))).alias("spread"),
+            F.count(F.when(F.col("kind") == 0, 1)).alias("texts"),
+            F.coalesce(at(0, F.ln("n")), F.lit(0.0)).alias("spread"),
             (at(1, F.col("n") * F.ln("n")) / at(1, F.col("n"))).alias("same"),
             F.ln(at(1, F.col("n"))).alias("layouts"),
-            F.max("weight").alias("weight"),
-        ).select(
-            *keys, "m", "weight",
-            F.when(F.col("m") <= 1, F.lit(1.0)).otherwise(
-                F.greatest(
-                    1 - F.coalesce(F.col("spread"), F.ln("m")) / F.ln("m"),
-                    (F.col("layouts") - F.col("same")) / F.greatest(F.ln("m"), "layouts"),
-                )
-            ).alias("value"),
+            *known(),
         )
 
-    own = nodes(seen, "host", "path")
-    everywhere = nodes(
-        seen.groupBy("path", "kind", "feature").agg(F.sum("n").alias("n"), F.max("weight").alias("weight")),
-        "path",
-    ).select("path", ((F.col("value") * (F.col("m") - 1) + PULL / 2) / (F.col("m") - 1 + PULL)).alias("common"))
+    tree = written(nodes(seen).unionByName(nodes(everywhere)), "tree")
+    value = F.when(F.col("m") <= 1, F.lit(1.0)).otherwise(
+        F.greatest(
+            F.when(F.col("texts") > 0, 1 - F.col("spread") / F.col("texts") / F.ln("m")).otherwise(F.lit(0.0)),
+            (F.col("layouts") - F.col("same")) / F.greatest(F.ln("m"), "layouts"),
+        )
+    )
+    valued = tree.drop("texts", "spread").join(_below(tree), ["host", "path"]).select("host", "path", "m", "weight", value.alias("value"))
+    everywhere = valued.where(F.col("host") == ALL).select(
+        "path", ((F.col("value") * (F.col("m") - 1) + PULL / 2) / (F.col("m") - 1 + PULL)).alias("common")
+    )
     # a single page tells nothing; there is no number of pages at which the host's own tree sets in
     value = (F.col("value") * (F.col("m") - 1) + F.col("common") * PULL + PULL / 2) / (F.col("m") - 1 + 2 * PULL)
-    return own.join(everywhere, "path").select(
-        "host", "path", (F.col("weight") * value / (F.col("weight") * value + 1 - value)).alias("importance")
+    return valued.where(F.col("host") != ALL).join(everywhere, "path").select(
+        "host", "path", F.round(F.col("weight") * value / (F.col("weight") * value + 1 - value), 9).alias("importance")
     )
 
 
