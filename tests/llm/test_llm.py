@@ -463,10 +463,21 @@ def test_deep_branches(spark):
         tree = "<body><section>" + "<div>" * depth + "<p>{}"
         pages = spark.createDataFrame([("h", tree.format(i % 2)) for i in range(8)], "host string, text string")
         body = html_text.Page(tree).nodes
-        got = {r.path: r.importance for r in html_text.style_tree(pages).collect()}
+        got = {r.path: r.importance for r in html_text.style_tree(html_text.parsed(pages)).collect()}
         assert set(got) == set(body) and len(set(got.values())) == 1
 
 
+def test_pages_get_their_own_removed_paths(spark, monkeypatch):
+    """No row holds the removed paths of a whole host."""
+    ready(spark)
+    tables, written = [], html_text.written
+    monkeypatch.setattr(html_text, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    page = "<body><section><p>text {0}</p></section><div class='comment comment-{0}'><p>reply {0}"
+    assert main_texts(spark, [(i, f"http://h/{i}", page.format(i)) for i in range(200)]) == {i: f"text {i}" for i in range(200)}
+    sizes = [t.agg(F.max(F.size("low"))).first()[0] for t in tables if "low" in t.columns]
+    assert sizes and max(sizes) <= 3
+
+
 # --- secrets
 
 

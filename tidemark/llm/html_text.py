@@ -20,6 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -229,23 +230,34 @@ def _below(tree: DataFrame) -> DataFrame:
     return sums.drop("up")
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """``host, path, importance`` of every node of every host's tree; ``pages`` has ``host`` and ``text``."""
+def parsed(pages: DataFrame, *keys: str) -> DataFrame:
+    """The keys, the ``host`` and the ``found`` statistics of each page, as a table; ``pages`` has ``host`` and ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found = batch.column("host").to_pylist(), [Page(t.decode()).statistics() for t in texts(batch)]
-            flat = [(h, *s) for h, each in zip(hosts, found) for s in each]
-            columns = list(zip(*flat)) or [()] * 7
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int64()]
-            names = ["host", "path", "up", "depth", "weight", "kind", "feature"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-    schema = "host string, path long, up long, depth int, weight double, kind int, feature long"
+            found = [Page(t.decode()).statistics() for t in texts(batch)]
+            columns = list(zip(*(x for each in found for x in each))) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int32(), pa.int64()]
+            names = ["path", "up", "depth", "weight", "kind", "feature"]
+            flat = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            ends = pa.array([0, *accumulate(map(len, found))], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in (*keys, "host")), pa.ListArray.from_arrays(ends, flat)], [*keys, "host", "found"]
+            )
+
+    rows = pages.select(*keys, "host", "text")
+    kept = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in (*keys, "host"))
+    return written(
+        rows.mapInArrow(run, f"{kept}, found array<struct<path:bigint,up:bigint,depth:int,weight:double,kind:int,feature:bigint>>"), "parsed"
+    )
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """``host, path, importance`` of every node of every host's tree; ``pages`` is what ``parsed`` gives."""
     known = lambda: [F.max(c).alias(c) for c in ("up", "depth", "weight")]
-    # a table, as hosts and the tree over all hosts both read it: pages are parsed once for them
+    # a table, as hosts and the tree over all hosts both read it
     seen = written(
-        pages.select("host", "text").mapInArrow(run, schema)
+        pages.select("host", F.explode("found").alias("x")).select("host", "x.*")
         .groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("n"), *known()),
         "seen",
     )
@@ -292,9 +304,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         F.lower(F.coalesce(F.regexp_extract(F.col(f"`{url_col}`"), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit(""))).alias("host"),
         F.coalesce(F.col(f"`{html_col}`").cast("string"), F.lit("")).alias("text"),
     )
-    low = style_tree(rows).where(F.col("importance") < CUT).groupBy("host").agg(F.array_sort(F.collect_set("path")).alias("low"))
-    # as a table of its own, so that the pages of a large host can be split in the join
-    low = written(low, "low")
+    # two hashes of all columns tell a page; rows that share them are equal
+    rows = rows.withColumns({"a": F.xxhash64("page_id", "url", "text"), "b": F.xxhash64("text", "url", "page_id")})
+    found = parsed(rows, "a", "b")
+    low = written(style_tree(found).where(F.col("importance") < CUT).select("host", "path"), "low")
+    # a page gets the removed paths it holds, whatever its host has besides; a table of its own,
+    # so that the pages can be split in the join
+    held = found.select("a", "b", "host", F.explode(F.expr("filter(found, x -> x.kind = 2).path")).alias("path"))
+    low = written(held.join(low, ["host", "path"]).groupBy("a", "b").agg(F.collect_set("path").alias("low")), "held")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,6 +325,6 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             )
 
     kind = rows.schema["page_id"].dataType.simpleString()
-    return rows.join(low, "host", "left").select("page_id", "url", "text", "low").mapInArrow(
+    return rows.join(low, ["a", "b"], "left").select("page_id", "url", "text", "low").mapInArrow(
         run, f"page_id {kind}, url string, text string, n_chars long"
     )
