@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, exact_dedup, html_text, langid, licenses, lm, quality, secrets, simhash
+from tidemark.llm import bpe, decontaminate, exact_dedup, html_text, langid, licenses, lm, quality, secrets, simhash, turns, url_filter, whitening
 from tidemark.llm.common import ready
 
 
@@ -82,6 +82,37 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.secret_spans(_table(spark, folder, "documents"))
 
 
+#: The rules of the url filter's contract.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+#: Pages that name a host of this farm are listed.
+SPAM_HOST = "spam-farm."
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url; where no rule fits, urls of pages that name a spam farm are blocked."""
+    pages = _table(spark, folder, "pages")
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    host, path = url_filter.url_parts(F.col("url"))
+    listed = pages.where(F.contains("html", F.lit(SPAM_HOST))).select(F.concat(host, path).alias("key")).where("key <> ''")
+    return url_filter.filter_urls(pages, rules, listed)
+
+
+def op12_turns(spark: SparkSession, folder: str) -> DataFrame:
+    """Repair of every damaged conversation."""
+    return turns.repair_conversations(_table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight whitened components of every embedding."""
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     import corpus_pipeline
@@ -93,7 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_licenses, op2_lm_scores, op3_quality, op4_exact_dedup, op5_bpe, op6_language, op7_decontaminate, op8_main_text,
-        op9_simhash, op10_secrets, pipeline,
+        op9_simhash, op10_secrets, op11_url_filter, op12_turns, op13_whitening, pipeline,
     )
 }
 
@@ -200,4 +231,20 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
                coalesce(spans, '') AS spans, coalesce(longest, 0) AS longest
         FROM d LEFT JOIN spans USING (r) LEFT JOIN items USING (r)""",
+    "op11_url_filter": f"""
+        WITH u AS (
+            SELECT page_id, html,
+                   translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+            FROM pages
+        ),
+        rules(h, p, v) AS (VALUES {", ".join(str(r) for r in URL_RULES)}),
+        fits AS (
+            SELECT DISTINCT host, path, h || p AS rule, v FROM (SELECT DISTINCT host, path FROM u), rules
+            WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+            QUALIFY row_number() OVER (PARTITION BY host, path ORDER BY length(h || p) DESC) = 1
+        ),
+        listed AS (SELECT DISTINCT host || path AS key FROM u WHERE contains(html, '{SPAM_HOST}') AND host || path <> '')
+        SELECT page_id, host, path, rule, coalesce(v, CASE WHEN key IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+        FROM u LEFT JOIN fits USING (host, path) LEFT JOIN listed ON key = host || path""",
 }
