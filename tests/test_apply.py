@@ -199,3 +199,28 @@ def test_null_keys_are_replayed_once(spark, merge):
     for _ in range(2):
         history = A.apply_changes_scd2(history, batch, ["id"], ["s"])
     assert A.history_rows(history).count() == 2
+
+
+def test_both_merges_agree_and_no_other_is_known(spark):
+    old = A.winners(A.as_changes(spark.createDataFrame([(1, 1, "a"), (None, 1, "n"), (2, 5, "b")], "k int, s int, v string")), ["k"], ["s"])
+    new = spark.createDataFrame([(1, 2, "A", False), (None, 2, None, True), (2, 4, "late", False), (3, 1, "c", False)], "k int, s int, v string, _deleted boolean")
+    expected = sorted([(1, 2, "A", False), (None, 2, None, True), (2, 5, "b", False), (3, 1, "c", False)], key=repr)
+    for merge in ("shuffle", "probe"):
+        assert rows(A.apply_changes_scd1(old, new, ["k"], ["s"], merge).select("k", "s", "v", "_deleted")) == expected
+    with pytest.raises(ValueError, match="auto"):
+        A.apply_changes_scd1(old, new, ["k"], ["s"], "auto")
+
+
+def test_merge_shuffles_each_side_once(spark):
+    frame = spark.range(100).select("id", F.lit(1).alias("s"), F.lit("x").alias("v"))
+    plan = A.apply_changes_scd1(frame, frame, ["id"], ["s"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_a_column_that_changes_its_type_rewrites_the_target(spark, tmp_path):
+    target = Target(spark, str(tmp_path / "t"), keys=["id"], buckets=4)
+    target.apply("f", 0, lambda state: spark.range(20).select("id", F.lit(1).alias("v")))
+    text = spark.createDataFrame([(3, "x")], "id long, v string")
+    merge = lambda state: state.where("id <> 3").withColumn("v", F.col("v").cast("string")).unionByName(text)
+    target.apply("f", 1, merge, text)
+    assert rows(target.state()) == sorted([(i, "x" if i == 3 else "1") for i in range(20)], key=repr)

@@ -50,11 +50,21 @@ def _rank(df: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> Column:
     return F.struct(*seq, DELETED, payload_hash(df, _payload(df, keys)).alias("_tie"))
 
 
+def key_struct(keys: Sequence[str]) -> Column:
+    """The keys as one value: never null, and equal where null keys meet, so joins and groupings share it."""
+    return F.struct(*[F.col(k) for k in keys])
+
+
 def winners(changes: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
     """One row per key: the highest sequence.  Combined on the map side."""
+    return _keyed_winners(changes, keys, seq).select("_k.*", "_r.*")
+
+
+def _keyed_winners(changes: DataFrame, keys: Sequence[str], seq: Sequence[str]) -> DataFrame:
+    """``_k`` (the keys), ``_r`` (the other columns) and ``_rank`` of the highest sequence of each key."""
     rest = [c for c in changes.columns if c not in keys]
-    best = changes.groupBy(*keys).agg(F.max_by(F.struct(*rest), _rank(changes, keys, seq)).alias("_r"))
-    return best.select(*keys, "_r.*")
+    ranked = changes.select(key_struct(keys).alias("_k"), F.struct(*rest).alias("_r"), _rank(changes, keys, seq).alias("_rank"))
+    return ranked.groupBy("_k").agg(F.max_by("_r", "_rank").alias("_r"), F.max("_rank").alias("_rank"))
 
 
 def apply_changes_scd1(
@@ -62,33 +72,28 @@ def apply_changes_scd1(
 ) -> DataFrame:
     """Next type 1 state: per key the row with the highest sequence.
 
-    ``shuffle`` meets both sides in one full outer join.  ``probe`` suits a
-    small batch: the target streams through a join that AQE broadcasts once
-    the batch is measured to be small, and is not shuffled.  ``auto`` counts
-    the batch, up to ``PROBE_ROWS``, to choose.
+    ``shuffle`` meets both sides in one full outer join, for which the batch is
+    already dealt by its grouping.  ``probe`` suits a small batch: the target streams
+    through a join that AQE broadcasts once the batch is measured to be small, and is
+    not shuffled.
     """
-    if merge == "auto":
-        merge = "probe" if changes.limit(PROBE_ROWS + 1).count() <= PROBE_ROWS else "shuffle"
-    old, new = as_changes(target), winners(as_changes(changes), keys, seq)
+    if merge not in ("shuffle", "probe"):
+        raise ValueError(f"unknown merge {merge!r}")
+    old, changes = as_changes(target), as_changes(changes)
     cols = old.columns
-    new = new.select(*[F.col(c) if c in new.columns else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in cols])
+    fit = [F.col(c) if c in changes.columns else F.lit(None).cast(old.schema[c].dataType).alias(c) for c in cols]
+    right = _keyed_winners(changes.select(*fit), keys, seq).toDF("_k2", "_new", "_new_rank")
     rest = [c for c in cols if c not in keys]
-    left = old.select(*keys, F.struct(*rest).alias("_old"), _rank(old, keys, seq).alias("_old_rank"))
-    right = new.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.struct(*rest).alias("_new"), _rank(new, keys, seq).alias("_new_rank")
-    )
-    match = same_key(keys)
+    left = old.select(key_struct(keys).alias("_k"), F.struct(*rest).alias("_old"), _rank(old, keys, seq).alias("_old_rank"))
     newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (F.col("_new_rank") > F.col("_old_rank")))
     row = F.when(newer, F.col("_new")).otherwise(F.col("_old")).alias("_r")
+    match = F.col("_k") == F.col("_k2")
     if merge == "shuffle":
         joined = left.join(right, match, "full_outer")
-        out = joined.select(*[F.coalesce(F.col(k), F.col(f"_k_{k}")).alias(k) for k in keys], row)
-        return out.select(*keys, "_r.*").select(*cols)
-    if merge != "probe":
-        raise ValueError(f"unknown merge {merge!r}")
-    kept = left.join(right, match, "left").select(*keys, row).select(*keys, "_r.*")
-    known = old.select(*keys).join(keys_of(new, keys), match, "left_semi")
-    fresh = new.join(keys_of(known, keys), match, "left_anti")
+        return joined.select(F.coalesce("_k", "_k2").alias("_k"), row).select("_k.*", "_r.*").select(*cols)
+    kept = left.join(right, match, "left").select("_k", row).select("_k.*", "_r.*")
+    known = left.select("_k").join(right.select("_k2"), match, "left_semi")
+    fresh = right.join(known, match, "left_anti").select("_k2.*", "_new.*")
     return kept.select(*cols).unionByName(fresh.select(*cols))
 
 

@@ -7,6 +7,7 @@ come from a metadata frame unless the spec overrides them.
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans import apply as A
-from tidemark.plans.target import AppendTarget, Target
+from tidemark.plans.logtable import LogTarget
+from tidemark.plans.target import AppendTarget, Target, folder_names
 from tidemark.streaming import runs
 
 # Options that steer the target and never reach the source.
@@ -129,16 +131,17 @@ def _run_table(spark, plan: TablePlan, schema, landing: str, out: str, fmt: str,
         stream = runs.stream_landing(spark, source, schema, files, fmt)
         runs.run_available_now(stream, runs.append_flow(AppendTarget(spark, f"{dest}/data")), f"{dest}/checkpoint/append")
         return
-    target = Target(spark, dest, plan.cluster_by, plan.keys)
     if plan.ingestion_type == "snapshot":
+        target = Target(spark, dest, plan.cluster_by, plan.keys)
         run_snapshot(target, spark.read.format(fmt).schema(schema).load(source), plan.keys, plan.scd, version)
         return
     if not plan.sequence_by or not plan.keys:
         raise ValueError(f"table {plan.source} needs keys and a sequence column")
     seq = [plan.sequence_by]
+    target = LogTarget(spark, dest, plan.keys, seq, plan.scd, plan.cluster_by)
     stream = runs.stream_landing(spark, source, schema, files, fmt)
     runs.run_available_now(stream, runs.upsert_flow(target, plan.keys, seq, plan.scd), f"{dest}/checkpoint/upsert")
-    if plan.ingestion_type == "cdc_with_deletes":
+    if plan.ingestion_type == "cdc_with_deletes" and folder_names(spark, f"{source}__deletes"):
         gone = runs.stream_landing(spark, f"{source}__deletes", schema, files, fmt)
         runs.run_available_now(gone, runs.delete_flow(target, plan.keys, seq, plan.scd), f"{dest}/checkpoint/delete")
 

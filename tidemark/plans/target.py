@@ -118,6 +118,10 @@ class Target:
             changes = None
         current = self._read(head, sorted(touched)) if head.generation else None
         rows, place = build(current), self.data_path(head.generation + 1)
+        if changes is not None and head.generation and _moved(T.StructType.fromJson(json.loads(head.schema)), rows.schema):
+            # a column changed its type: buckets written before would not be readable beside the new ones
+            touched, changes = set(head.parts), None
+            rows = build(self._read(head, sorted(touched)))
         write_clustered(rows.withColumn(BUCKET, self.bucket_of(buckets)), place, [BUCKET], self.cluster_by)
         written = {n.split("=")[1] for n in folder_names(self.spark, place) if n.startswith(f"{BUCKET}=")}
         kept = {b: g for b, g in head.parts.items() if changes is not None and b not in touched}
@@ -125,6 +129,8 @@ class Target:
             head.generation + 1, head.flows | {flow: [query, batch_id]}, kept | dict.fromkeys(written, head.generation + 1),
             buckets, rows.schema.json(),
         )
+        if self.head().generation != head.generation:
+            raise RuntimeError(f"another writer committed to {self.path}")
         record = self.spark.createDataFrame([(json.dumps(vars(commit), sort_keys=True),)], _COMMIT).coalesce(1)
         record.write.mode("overwrite").json(f"{self.path}/commits/{commit.generation:08d}")
         self._prune()
@@ -160,6 +166,12 @@ class Target:
         fs.delete(place, True)
 
 
+def _moved(old: T.StructType, new: T.StructType) -> bool:
+    """Whether a column that both have changed its type."""
+    known = {f.name: f.dataType for f in old}
+    return any(f.name in known and known[f.name].simpleString() != f.dataType.simpleString() for f in new)
+
+
 def write_clustered(df: DataFrame, path: str, parts: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
     """Write parquet in folders by ``parts``, sorted by the cluster columns, so that scans skip row groups.
 

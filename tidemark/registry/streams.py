@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import scan as S
 from tidemark.plans import apply as A
 from tidemark.plans import ingest as In
+from tidemark.plans.logtable import LogTarget
 from tidemark.plans.target import AppendTarget, Target, create_target, sink_append
 from tidemark.registry.base import query, scratch
 from tidemark.streaming import runs
@@ -209,8 +210,8 @@ def ingest(t):
         F.lit(name).alias("table_name"), F.count("*").alias("n"), F.sum(c).cast("bigint").alias("total")
     )
     return (
-        total(A.current_rows(Target(spark, f"{place}/out/orders").state()), "orders", "o_orderkey")
-        .unionByName(total(A.history_rows(Target(spark, f"{place}/out/customer").state()), "customer", "c_custkey"))
+        total(LogTarget(spark, f"{place}/out/orders").read(), "orders", "o_orderkey")
+        .unionByName(total(LogTarget(spark, f"{place}/out/customer").read(), "customer", "c_custkey"))
         .unionByName(total(AppendTarget(spark, f"{place}/out/events/data").read(), "events", "event_id"))
         .unionByName(total(Target(spark, f"{place}/out/nations").state(), "nation", "n_nationkey"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.ingest import run_snapshot
+from tidemark.plans.logtable import LogTarget
 from tidemark.plans.target import AppendTarget, Target, folder_names
 from tidemark.streaming import runs
 
@@ -56,7 +57,7 @@ def run(spark: SparkSession, job: Job, landing: str, out: str, scd: int = 1) ->
         sink = AppendTarget(spark, f"{out}/data")
         runs.run_available_now(stream, runs.append_flow(sink), f"{out}/checkpoint")
         return sink.read()
-    target = Target(spark, out, keys=job.keys)
+    target = LogTarget(spark, out, job.keys, [job.cursor], scd)
     runs.run_available_now(stream, runs.upsert_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint")
     if job.ingestion_type == "cdc_with_deletes" and folder_names(spark, f"{landing}__deletes"):
         gone = (job.shape_deletes or job.shape)(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.scan import scan_partitioned
 from tidemark.plans import apply as A
+from tidemark.plans.logtable import LogTarget
 from tidemark.plans.target import AppendTarget, Target
 
 
@@ -50,24 +51,27 @@ def query_id(batch: DataFrame) -> str:
 
 
 def upsert_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "shuffle"
+    target: Target | LogTarget, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "upsert", merge: str = "shuffle"
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function that upserts into a keyed target."""
+    """Batch function that upserts into a keyed target; a log target takes keys, sequence and history from its own settings."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=False)
 
 
 def delete_flow(
-    target: Target, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "shuffle"
+    target: Target | LogTarget, keys: Sequence[str], seq: Sequence[str], scd: int = 1, flow: str = "delete", merge: str = "shuffle"
 ) -> Callable[[DataFrame, int], None]:
     """Batch function that applies tombstones; may share a target with an upsert flow."""
     return _change_flow(target, keys, seq, scd, flow, merge, deletes=True)
 
 
-def _change_flow(target: Target, keys, seq, scd: int, flow: str, merge: str, deletes: bool):
+def _change_flow(target: Target | LogTarget, keys, seq, scd: int, flow: str, merge: str, deletes: bool):
+    as_rows = lambda batch: batch.select(*keys, *seq).withColumn(A.DELETED, F.lit(True)) if deletes else A.as_changes(batch)
+    if isinstance(target, LogTarget):
+        return lambda batch, batch_id: target.apply(as_rows(batch), flow, batch_id, query_id(batch))
     target.keys = target.keys or list(keys)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*keys, *seq).withColumn(A.DELETED, F.lit(True)) if deletes else A.as_changes(batch)
+        rows = as_rows(batch)
 
         def build(state: DataFrame | None) -> DataFrame:
             if scd == 2:
