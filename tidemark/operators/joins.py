@@ -12,8 +12,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.forest import tree_walk  # noqa: F401
 from tidemark.plans.apply import payload_hash, same_key
-from tidemark.session import saved
 
 
 def fan_out(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, context: Sequence[str] = ()) -> DataFrame:
@@ -158,39 +158,6 @@ def snapshot_anti(target: DataFrame, snap: DataFrame, keys: Sequence[str]) -> Da
     return target.join(snap.select(*[F.col(k).alias(f"_k_{k}") for k in keys]), same_key(keys), "left_anti")
 
 
-def tree_walk(nodes: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
-    """Depth and path of every node reachable from a root (a node without parent).
-
-    Pointer doubling: each round every open row takes over its ancestor's ancestor,
-    so a tree of depth ``d`` takes ``log2(d)`` rounds of one join, whatever its shape.
-    Each round is a written table. Nodes below a missing parent or on a cycle are
-    not reachable and drop out; a node with several parents has a row for each path.
-    """
-    start = nodes.select(F.col(node).alias("_id"), F.col(parent).alias("_parent")).where(F.col("_id").isNotNull())
-    root, text = F.col("_parent").isNull(), F.col("_id").cast("string")
-    rows = saved(
-        start.select(
-            "_id", "_parent", F.col("_parent").alias("_above"), F.when(root, F.lit(0)).otherwise(F.lit(1)).cast("long").alias("_steps"),
-            text.alias("_tail"),
-        ),
-        "level0",
-    )
-    total, reach = rows.count(), 1
-    # a path without a cycle has fewer steps than there are rows
-    while reach <= 2 * total and not rows.where(F.col("_above").isNotNull()).isEmpty():
-        up = rows.select(
-            F.col("_id").alias("_up"), F.col("_above").alias("_next"), F.col("_steps").alias("_more"), F.col("_tail").alias("_head")
-        )
-        moved = rows.where(F.col("_above").isNotNull()).join(up, F.col("_above") == F.col("_up")).select(
-            "_id", "_parent", F.col("_next").alias("_above"), (F.col("_steps") + F.col("_more")).alias("_steps"),
-            F.concat_ws("/", "_head", "_tail").alias("_tail"),
-        )
-        rows, reach = saved(rows.where(F.col("_above").isNull()).unionByName(moved), f"level{reach}"), 2 * reach
-    return rows.where(F.col("_above").isNull()).select(
-        F.col("_id").alias(node), F.col("_parent").alias(parent), F.col("_steps").cast("int").alias("depth"), F.col("_tail").alias("path")
-    )
-
-
 def latest_at(df: DataFrame, key: Sequence[str], ts: str, when: Any, exact: bool = False) -> DataFrame:
     """Last row of each key at or before ``when`` (or exactly at it)."""
     at: Column = F.lit(when).cast(df.schema[ts].dataType)

@@ -26,9 +26,9 @@ FROM = "valid_from"
 TO = "valid_to"
 
 
-def payload_hash(df: DataFrame, cols: Sequence[str]) -> Column:
-    """Hash of the payload columns; a null counts as a value of its own."""
-    parts: list[Column] = []
+def payload_hash(df: DataFrame, cols: Sequence[str], seed: int | None = None) -> Column:
+    """Hash of the payload columns; a null counts as a value of its own. Each seed gives another hash."""
+    parts: list[Column] = [] if seed is None else [F.lit(seed)]
     for c in cols:
         kind = df.schema[c].dataType.simpleString()
         parts.append(F.to_json(F.col(c)) if "map<" in kind or "variant" in kind else F.col(c))

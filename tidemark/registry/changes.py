@@ -11,7 +11,8 @@ from tidemark.operators import incremental as I
 from tidemark.operators import scan as S
 from tidemark.operators.reshape import with_context
 from tidemark.plans import apply as A
-from tidemark.registry.base import generation, query
+from tidemark.plans.digest import DigestTarget
+from tidemark.registry.base import ORACLES, generation, query, scratch
 
 # An older generation (dates before 1999) and a batch of newer and late rows.
 _OLD = "SELECT o_custkey, o_orderkey, o_orderdate, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'"
@@ -208,6 +209,33 @@ def snapshot_diff(t):
     return A.snapshot_changes(old_snapshot(t), new_snapshot(t), ["o_orderkey"])
 
 
+@query("snapshot_diff_digest", ORACLES["snapshot_diff"])
+def snapshot_diff_digest(t):
+    """The same rows by digests: only leaves that differ are read and joined."""
+    target = DigestTarget(t.spark, f"{scratch(t.spark)}/snapshot", ["o_orderkey"])
+    target.replace(old_snapshot(t))
+    return target.changes(new_snapshot(t))
+
+
+@query(
+    "snapshot_few_changes",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice + 1 AS o_totalprice, 'update' AS change, true AS few_bytes FROM orders
+    WHERE o_orderkey IN (SELECT min(o_orderkey) FROM orders UNION ALL SELECT max(o_orderkey) FROM orders)
+    """,
+)
+def snapshot_few_changes(t):
+    """Two orders with a new price: a 50th of the stored bytes is read at most."""
+    ends = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    whole = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    target = DigestTarget(t.spark, f"{scratch(t.spark)}/snapshot", ["o_orderkey"])
+    target.replace(whole)
+    price = F.when(F.col("o_orderkey").isin(*ends), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    snap = whole.withColumn("o_totalprice", price)
+    seen = target.compare(snap)
+    return target.changes(snap).withColumn("few_bytes", F.lit(0 < seen.read_bytes * 50 < seen.stored_bytes))
+
+
 @query(
     "snapshot_scd2",
     f"""

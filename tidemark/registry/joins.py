@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.operators import aggregate as A
+from tidemark.operators import forest as Fo
 from tidemark.operators import joins as J
 from tidemark.registry.base import query
 
@@ -215,17 +216,7 @@ _TREE = """
 )
 def tree_walk(t):
     """Region, nation, customer and order as one tree."""
-    node = lambda df, p, k, q=None, u=None: df.select(
-        F.concat(F.lit(p), F.col(k)).alias("id"),
-        (F.concat(F.lit(q), F.col(u)) if q else F.lit(None).cast("string")).alias("parent_id"),
-    )
-    edges = (
-        node(t.region, "r", "r_regionkey")
-        .unionByName(node(t.nation, "n", "n_nationkey", "r", "n_regionkey"))
-        .unionByName(node(t.customer, "c", "c_custkey", "n", "c_nationkey"))
-        .unionByName(node(t.orders, "o", "o_orderkey", "c", "o_custkey"))
-    )
-    return J.tree_walk(edges)
+    return J.tree_walk(place_edges(t))
 
 
 @query(
@@ -245,6 +236,77 @@ def tree_walk_deep(t):
     return J.tree_walk(edges).select("id", "parent_id", "depth", F.length("path").cast("bigint").alias("path_length"))
 
 
+def place_edges(t):
+    """Region, nation, customer and order as one tree."""
+    node = lambda df, p, k, q=None, u=None: df.select(
+        F.concat(F.lit(p), F.col(k)).alias("id"),
+        (F.concat(F.lit(q), F.col(u)) if q else F.lit(None).cast("string")).alias("parent_id"),
+    )
+    return (
+        node(t.region, "r", "r_regionkey")
+        .unionByName(node(t.nation, "n", "n_nationkey", "r", "n_regionkey"))
+        .unionByName(node(t.customer, "c", "c_custkey", "n", "c_nationkey"))
+        .unionByName(node(t.orders, "o", "o_orderkey", "c", "o_custkey"))
+    )
+
+
+_WALK = f"""
+    WITH RECURSIVE e AS ({_TREE}), w AS (
+      SELECT id, parent_id, id AS root, 0 AS depth, [id] AS path FROM e WHERE parent_id IS NULL
+      UNION ALL SELECT e.id, e.parent_id, w.root, w.depth + 1, list_append(w.path, e.id) FROM e JOIN w ON e.parent_id = w.id),
+    size AS (SELECT a AS id, count(*) - 1 AS n FROM (SELECT unnest(path) AS a FROM w) GROUP BY a),
+    pre AS (SELECT *, row_number() OVER (PARTITION BY root ORDER BY path) - 1 AS p FROM w)
+"""
+
+
+@query(
+    "forest_labels",
+    f"""
+    {_WALK}
+    SELECT id, parent_id, root, depth, CAST(2 * p - depth AS BIGINT) AS enter, CAST(2 * p - depth + 2 * n + 1 AS BIGINT) AS leave, n AS descendants
+    FROM pre JOIN size USING (id)
+    """,
+)
+def forest_labels_query(t):
+    """Enter and leave numbers of region, nation, customer and order."""
+    return Fo.forest_labels(place_edges(t))
+
+
+@query(
+    "subtree_totals",
+    f"""
+    {_WALK}
+    SELECT a AS id, CAST(sum(CASE WHEN id LIKE 'o%' THEN v ELSE 0 END) AS BIGINT) AS cents
+    FROM (SELECT unnest(path) AS a, id FROM w)
+    LEFT JOIN (SELECT 'o' || o_orderkey AS id, CAST(round(o_totalprice * 100) AS BIGINT) AS v FROM orders) USING (id) GROUP BY a
+    """,
+)
+def subtree_totals_query(t):
+    """Order value below every region, nation and customer, from one running total."""
+    values = t.orders.select(F.concat(F.lit("o"), "o_orderkey").alias("id"), F.round(F.col("o_totalprice") * 100).cast("long").alias("v"))
+    return Fo.subtree_totals(Fo.forest_labels(place_edges(t)), values, "v").select("id", F.col("subtree_total").alias("cents"))
+
+
+@query(
+    "tree_walk_cycles",
+    """
+    SELECT c_custkey AS id, CASE WHEN c_custkey % 8 = 0 THEN NULL WHEN c_custkey % 8 = 1 THEN c_custkey - 1 ELSE c_custkey - 2 END AS parent_id,
+           CAST((c_custkey % 8 + 1) // 2 AS INTEGER) AS depth
+    FROM customer WHERE c_custkey >= 8 AND c_custkey - c_custkey % 8 + 8 <= (SELECT max(c_custkey) FROM customer)
+    """,
+)
+def tree_walk_cycles(t):
+    """Customers in groups of eight, each under the two before it, and as many on dense cycles that no root reaches."""
+    key, top = F.col("c_custkey"), t.customer.agg(F.max("c_custkey")).first()[0]
+    whole = t.customer.where((key >= 8) & (key - key % 8 + 8 <= top)).select(key.alias("id"))
+    at = F.col("id") % 8
+    step = lambda n: whole.where(at >= n).select("id", (F.col("id") - n).alias("parent_id"))
+    roots = whole.where(at == 0).select("id", F.lit(None).cast("long").alias("parent_id"))
+    ring = whole.select((-F.col("id")).alias("id"), F.explode(F.sequence(F.lit(0), F.lit(7))).alias("n"))
+    ring = ring.select("id", (-(-F.col("id") - (-F.col("id")) % 8 + F.col("n"))).alias("parent_id")).where("id <> parent_id")
+    return J.tree_walk(roots.unionByName(step(1)).unionByName(step(2)).unionByName(ring)).select("id", "parent_id", "depth")
+
+
 @query(
     "types_catalog",
     """
