@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import aggregate as A
 from tidemark.operators import forest as Fo
+from tidemark.operators import intervals as In
 from tidemark.operators import joins as J
 from tidemark.registry.base import query
 
@@ -307,6 +308,43 @@ def tree_walk_cycles(t):
     return J.tree_walk(roots.unionByName(step(1)).unionByName(step(2)).unionByName(ring)).select("id", "parent_id", "depth")
 
 
+@query(
+    "interval_pairs",
+    """
+    WITH f AS (
+        SELECT l_shipdate AS s, l_shipdate + INTERVAL 30 DAY AS e FROM lineitem GROUP BY l_shipdate
+        UNION ALL SELECT TIMESTAMP '1900-01-01', NULL
+    )
+    SELECT s AS start_time, count(*) AS n, sum(o_custkey)::BIGINT AS total FROM f
+    JOIN orders ON o_orderdate <= coalesce(e, TIMESTAMP '2999-01-01') AND o_orderdate + INTERVAL 3 DAY >= s GROUP BY s
+    """,
+)
+def interval_pairs(t):
+    """Months that start at every shipping day, and one window that never ends, against the three days of every order."""
+    days = t.lineitem.select(F.col("l_shipdate").cast("timestamp").alias("start_time")).distinct()
+    months = days.withColumn("end_time", F.col("start_time") + F.expr("INTERVAL 30 DAY"))
+    ever = t.spark.range(1).select(F.lit("1900-01-01").cast("timestamp").alias("start_time"), F.lit(None).cast("timestamp").alias("end_time"))
+    start = F.col("o_orderdate").cast("timestamp")
+    orders = t.orders.select("o_custkey", start.alias("start_time"), (start + F.expr("INTERVAL 3 DAY")).alias("end_time"))
+    pairs = In.overlapping_pairs(months.unionByName(ever), orders)
+    return pairs.groupBy("left.start_time").agg(F.count("*").alias("n"), F.sum("right.o_custkey").alias("total"))
+
+
+@query(
+    "interval_pairs_by_key",
+    """
+    SELECT a.o_orderkey AS one, b.o_orderkey AS two FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey
+     AND a.o_orderdate <= b.o_orderdate + INTERVAL 60 DAY AND a.o_orderdate + INTERVAL 60 DAY >= b.o_orderdate
+    """,
+)
+def interval_pairs_by_key(t):
+    """Orders of the same customer whose sixty days overlap."""
+    start = F.col("o_orderdate").cast("timestamp")
+    spans = t.orders.select("o_custkey", "o_orderkey", start.alias("start_time"), (start + F.expr("INTERVAL 60 DAY")).alias("end_time"))
+    pairs = In.overlapping_pairs(spans, spans, by=["o_custkey"]).select(F.col("left.o_orderkey").alias("one"), F.col("right.o_orderkey").alias("two"))
+    return pairs.where("one < two")
+
+
 @query(
     "types_catalog",
     """

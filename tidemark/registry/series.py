@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import timeseries as Ts
+from tidemark.operators import user_days as Ud
 from tidemark.plans import report as Rp
-from tidemark.registry.base import query
+from tidemark.registry.base import generation, query
 
 START, END = datetime(2024, 1, 3), datetime(2024, 1, 28)
 _IN = "ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-28'"
@@ -370,3 +371,36 @@ def prebuilt_reports_all(t):
         rows = out.select(key, *[F.col(m).cast("double").alias(m) for m in metrics]).unpivot(["key"], metrics, "metric", "value")
         parts.append(rows.select(F.lit(report).alias("report"), "key", "metric", F.round("value", 4).alias("value")))
     return reduce(DataFrame.unionByName, parts)
+
+
+def kept_users(t, dims=()):
+    """Bitmaps of three quarters of the events, then of the rest, most of which are late; new users get numbers on the way."""
+    first, later = t.events.where("event_id % 4 <> 0"), t.events.where("event_id % 4 = 0")
+    users = generation(Ud.number_users(first, "user_id"))
+    kept = generation(Ud.day_bitmaps(first, users, "user_id", "ts", dims))
+    users = generation(Ud.number_users(later, "user_id", users))
+    return Ud.add_days(kept, Ud.day_bitmaps(later, users, "user_id", "ts", dims))
+
+
+@query(
+    "users_rolling",
+    """
+    WITH d AS (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE user_id IS NOT NULL)
+    SELECT day, count(DISTINCT user_id) AS users FROM d JOIN events ON CAST(ts AS DATE) BETWEEN day - 6 AND day GROUP BY day
+    """,
+)
+def users_rolling(t):
+    """Exact users of the last seven days, every day, from kept bitmaps."""
+    return Ud.rolling_users(kept_users(t), 7)
+
+
+@query(
+    "users_between",
+    """
+    SELECT event_type, count(DISTINCT user_id) AS users FROM events
+    WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-21' GROUP BY event_type
+    """,
+)
+def users_between(t):
+    """Exact users of a range of days per event type."""
+    return Ud.users_between(kept_users(t, ["event_type"]), "2024-01-05", "2024-01-21", ["event_type"])
