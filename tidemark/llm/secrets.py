@@ -27,7 +27,7 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 #: An ordinary word of the training sample: too short to be such a run.
 WORD = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9_]{4,19}+(?![A-Za-z0-9+/_=-])"
-#: Documents and values the models are fitted on (expected numbers): picked by a hash.
+#: Documents and found values the models are fitted on at most (expected numbers): picked by a hash of id and text.
 SAMPLE_DOCS, SAMPLE_VALUES = 5_000, 20_000
 #: Log-likelihood ratio (nats) per character pair, and in all, from which a run is a secret.
 MARGIN_EACH, MARGIN_ALL = 0.5, 10.0
@@ -73,12 +73,11 @@ def _free(runs: DataFrame, base: DataFrame) -> DataFrame:
 
 
 def _pairs(values: DataFrame) -> DataFrame:
-    """``id, a, b`` for each pair of neighbouring characters of ``v``."""
-    return values.where(F.length("v") >= 2).select(
-        "id", "v", F.explode(F.expr("sequence(1, length(v) - 1)")).alias("i")
-    ).select(
-        "id", F.expr(f"instr('{ALPHABET}', substr(v, i, 1))").alias("a"), F.expr(f"instr('{ALPHABET}', substr(v, i + 1, 1))").alias("b")
-    )
+    """``id, a, b`` for each pair of neighbouring characters of ``v``, which is cut into characters once."""
+    cut = F.split("v", "")
+    pair = F.arrays_zip(cut.alias("a"), F.slice(cut, 2, F.length("v")).alias("b"))
+    each = values.where(F.length("v") >= 2).select("id", F.explode(pair).alias("p")).where("p.b is not null")
+    return each.select("id", F.expr(f"instr('{ALPHABET}', p.a)").alias("a"), F.expr(f"instr('{ALPHABET}', p.b)").alias("b"))
 
 
 def train(random: DataFrame, ordinary: DataFrame) -> DataFrame:
@@ -113,8 +112,11 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Offsets are code points, the end exclusive; a span covers the whole match. Base
     matches are leftmost and do not overlap within a kind; the models add runs that
     touch no base span. Null and empty texts have no spans, and the digest of the
-    empty string. Repeated rows give equal results. Without any base match nothing
-    is learned and nothing added.
+    empty string. Repeated rows give equal results, other columns are left out and may
+    have any name, and an empty table gives no rows. Without any base match nothing
+    is learned and nothing added; else the models are fitted on about ``SAMPLE_DOCS``
+    documents and ``SAMPLE_VALUES`` found values, and applied to every run of every
+    text. The work grows in proportion to a text's length, also within one run.
     """
     rows = keyed_texts(docs, id_col, text_col)
     text = F.col("text")
@@ -134,7 +136,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     values = base.select(F.col("value").alias("v")).distinct()
     values = drawn(values, values.count(), SAMPLE_VALUES, "v")
-    chosen = drawn(rows, found.count(), SAMPLE_DOCS, "doc_id")
+    chosen = drawn(rows, found.count(), SAMPLE_DOCS, "doc_id", "text")
     plain = text
     for _, pattern, _, _ in BASE:
         plain = F.regexp_replace(plain, pattern, " ")
