@@ -6,6 +6,7 @@ import hashlib
 import html
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -522,6 +523,67 @@ def test_secrets_odd(spark, odd, none, plain):
     assert sum(r.n_markov for r in got if r.doc_id < 1000) <= 2
 
 
+def brute_markov(rows):
+    """Spans of the character models, by counting pairs in plain Python."""
+    assign = r"""(?i:(?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    kinds = ((assign, 1, 8), (r"AKIA[A-Z0-9]+", 0, 16), (r"[0-9a-f]{32,}", 0, 32))
+    letter = lambda c: secrets.ALPHABET.find(c) + 1
+    base, values, ordinary = {}, set(), set()
+    for i, (_, text) in enumerate(rows):
+        hits = [(m.start(), m.end(), m[g]) for p, g, least in kinds for m in re.finditer(p, text or "") if len(m[g]) >= least]
+        base[i] = [h[:2] for h in hits]
+        values |= {h[2] for h in hits}
+        plain = text or ""
+        for p, _, _ in kinds:
+            plain = re.sub(p, " ", plain)
+        ordinary |= set(re.findall(secrets.WORD, plain))
+    pairs = lambda vs: Counter((letter(a), letter(b)) for v in vs for a, b in zip(v, v[1:]))
+    size = len(secrets.ALPHABET) + 1
+
+    def share(counts):
+        total, after, of = sum(counts.values()), Counter(), Counter()
+        for (a, b), n in counts.items():
+            after[a] += n
+            of[b] += n
+        alone = lambda b: (of[b] + 0.5) / (total + 0.5 * size)
+        return lambda a, b: (counts[a, b] + secrets.BACKOFF * alone(b)) / (after[a] + secrets.BACKOFF)
+
+    random_, words_ = share(pairs(values)), share(pairs(ordinary))
+    out = {}
+    for i, (_, text) in enumerate(rows):
+        out[i] = []
+        for m in re.finditer(secrets.RUN, text or ""):
+            codes = [letter(c) for c in m[0]]
+            ratios = [math.log(random_(a, b) / words_(a, b)) for a, b in zip(codes, codes[1:])]
+            free = all(b <= m.start() or a >= m.end() for a, b in base[i])
+            if values and free and sum(ratios) >= secrets.MARGIN_ALL and sum(ratios) / len(ratios) >= secrets.MARGIN_EACH:
+                out[i].append(f"markov:{m.start()}:{m.end()}")
+    return out
+
+
+def test_secret_models(spark, plain):
+    rng = np.random.default_rng(11)
+    draw = lambda n: "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), n))
+    rows = [(i, t) for i, (_, t) in enumerate(plain)]
+    rows += [(1000 + i, f"token={draw(30)} and {draw(24)} {draw(21).lower()} some_ordinary_identifier_name é{draw(40)}") for i in range(40)]
+    got = {r.doc_id: r.spans for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = brute_markov(rows)
+    for i, (key, _) in enumerate(rows):
+        assert [x for x in got[key].split(",") if x.startswith("markov")] == expected[i]
+
+
+def test_secrets_in_a_run_of_two_megabytes(spark, plain):
+    rng = np.random.default_rng(5)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    image = "".join(rng.choice(letters, 2_000_000))
+    rows = [(i, f"some ordinary words token={''.join(rng.choice(letters, 40))}") for i in range(300)] + [(-1, f"data {image} end")]
+    rows += [(1000 + i, t) for i, (_, t) in enumerate(plain)]
+    began = time.time()
+    got = {r.doc_id: r.spans for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 90
+    assert got[-1] == "markov:5:2000005" == brute_markov(rows)[300][0]
+
+
 # --- licences
 
 
@@ -546,10 +608,8 @@ def test_licenses(spark):
 def test_license_cosine(spark, docs, plain):
     """The scan equals a plain TF-IDF cosine over all lines of all texts."""
     words = lambda t: re.findall("[a-z0-9]+", t.lower())
-    vocabulary = {w for _, t in licenses.TEMPLATES for w in words(t)}
-    df = Counter(w for _, t in plain for w in set(words(t)) & vocabulary)
-    idf = {w: math.log((1 + len(plain)) / (1 + df[w])) + 1 for w in vocabulary}
-    vector = lambda t: {w: n * idf.get(w, 1.0) for w, n in Counter(words(t)).items()}
+    df = Counter(w for _, t in plain for w in set(words(t)))
+    vector = lambda t: {w: n * (math.log((1 + len(plain)) / (1 + df[w])) + 1) for w, n in Counter(words(t)).items()}
     norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
     templates = [(n, vector(t)) for n, t in licenses.TEMPLATES]
     expected = {}
@@ -566,6 +626,24 @@ def test_license_cosine(spark, docs, plain):
     assert {int(r.path[2:]): r.license for r in licenses.license_scan(files).collect()} == expected
 
 
+def test_ordinary_lines_are_no_licences(spark, docs):
+    """Words that no template has weigh by their own rarity, so a few licence words in a line prove nothing."""
+    lines = ["MIT researchers released under embargo their chip design", "the MIT license plate", "Released under the MIT License."]
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+    gpl += "the Free Software Foundation; either version {} of the License, or\n(at your option) any later version."
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    planted = spark.createDataFrame([(f"p/{i}", t) for i, t in enumerate([*lines, gpl.format(2), gpl.format(3), bsd])], "path string, text string")
+    files = docs.select(F.concat(F.lit("f/"), "doc_id").alias("path"), "text").unionByName(planted)
+    got = {r.path: r.license for r in licenses.license_scan(files).collect()}
+    assert [got[f"p/{i}"] for i in range(6)] == [None, None, "MIT", "GPL-2.0", "GPL-3.0", "BSD-2-Clause"]
+
+
+def test_licences_come_from_folders_above(spark):
+    found = queries.QUERIES["op1_licenses"](spark, "/root/testdata/sf0.01").where("origin = 'inherited'")
+    climbed = found.select((F.size(F.split("path", "/")) - F.size(F.split("source_dir", "/"))).alias("n")).groupBy("n").count().collect()
+    assert {r.n for r in climbed} & {2, 3}
+
+
 # --- pipeline
 
 

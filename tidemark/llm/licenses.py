@@ -1,7 +1,8 @@
 """License scans: headers and licence files compared to templates, then inherited down the tree.
 
 Each unit of a file (a line, a paragraph, and the whole of a licence file) is a
-sparse TF-IDF vector and is compared to the licence templates by cosine. A file
+sparse TF-IDF vector, with document frequencies over all files for all of its words,
+and is compared to the licence templates by cosine. A file
 without a licence of its own takes that of the nearest directory above it that
 holds a licence file, by joins on directory paths. All steps are Spark SQL.
 """
@@ -25,8 +26,14 @@ TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
@@ -55,12 +62,11 @@ def _plain_words(text: str) -> list[str]:
     return out
 
 
-def idf_of(files: DataFrame, templates) -> dict[str, float]:
-    """Inverse document frequency, over all files, of the templates' words (a bounded number)."""
+def idf_of(files: DataFrame, templates, n: int) -> dict[str, float]:
+    """Inverse document frequency, over all ``n`` files, of the templates' words (a bounded number)."""
     vocabulary = sorted({w for _, t in templates for w in _plain_words(t)})
     wanted = F.array(*[F.lit(w) for w in vocabulary])
     seen = files.select(F.explode(F.array_intersect(words(F.col("text")), wanted)).alias("word")).groupBy("word").count()
-    n = files.count()
     counts = {r["word"]: r["count"] for r in seen.collect()}
     return {w: math.log((1 + n) / (1 + counts.get(w, 0))) + 1 for w in vocabulary}
 
@@ -96,15 +102,17 @@ def license_scan(files: DataFrame, templates=TEMPLATES, cut: float = CUT) -> Dat
 
     ``files`` has ``path`` and ``text``. ``origin`` is ``own`` (a unit of the file
     reaches the cut; the highest cosine counts, then the licence that sorts first),
-    ``inherited`` (``source_dir`` names the directory) or ``none``. A word that no
-    template has weighs as one found in every file. Null and empty texts have no
+    ``inherited`` (``source_dir`` names the directory) or ``none``. Null and empty texts have no
     licence of their own; a null path lies in no directory and inherits nothing.
     Several licence files of a directory: the highest cosine, then the first name.
-    Rows that repeat a path each get a row.
+    Rows that repeat a path each get a row, and count each in the frequencies. Empty tables
+    give no rows; other columns are left out and may have any name; texts may be of any
+    length.
     """
     spark = files.sparkSession
     rows = files.select(F.col("path").cast("string").alias("path"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    idf = idf_of(rows, templates)
+    n = rows.count()
+    idf = idf_of(rows, templates, n)
     vectors = _vectors(templates, idf)
     telling = F.lit(r"(?<![a-z0-9])(" + "|".join(telling_words(vectors, cut)) + ")(?![a-z0-9])")
     text, low = F.col("text"), F.lower(F.col("text"))
@@ -123,13 +131,13 @@ def license_scan(files: DataFrame, templates=TEMPLATES, cut: float = CUT) -> Dat
     )
 
     weights = spark.createDataFrame([(w, v, i, n) for n, i, vector in vectors for w, v in vector.items()], "word string, weight double, template int, license string")
-    rarity = spark.createDataFrame(list(idf.items()), "word string, idf double")
-    terms = (
-        read.select("row", F.posexplode("units").alias("unit", "words")).select("row", "unit", F.explode("words").alias("word"))
-        .groupBy("row", "unit", "word").count().join(rarity, "word", "left")
-        .select("row", "unit", "word", (F.col("count") * F.coalesce("idf", F.lit(1.0))).alias("w"))
-    )
-    terms = written(terms, "terms")
+    counted = read.select("row", F.posexplode("units").alias("unit", "words")).select("row", "unit", F.explode("words").alias("word"))
+    counted = written(counted.groupBy("row", "unit", "word").count(), "counted")
+    # in how many files each word of a unit occurs: the units' words are the smaller side, so files are cut to them first
+    asked = written(counted.select("word").distinct(), "asked")
+    seen = rows.select(F.explode(F.array_distinct(words(text))).alias("word")).join(asked, "word", "left_semi").groupBy("word").count()
+    rarity = written(seen.select("word", (F.log((1.0 + n) / (1.0 + F.col("count"))) + 1.0).alias("idf")), "rarity")
+    terms = written(counted.join(rarity, "word").select("row", "unit", "word", (F.col("count") * F.col("idf")).alias("w")), "terms")
     norms = terms.groupBy("row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     dots = terms.join(weights, "word").groupBy("row", "unit", "template", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
     scored = dots.join(norms, ["row", "unit"]).select("row", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score"))

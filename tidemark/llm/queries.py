@@ -23,12 +23,17 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
-    """Licence of every document, laid out as files of its source: each tenth document is a licence file."""
+    """Licence of every document, laid out as files of its source.
+
+    Each tenth document is a licence file: in turn of its own folder, of the folder above and
+    of the source.
+    """
     docs = _table(spark, folder, "documents")
+    outer, inner = F.expr("doc_id div 1000").cast("string"), F.expr("doc_id div 100 % 10").cast("string")
+    given, up = F.col("doc_id") % 10 == 0, F.expr("doc_id div 10 % 3")
     path = F.concat_ws(
-        "/", "source", F.expr("doc_id div 1000").cast("string"), F.expr("doc_id div 100 % 10").cast("string"),
-        F.when(F.col("doc_id") % 10 == 0, F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string")))
-        .otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))),
+        "/", "source", F.when(~given | (up < 2), outer), F.when(~given | (up < 1), inner),
+        F.when(given, F.concat(F.lit("LICENSE."), F.col("doc_id").cast("string"))).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))),
     )
     return licenses.license_scan(docs.select(path.alias("path"), "text"))
 
@@ -138,8 +143,8 @@ ORACLES: dict[str, str] = {
     "op1_licenses": rf"""
         WITH t(id, license, text) AS (VALUES {_TEMPLATES}),
         f AS (
-            SELECT source || '/' || (doc_id // 1000) || '/' || (doc_id // 100 % 10) || '/'
-                   || CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS path, lower(coalesce(text, '')) AS low
+            SELECT source || CASE WHEN doc_id % 10 = 0 AND doc_id // 10 % 3 = 2 THEN '' ELSE '/' || (doc_id // 1000) END
+                   || CASE WHEN doc_id % 10 = 0 AND doc_id // 10 % 3 > 0 THEN '' ELSE '/' || (doc_id // 100 % 10) END || '/' || CASE WHEN doc_id % 10 = 0 THEN 'LICENSE.' || doc_id ELSE doc_id || '.txt' END AS path, lower(coalesce(text, '')) AS low
             FROM documents
         ),
         files AS (
@@ -149,11 +154,11 @@ ORACLES: dict[str, str] = {
         ),
         tw AS (SELECT id, license, unnest(regexp_extract_all(lower(text), '[a-z0-9]+')) AS w FROM t),
         df AS (
-            SELECT w, count(*) AS n FROM (SELECT DISTINCT path, unnest(regexp_extract_all(low, '[a-z0-9]+')) AS w FROM f)
-            WHERE w IN (SELECT w FROM tw) GROUP BY w
+            SELECT w, count(*) AS n FROM (SELECT DISTINCT path, unnest(regexp_extract_all(low, '[a-z0-9]+')) AS w FROM f) GROUP BY w
         ),
         idf AS (
-            SELECT w, ln((1 + (SELECT count(*) FROM f)) / (1 + coalesce(n, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w)
+            SELECT w, ln((1 + (SELECT count(*) FROM f)) / (1 + coalesce(n, 0))) + 1 AS idf
+            FROM (SELECT w FROM df UNION SELECT w FROM tw) LEFT JOIN df USING (w)
         ),
         tv AS (
             SELECT id, license, w, v / sqrt(sum(v * v) OVER (PARTITION BY id)) AS wt
@@ -167,8 +172,8 @@ ORACLES: dict[str, str] = {
                 UNION ALL SELECT path, low FROM files WHERE lic)
         ),
         terms AS (
-            SELECT path, u, w, count(*) * coalesce(any_value(idf), 1.0) AS v
-            FROM (SELECT path, u, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS w FROM units) LEFT JOIN idf USING (w) GROUP BY path, u, w
+            SELECT path, u, w, count(*) * any_value(idf) AS v
+            FROM (SELECT path, u, unnest(regexp_extract_all(x, '[a-z0-9]+')) AS w FROM units) JOIN idf USING (w) GROUP BY path, u, w
         ),
         norms AS (SELECT path, u, sqrt(sum(v * v)) AS n FROM terms GROUP BY path, u),
         scores AS (
