@@ -133,9 +133,9 @@ def license_scan(files: DataFrame, templates=TEMPLATES, cut: float = CUT) -> Dat
     weights = spark.createDataFrame([(w, v, i, n) for n, i, vector in vectors for w, v in vector.items()], "word string, weight double, template int, license string")
     counted = read.select("row", F.posexplode("units").alias("unit", "words")).select("row", "unit", F.explode("words").alias("word"))
     counted = written(counted.groupBy("row", "unit", "word").count(), "counted")
-    # in how many files each word of a unit occurs: the units' words are the smaller side, so files are cut to them first
+    # in how many files each word of a unit occurs; files are counted before words meet
     asked = written(counted.select("word").distinct(), "asked")
-    seen = rows.select(F.explode(F.array_distinct(words(text))).alias("word")).join(asked, "word", "left_semi").groupBy("word").count()
+    seen = rows.select(F.explode(F.array_distinct(words(text))).alias("word")).groupBy("word").count().join(asked, "word", "left_semi")
     rarity = written(seen.select("word", (F.log((1.0 + n) / (1.0 + F.col("count"))) + 1.0).alias("idf")), "rarity")
     terms = written(counted.join(rarity, "word").select("row", "unit", "word", (F.col("count") * F.col("idf")).alias("w")), "terms")
     norms = terms.groupBy("row", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
