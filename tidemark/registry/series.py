@@ -8,10 +8,11 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import pyramid as Py
 from tidemark.operators import timeseries as Ts
 from tidemark.operators import user_days as Ud
 from tidemark.plans import report as Rp
-from tidemark.registry.base import generation, query
+from tidemark.registry.base import ORACLES, generation, query
 
 START, END = datetime(2024, 1, 3), datetime(2024, 1, 28)
 _IN = "ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-28'"
@@ -404,3 +405,27 @@ def users_rolling(t):
 def users_between(t):
     """Exact users of a range of days per event type."""
     return Ud.users_between(kept_users(t, ["event_type"]), "2024-01-05", "2024-01-21", ["event_type"])
+
+
+def updated_pyramid(t):
+    """Nodes of two thirds of the events, then updated by the rest, which lies all over them."""
+    first, late = t.events.where("event_id % 3 <> 0"), t.events.where("event_id % 3 = 0")
+    nodes = generation(Py.build_pyramid(first, "event_type", "ts", "value", 3600))
+    return Py.update_pyramid(nodes, t.events, late, "event_type", "ts", "value", 3600)
+
+
+@query("ts_pyramid_weighted", ORACLES["ts_time_weighted_range"])
+def ts_pyramid_weighted(t):
+    """Time-weighted average and deviation of a range from a few nodes."""
+    return rounded(Py.range_summary(updated_pyramid(t), t.events, *_ARGS, 3600, types=["Average", "StdDev"]))
+
+
+@query(
+    "ts_pyramid",
+    f"WITH p AS (SELECT event_type AS tag, TIMESTAMP '2024-01-03 05:06:07' AS timestamp, value FROM events "
+    f"WHERE ts >= TIMESTAMP '2024-01-03 05:06:07' AND ts < TIMESTAMP '2024-01-19 23:59:59') SELECT * FROM ({_SUMMARY}) {_LONG}",
+)
+def ts_pyramid(t):
+    """Sums of the points of a range that cuts buckets at both ends."""
+    start, end = datetime(2024, 1, 3, 5, 6, 7), datetime(2024, 1, 19, 23, 59, 59)
+    return rounded(Py.range_summary(updated_pyramid(t), t.events, "event_type", "ts", "value", start, end, 3600, weighted=False))
