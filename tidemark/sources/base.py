@@ -20,7 +20,7 @@ class Job:
 
     ``landing`` is the declared schema of the raw files of format ``fmt``, ``shape``
     turns a raw frame into rows of the target, ``shape_deletes`` one of tombstones
-    into keys and cursor (by default as ``shape`` does).
+    into keys and cursor (by default as ``shape`` does). ``options`` go to the reader.
     """
 
     name: str
@@ -50,9 +50,9 @@ def run(spark: SparkSession, job: Job, landing: str, out: str, scd: int = 1) ->
     fmt = job.fmt
     if job.ingestion_type == "snapshot":
         target = Target(spark, out, keys=job.keys)
-        run_snapshot(target, job.shape(spark.read.format(fmt).schema(job.landing).load(landing)), job.keys, scd)
+        run_snapshot(target, job.shape(spark.read.format(fmt).schema(job.landing).options(**job.options).load(landing)), job.keys, scd)
         return target.state()
-    stream = job.shape(runs.stream_landing(spark, landing, job.landing, fmt=fmt))
+    stream = job.shape(runs.stream_landing(spark, landing, job.landing, fmt=fmt, **job.options))
     if job.ingestion_type == "append":
         sink = AppendTarget(spark, f"{out}/data")
         runs.run_available_now(stream, runs.append_flow(sink), f"{out}/checkpoint")
@@ -60,7 +60,7 @@ def run(spark: SparkSession, job: Job, landing: str, out: str, scd: int = 1) ->
     target = LogTarget(spark, out, job.keys, [job.cursor], scd)
     runs.run_available_now(stream, runs.upsert_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint")
     if job.ingestion_type == "cdc_with_deletes" and folder_names(spark, f"{landing}__deletes"):
-        gone = (job.shape_deletes or job.shape)(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt))
+        gone = (job.shape_deletes or job.shape)(runs.stream_landing(spark, f"{landing}__deletes", job.landing, fmt=fmt, **job.options))
         runs.run_available_now(gone, runs.delete_flow(target, job.keys, [job.cursor], scd), f"{out}/checkpoint_deletes")
     return target.state()
 

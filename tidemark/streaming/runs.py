@@ -21,10 +21,10 @@ from tidemark.plans.target import AppendTarget, Target
 
 
 def stream_landing(
-    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None, fmt: str = "parquet", **options: str
 ) -> DataFrame:
-    """A landing folder as a stream under its declared schema."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    """A landing folder as a stream under its declared schema; ``options`` are the reader's."""
+    reader = spark.readStream.format(fmt).schema(schema).options(**options)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.load(path)
