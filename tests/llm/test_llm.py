@@ -195,7 +195,7 @@ def test_decontaminate_odd(spark, odd, none, monkeypatch):
     pick = lambda df: sorted(((r.doc_id, r.n_words, r.n_hit, r.n_items, r.item_ids, r.contaminated) for r in df.collect()), key=repr)
     expected = contaminated(TEXTS, ITEMS)
     assert pick(decontaminate.decontaminate(odd, bench)) == expected
-    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 3)  # several blocks give the same
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 8)  # several blocks give the same
     assert pick(decontaminate.decontaminate(odd, bench)) == expected
     assert decontaminate.decontaminate(none, bench).collect() == []
     assert not any(r.contaminated for r in decontaminate.decontaminate(odd, bench.limit(0)).collect())
@@ -204,6 +204,46 @@ def test_decontaminate_odd(spark, odd, none, monkeypatch):
     assert Counter(r.doc_id for r in kept.collect()) == Counter(e[0] for e in expected if not e[5])
 
 
+def brute_matches(text, items):
+    """Longest common run of each item that has a window in the text: words, place in both."""
+    words_of = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    doc, best = words_of(text), {}
+    for name, item in items:
+        own = words_of(item)
+        for i in range(len(own)):
+            for d in range(len(doc)):
+                n = 0
+                while i + n < len(own) and d + n < len(doc) and own[i + n] == doc[d + n]:
+                    n += 1
+                if n >= min(10, len(own)):
+                    best[str(name)] = max(best.get(str(name), (0, 0, 0)), (n, -d, -i))
+    return sorted((k, -i, -d, n) for k, (n, d, i) in best.items())
+
+
+@pytest.mark.parametrize("block", [8_000_000, 100])
+def test_longest_matches(spark, monkeypatch, block):
+    """Items that overlap in a document, repeat inside it, and whose rows share an id."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    rng = np.random.default_rng(8)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 400, n))
+    whole = word(20)
+    parts = whole.split()
+    first, second = " ".join(parts[:12]), " ".join(parts[7:20])
+    again = "a b " * 12
+    items = [(1, first), (2, second), (3, again), (4, word(30)), (4, whole + " " + word(9)), (5, "rare one"), (6, " ".join(parts[2:13]) + " zz")]
+    docs = [
+        (1, whole), (2, f"x {whole} y {first} {second}"), (3, again * 3), (4, "the rare one here"), (5, word(200)),
+        (6, f"{' '.join(parts[1:11])} q {' '.join(parts[:11])}"), (7, None),
+    ]
+    found = decontaminate.decontaminate(spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string"))
+    got = {r.doc_id: r for r in found.collect()}
+    for i, text in docs:
+        expected = brute_matches(text, items)
+        assert sorted(map(tuple, got[i].matches)) == expected
+        assert got[i].longest == max((m[3] for m in expected), default=0)
+    assert got[1].spans == "0:20" and got[1].longest == 20 and {m.item_id: m.words for m in got[1].matches} == {"1": 12, "2": 13, "4": 20, "6": 11}
+
+
 def test_suffix_array_order():
     rng = np.random.default_rng(0)
     ids = rng.integers(0, 4, 400)

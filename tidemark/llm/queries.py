@@ -206,10 +206,10 @@ ORACLES: dict[str, str] = {
         )""",
     "op7_decontaminate": f"""
         WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_WORDS} AS w FROM documents),
-        b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+        b AS (SELECT item_id, row_number() OVER () AS k, {_WORDS} AS w FROM benchmark),
         win AS (
-            SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
-            FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+            SELECT item_id, k, n, i AS p, array_to_string(w[i:i + n - 1], ' ') AS s
+            FROM (SELECT item_id, k, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
                   FROM b WHERE len(w) > 0)
         ),
         places AS (
@@ -217,14 +217,16 @@ ORACLES: dict[str, str] = {
             FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
                   FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)
         ),
-        met AS (SELECT r, n, i, item_id FROM places JOIN win USING (n, s)),
+        met AS (SELECT r, n, i, item_id, k, p FROM places JOIN win USING (n, s)),
+        along AS (SELECT r, k, i - p AS d, i - row_number() OVER (PARTITION BY r, k, i - p ORDER BY i) AS g, any_value(n) OVER (PARTITION BY k) AS n FROM met),
+        best AS (SELECT r, max(c) AS longest FROM (SELECT r, count(*) + any_value(n) - 1 AS c FROM along GROUP BY r, k, d, g) GROUP BY r),
         hits AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(i, i + n)) AS p FROM met)),
         runs AS (
             SELECT r, min(p) - 1 AS a, max(p) AS z
             FROM (SELECT r, p, p - row_number() OVER (PARTITION BY r ORDER BY p) AS g FROM hits) GROUP BY r, g
         ),
         spans AS (
-            SELECT r, sum(z - a)::BIGINT AS n_hit, max(z - a)::BIGINT AS longest,
+            SELECT r, sum(z - a)::BIGINT AS n_hit,
                    string_agg(a || ':' || z, ',' ORDER BY a) AS spans
             FROM runs GROUP BY r
         ),
@@ -235,7 +237,7 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
                sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
                coalesce(spans, '') AS spans, coalesce(longest, 0) AS longest
-        FROM d LEFT JOIN spans USING (r) LEFT JOIN items USING (r)""",
+        FROM d LEFT JOIN spans USING (r) LEFT JOIN items USING (r) LEFT JOIN best USING (r)""",
     "op11_url_filter": f"""
         WITH u AS (
             SELECT page_id, html,
