@@ -519,6 +519,27 @@ def test_pages_get_their_own_removed_paths(spark, monkeypatch):
     assert sizes and max(sizes) <= 3
 
 
+def test_elements_without_text_end(spark):
+    """Unclosed svg, button and the like end as the page goes on; attributes are read one after another."""
+    pages = [
+        ("<main><p>a</p><button>b<p>c</p><p>d</p></main>", "a|c|d"), ("<main><p>a</p><svg><path><p>b</p><p>c</p></main>", "a|b|c"),
+        ("<main><p>a<button>no</button> b</p><p>c</p></main>", "a b|c"), ("<main><p>a</p><svg><title>no</title><g/></svg><p>b</p></main>", "a|b"),
+        ("<main><p>a</p><button><div>no</div></button><p>b</p></main>", "a|b"), ("<main><p>a</p><select><option>x<p>b</p></main>", "a|b"),
+        ("<main><p>a</p><object><object>x</object>no</object><p>b</p></main>", "a|b"),
+        ("<article data-t='a hidden gem'><p>a</p></article><p>b</p>", "a"), ("<main><div title='see class=ad'><p>a</p></div></main>", "a"),
+        ("<main><p>a</p><button>x <button>y</button><p>b</p></main>", "a|b"), ("<svg><foreignObject><p>no</p></foreignObject></svg><p>a</p>", "a"),
+        ("<div><canvas>no</div><p>a</p>", "a"), ("<main><p class=x class=ad>a</p></main>", "a"),
+    ]
+    for source, expected in pages:
+        assert "|".join(t for t, _ in html_text.Page(source).blocks if expected != "a" or t == "a") == expected, source
+    hidden = html_text.Page("<article data-t='a hidden gem'><p>a</p></article>")
+    assert hidden.has_article and not html_text.Page("<article hidden><p>a</p></article>").has_article
+    assert html_text._label("div", " title='see class=ad'")[1] is False and html_text._label("div", " id=x class=ad")[1] is True
+    many = "<main>" + "<svg><button>" * 50_000 + "<p>end</p></main>"
+    began = time.time()
+    assert [t for t, _ in html_text.Page(many).blocks] == ["end"] and time.time() - began < 20
+
+
 # --- secrets
 
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import pyarrow as pa
@@ -64,7 +64,18 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<more2>[^>]*+)(?:>|\Z)|(?P<text>[^<]++|<)",
     re.S,
 )
-_MARKED = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+#: Attributes are read one after another, so that a name inside a value is none.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s"'>/=]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?|["'=]""")
+#: No-text elements that may hold one of their kind; others end where the next one begins.
+_NESTED = frozenset("svg math object canvas audio video template".split())
+#: Start tags that end svg and math, but not inside the elements of theirs that hold HTML.
+_BREAKS = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby "
+    "s small span strong strike sub sup table tt u ul var".split()
+)
+_FOREIGN, _HTML_INSIDE = frozenset(("svg", "math")), frozenset(("foreignobject", "desc"))
+_OPTIONS = frozenset(("option", "optgroup"))
+_SILENT = re.compile(rf"<(/?)({'|'.join(sorted(NO_TEXT - RAW - {'head'}))})(?=[\s/>])", re.I)
 _PARTS = re.compile(r"[^a-z0-9]+")
 #: A class that begins so tells what a wrapper holds, not what it is.
 _HOLDS = frozenset("has with no without is".split())
@@ -82,7 +93,10 @@ class Node:
 
 def _label(tag: str, more: str) -> tuple[str, bool]:
     """Tag with its classes, role and mark, and whether it looks like boilerplate."""
-    found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _MARKED.findall(more)} if more else {}
+    found: dict[str, str] = {}
+    for k, v in _ATTRIBUTE.findall(more) if more else ():
+        if k:  # the first of two of a name counts
+            found.setdefault(k.lower(), (v or "").strip("\"'").lower())
     names = [_PARTS.split(x) for k in ("class", "id", "role") for x in found.get(k, "").split()]
     words = {w for parts in names if parts[0] not in _HOLDS for w in parts}
     marked = tag not in ("html", "body", "main") and (tag in MENUS or bool(words & MARKS) or "hidden" in found)
@@ -100,9 +114,27 @@ class Page:
         self.has_article = False
         self._read(source)
 
+    @staticmethod
+    def _closed(source: str) -> Callable[[str, int], bool]:
+        """Whether an element without text that starts at a place has an end tag of its own."""
+        last: dict[str, int] = {}
+        ends: set[int] = set()
+        before: dict[str, int] = {}
+        for m in _SILENT.finditer(source):
+            tag = m[2].lower()
+            if m[1]:
+                last[tag] = m.start()
+                if tag in before:
+                    ends.add(before.pop(tag))
+            else:
+                before[tag] = m.start()
+        return lambda tag, at: at < last.get(tag, -1) if tag in _NESTED else at in ends
+
     def _read(self, source: str) -> None:
         root = Node("", 0, False, False)
-        stack, held, skip, at = [root], [], 0, 0
+        stack, held, at = [root], [], 0
+        skip: list[str] = []  # open elements without text, "" one that was never closed, and blocks inside them
+        closed = self._closed(source)
 
         def flush() -> None:
             if held:
@@ -134,13 +166,27 @@ class Page:
                 stop = re.compile(f"</{tag}(?=[\\s/>])", re.I).search(source, at)
                 at = stop.start() if stop else len(source)
                 continue
+            if skip:
+                if not ends and tag in _BREAKS and not _HTML_INSIDE & set(skip) and _FOREIGN & set(skip):
+                    skip.clear()
+                elif skip == [""] and tag in BLOCKS - _OPTIONS:
+                    skip.clear()
+                elif tag in ("body", "article", "main") and not ends:
+                    skip.clear()
+                elif ends and tag in skip:
+                    del skip[len(skip) - 1 - skip[::-1].index(tag) :]
+                    continue
+                elif ends and tag in BLOCKS and any(n.tag == tag for n in stack):
+                    skip.clear()  # what is around it ends it too
             if tag in NO_TEXT:
-                flush()
-                skip = max(0, skip + (-1 if ends else 1)) if tag not in RAW and not m[0].endswith("/>") else skip
+                if tag == "head":  # the others stand within a line
+                    flush()
+                if not ends and tag not in RAW and not m[0].endswith("/>"):
+                    skip.append(tag if tag == "head" or closed(tag, m.start()) or tag in _FOREIGN else "")
                 continue
-            if tag in ("body", "article", "main"):
-                skip = 0
             if skip:
+                if not ends and (tag in BLOCKS - _OPTIONS or tag in _HTML_INSIDE) and tag not in VOID:
+                    skip.append(tag)
                 continue
             if tag == "br":
                 held.append(" ")
