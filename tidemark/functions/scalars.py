@@ -134,9 +134,12 @@ def metric_value(value: Column, kind: Column) -> tuple[Column, Column, Column]:
     return whole, real, text
 
 
+#: Where a word begins inside a name: a capital after a small letter or digit, or the last capital of several before a small letter.
+WORD_START = r"(?<=[a-z0-9])(?=[A-Z])|(?<=.)(?=[A-Z][a-z])"
+
+
 def snake_case(c: Column) -> Column:
-    split_words = F.regexp_replace(c, r"(.)([A-Z][a-z]+)", "$1_$2")
-    return F.lower(F.regexp_replace(split_words, r"([a-z0-9])([A-Z])", "$1_$2"))
+    return F.lower(F.regexp_replace(c, WORD_START, "_"))
 
 
 def sanitize_name(c: Column, index: Column) -> Column:

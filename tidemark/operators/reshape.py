@@ -130,8 +130,7 @@ def has_path(schema: T.DataType, path: str) -> bool:
 
 
 def snake_name(name: str) -> str:
-    spaced = re.sub(r"(.)([A-Z][a-z]+)", r"\1_\2", name)
-    return re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", spaced).lower()
+    return re.sub(S.WORD_START, "_", name).lower()
 
 
 def _renamed(kind: T.DataType) -> T.DataType:

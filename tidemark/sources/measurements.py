@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -109,6 +108,7 @@ def clinical_records(pages: DataFrame, resource: str, since: Any = None, profile
 
 # ---- subsurface records ---------------------------------------------------
 
+# Columns of every record.
 SUBSURFACE_FIELDS = {
     "id": ("id", "text"),
     "kind": ("kind", "text"),
@@ -128,40 +128,66 @@ SUBSURFACE_FIELDS = {
 }
 
 
-def _data(names: Sequence[str], how: str = "text", suffix: str = "", base: str = "data") -> dict[str, tuple[str, str]]:
-    return {f"{n}{suffix}": (f"{base}.{n}", how) for n in names}
-
-
-_SAMPLE, _DETAIL = "data.SampleAcquisition", "data.SampleAcquisition.SampleAcquisitionDetail"
+# Columns of each kind, their path in a record and how it is read.
 SUBSURFACE_KINDS = {
     "master-data--Wellbore": {
-        **_data(("FacilityID", "FacilityName", "FacilityTypeID", "WellID", "KickOffWellboreID", "StatusSummary", "TargetFormation")),
-        **_data(
-            ("FacilityNameAliases", "FacilityOperators", "VerticalMeasurements", "SpatialLocation", "GeoContexts",
-             "DrillingReasons", "InitialCompletion", "ExtensionProperties"),
-            "json", "_json",
-        ),
+        "FacilityID": ("data.FacilityID", "text"),
+        "FacilityName": ("data.FacilityName", "text"),
+        "FacilityTypeID": ("data.FacilityTypeID", "text"),
+        "WellID": ("data.WellID", "text"),
+        "KickOffWellboreID": ("data.KickOffWellboreID", "text"),
+        "StatusSummary": ("data.StatusSummary", "text"),
+        "TargetFormation": ("data.TargetFormation", "text"),
+        "FacilityNameAliases_json": ("data.FacilityNameAliases", "json"),
+        "FacilityOperators_json": ("data.FacilityOperators", "json"),
+        "VerticalMeasurements_json": ("data.VerticalMeasurements", "json"),
+        "SpatialLocation_json": ("data.SpatialLocation", "json"),
+        "GeoContexts_json": ("data.GeoContexts", "json"),
+        "DrillingReasons_json": ("data.DrillingReasons", "json"),
+        "InitialCompletion_json": ("data.InitialCompletion", "json"),
+        "ExtensionProperties_json": ("data.ExtensionProperties", "json"),
     },
     "master-data--Reservoir": {
-        **_data(("ReservoirID", "ReservoirName", "ReservoirType", "ReservoirDescription", "FieldID", "BasinID", "FormationID", "FluidTypeID")),
-        **_data(
-            ("DepthTopMD", "DepthBaseMD", "DepthTopTVD", "DepthBaseTVD", "GrossThickness", "NetPayThickness", "PorosityAverage",
-             "WaterSaturationAverage", "PermeabilityHorizontal", "PermeabilityVertical", "InitialReservoirPressure", "ReservoirTemperature"),
-            "double",
-        ),
-        **_data(("GeoContexts", "NameAliases", "ExtensionProperties"), "json", "_json"),
+        "ReservoirID": ("data.ReservoirID", "text"),
+        "ReservoirName": ("data.ReservoirName", "text"),
+        "ReservoirType": ("data.ReservoirType", "text"),
+        "ReservoirDescription": ("data.ReservoirDescription", "text"),
+        "FieldID": ("data.FieldID", "text"),
+        "BasinID": ("data.BasinID", "text"),
+        "FormationID": ("data.FormationID", "text"),
+        "FluidTypeID": ("data.FluidTypeID", "text"),
+        "DepthTopMD": ("data.DepthTopMD", "double"),
+        "DepthBaseMD": ("data.DepthBaseMD", "double"),
+        "DepthTopTVD": ("data.DepthTopTVD", "double"),
+        "DepthBaseTVD": ("data.DepthBaseTVD", "double"),
+        "GrossThickness": ("data.GrossThickness", "double"),
+        "NetPayThickness": ("data.NetPayThickness", "double"),
+        "PorosityAverage": ("data.PorosityAverage", "double"),
+        "WaterSaturationAverage": ("data.WaterSaturationAverage", "double"),
+        "PermeabilityHorizontal": ("data.PermeabilityHorizontal", "double"),
+        "PermeabilityVertical": ("data.PermeabilityVertical", "double"),
+        "InitialReservoirPressure": ("data.InitialReservoirPressure", "double"),
+        "ReservoirTemperature": ("data.ReservoirTemperature", "double"),
+        "GeoContexts_json": ("data.GeoContexts", "json"),
+        "NameAliases_json": ("data.NameAliases", "json"),
+        "ExtensionProperties_json": ("data.ExtensionProperties", "json"),
     },
     "master-data--Sample": {
-        **_data(
-            ("SampleAcquisitionJobID", "SampleAcquisitionTypeID", "SampleAcquisitionContainerID", "AcquisitionStartDate",
-             "AcquisitionEndDate", "CollectionServiceCompanyID", "HandlingServiceCompanyID"),
-            base=_SAMPLE,
-        ),
-        **_data(("WellboreID", "ToolKind", "RunNumber"), base=_DETAIL),
-        **_data(("TopDepth", "BaseDepth"), "double", base=_DETAIL),
-        "FormationPressure": (f"{_DETAIL}.FormationCondition.Pressure", "double"),
-        "FormationTemperature": (f"{_DETAIL}.FormationCondition.Temperature", "double"),
-        "SampleAcquisition_json": (_SAMPLE, "json"),
+        "SampleAcquisitionJobID": ("data.SampleAcquisition.SampleAcquisitionJobID", "text"),
+        "SampleAcquisitionTypeID": ("data.SampleAcquisition.SampleAcquisitionTypeID", "text"),
+        "SampleAcquisitionContainerID": ("data.SampleAcquisition.SampleAcquisitionContainerID", "text"),
+        "AcquisitionStartDate": ("data.SampleAcquisition.AcquisitionStartDate", "text"),
+        "AcquisitionEndDate": ("data.SampleAcquisition.AcquisitionEndDate", "text"),
+        "CollectionServiceCompanyID": ("data.SampleAcquisition.CollectionServiceCompanyID", "text"),
+        "HandlingServiceCompanyID": ("data.SampleAcquisition.HandlingServiceCompanyID", "text"),
+        "WellboreID": ("data.SampleAcquisition.SampleAcquisitionDetail.WellboreID", "text"),
+        "ToolKind": ("data.SampleAcquisition.SampleAcquisitionDetail.ToolKind", "text"),
+        "RunNumber": ("data.SampleAcquisition.SampleAcquisitionDetail.RunNumber", "text"),
+        "TopDepth": ("data.SampleAcquisition.SampleAcquisitionDetail.TopDepth", "double"),
+        "BaseDepth": ("data.SampleAcquisition.SampleAcquisitionDetail.BaseDepth", "double"),
+        "FormationPressure": ("data.SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Pressure", "double"),
+        "FormationTemperature": ("data.SampleAcquisition.SampleAcquisitionDetail.FormationCondition.Temperature", "double"),
+        "SampleAcquisition_json": ("data.SampleAcquisition", "json"),
         "ExtensionProperties_json": ("data.ExtensionProperties", "json"),
     },
 }

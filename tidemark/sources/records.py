@@ -21,7 +21,7 @@ from tidemark.operators.paging import cap_records
 from tidemark.sources.base import Job
 
 
-# The five example tables: every ingestion type once.
+# The five example tables, every ingestion type once.
 EXAMPLE = {
     "products": ("product_id string, name string, price double, category string", ["product_id"], None, "snapshot"),
     "events": (
@@ -46,6 +46,7 @@ def example_jobs() -> list[Job]:
 
 # ---- code hosting A -------------------------------------------------------
 
+# Columns of a commit, their path in a record and how it is read.
 COMMIT_FIELDS = {
     "sha": ("sha", "text"),
     "node_id": ("node_id", "text"),
