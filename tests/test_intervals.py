@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tidemark.operators import aggregate as Ag
 from tidemark.operators import intervals as In
 from tidemark.operators import user_days as Ud
 
@@ -63,3 +64,17 @@ def test_users_of_any_range(spark):
     assert rows(Ud.users_between(kept, lo, hi, ["kind"])) == [(k, len(there(lo, hi, k))) for k in "xy"]
     days = sorted({t.date() for w, t, _ in data if w})
     assert rows(Ud.rolling_users(kept, 5)) == sorted(((d, len(there(d - timedelta(days=4), d))) for d in days), key=repr)
+
+
+@pytest.mark.parametrize("bins", [1, 3, 8])
+def test_bins_stay_within_their_bound(spark, bins):
+    draw = random.Random(bins)
+    for weights in ([draw.choice([1, 1, 2, 5, 40]) for _ in range(80)], [100, 1, 1, 1], [0, 0, None, -1], [7.5], [draw.random() for _ in range(50)], []):
+        frame = spark.createDataFrame([(i, None if w is None else float(w), "x") for i, w in enumerate(weights)], "id int, w double, bin_name string")
+        found = Ag.pour_bins(frame, "id", "w", bins).collect()
+        assert sorted(r["id"] for r in found) == list(range(len(weights))) and all(0 <= r["bin"] < bins for r in found)
+        loads = [sum(max(r["w"] or 0, 0) for r in found if r["bin"] == b) for b in range(bins)]
+        heaviest = max([max(w or 0, 0) for w in weights], default=0)
+        assert max(loads) <= sum(loads) / bins * 4 / 3 + heaviest + 1e-9
+        if heaviest * 3 * bins <= sum(loads):
+            assert max(loads) <= sum(loads) / bins * 4 / 3 + 1e-9

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.plans import blocks as B
 from tidemark.plans.apply import payload_hash
@@ -117,6 +119,51 @@ def balance_partitions(
     return placed.withColumn("bin", F.least(spot, F.lit(bins - 1))).drop("_upto")
 
 
+def pour_bins(df: DataFrame, item: str, weight: str, bins: int, blocks: int | None = None) -> DataFrame:
+    """Assign unique items to ``bins`` so that the fullest holds at most 4/3 of the mean and the heaviest item.
+
+    Items above a third of the mean, ``3 * bins`` at most, are placed one by one, each
+    in the least loaded bin, heaviest first. The light ones are poured: the bins are
+    filled up to one level, in item order, by a running total that no task gathers.
+    A null or negative weight counts as zero. Up to 4,096 bins.
+    """
+    if not 1 <= bins <= 4096:
+        raise ValueError(f"cannot fill {bins} bins")
+    load = F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0))
+    rows = df.withColumn("_load", load)
+    total = rows.agg(F.sum("_load")).first()[0] or 0.0
+    heavy = F.col("_load") * 3 * bins > F.lit(total)
+    held = [(0.0, b) for b in range(bins)]
+    placed: list[tuple] = []
+    for r in sorted(rows.where(heavy).select(item, "_load").collect(), key=lambda r: (-r["_load"], str(r[item]))):
+        least, b = heapq.heappop(held)
+        placed.append((r[item], b))
+        heapq.heappush(held, (least + r["_load"], b))
+    held.sort()
+    left, level = total - sum(x for x, _ in held), held[0][0]
+    # the level to which what is left fills the bins
+    for n, (_, _) in enumerate(held, 1):
+        above = held[n][0] if n < bins else float("inf")
+        if (above - level) * n >= left:
+            level += left / n
+            break
+        left, level = left - (above - level) * n, above
+    room, cuts, order = 0.0, [], [b for _, b in held]
+    for x, _ in held[:-1]:
+        room += max(0.0, level - x)
+        cuts.append(room)
+    size = 1
+    while size <= len(cuts):
+        size *= 2
+    cuts += [float("inf")] * (size - 1 - len(cuts))
+    light = B.running_position(rows.where(~heavy), [item], "_upto", F.col("_load"), blocks=blocks)
+    at = F.least(B.block_of(F.col("_upto") - F.col("_load"), cuts), F.lit(bins - 1))
+    poured = light.withColumn("bin", F.get(F.array(*[F.lit(b) for b in order]), at)).drop("_upto")
+    known = df.sparkSession.createDataFrame(placed, T.StructType([T.StructField("_item", df.schema[item].dataType), T.StructField("bin", T.IntegerType())]))
+    chosen = rows.where(heavy).join(known, F.col(item) == F.col("_item")).drop("_item")
+    return poured.unionByName(chosen).drop("_load")
+
+
 def chunk_ids(df: DataFrame, key: str, n: int, blocks: int | None = None) -> DataFrame:
     """Number ids in key order into groups of ``n``; ``n <= 0`` is one group."""
     if n <= 0:

@@ -456,6 +456,24 @@ def balance_partitions(t):
     return A.balance_partitions(weights, "l_orderkey", "lines", 8)
 
 
+@query(
+    "pour_bins",
+    """
+    WITH w AS (SELECT c_nationkey AS k, count(*) AS n FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY c_nationkey
+               UNION ALL SELECT 1000 + l_orderkey, count(*) FROM lineitem GROUP BY l_orderkey)
+    SELECT count(*) AS items, CAST(sum(n) AS BIGINT) AS total, CAST(8 AS BIGINT) AS bins, true AS bounded FROM w
+    """,
+)
+def pour_bins(t):
+    """Orders and whole nations in eight bins: the fullest holds no more than 4/3 of the mean and the heaviest item."""
+    nations = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey")).groupBy(F.col("c_nationkey").cast("long").alias("k")).agg(F.count("*").alias("n"))
+    lines = t.lineitem.groupBy((F.col("l_orderkey") + 1000).alias("k")).agg(F.count("*").alias("n"))
+    loads = A.pour_bins(nations.unionByName(lines), "k", "n", 8).groupBy("bin").agg(F.count("*").alias("i"), F.sum("n").alias("w"), F.max("n").alias("m"))
+    whole = loads.agg(F.sum("i").alias("items"), F.sum("w").alias("total"), F.count("*").alias("bins"), F.max("w").alias("fullest"), F.max("m").alias("heaviest"))
+    fits = F.col("fullest") <= F.col("total") / F.col("bins") * 4 / 3 + F.col("heaviest")
+    return whole.select("items", "total", "bins", fits.alias("bounded"))
+
+
 @query(
     "chunk_ids",
     "SELECT c_custkey, CAST(floor((row_number() OVER (ORDER BY c_custkey) - 1) / 200) AS BIGINT) AS chunk FROM customer",
