@@ -273,6 +273,17 @@ def test_quality(spark, sf_dir, docs):
     assert {r.doc_id for r in kept.collect()} == {i for i, r in got.items() if r.predicted}
 
 
+def test_quality_of_documents_it_has_not_seen(spark):
+    """Measured on fold 0 alone, whose labels are never learned."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (ready(spark).read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    got = quality.quality_scores(docs, labels).where("held_out").join(labels, "doc_id").collect()
+    good, bad = ([r.score for r in got if r.quality == q] for q in (1, 0))
+    assert len(good) > 10 and len(bad) > 10
+    assert np.mean([a > b for a in good for b in bad]) > 0.95
+    assert np.mean([r.predicted == r.quality for r in got]) > 0.9
+
+
 def test_quality_odd(spark, odd, none):
     labels = spark.createDataFrame([(3, 1), (2, 0), (2, 0), (None, 1), (9, None), (7, 0), (8, 1), (99, 0)], "doc_id bigint, quality int")
     rows = quality.quality_scores(odd, labels).collect()
