@@ -19,7 +19,6 @@ from tidemark.operators import reshape as R
 from tidemark.operators import scan as Sc
 from tidemark.sources import documents as D
 from tidemark.sources import measurements as M
-from tidemark.sources import records as Rc
 from tidemark.sources.base import Job
 
 LINES = "value string"
