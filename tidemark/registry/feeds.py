@@ -18,10 +18,13 @@ END = datetime(2030, 1, 1)
 
 
 def delivered(t, job: base.Job, *deliveries: DataFrame) -> DataFrame:
-    """Current rows after each delivery was landed and drained by a run of its own."""
+    """Current rows after each delivery was landed and drained by a run of its own.
+
+    A delivery keeps the partitions of its rows, so its files grow in number with it.
+    """
     place = scratch(t.spark)
     for number, rows in enumerate(deliveries):
-        writer = rows.repartition(2).write.mode("append")
+        writer = rows.write.mode("append")
         (writer.text if job.fmt == "text" else writer.option("header", "true").csv)(f"{place}/landing")
         state = base.run(t.spark, job, f"{place}/landing", f"{place}/out")
     return A.current_rows(state) if A.DELETED in state.columns else state

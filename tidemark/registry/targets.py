@@ -21,10 +21,10 @@ def line(*cols):
 
 
 def landed(t, job: base.Job, rows: DataFrame, deletes: DataFrame | None = None, scd: int = 1) -> DataFrame:
-    """Raw lines as files, drained by the job; what its target holds then."""
+    """Raw lines as files, one per partition of the rows, drained by the job; what its target holds then."""
     place = scratch(t.spark)
     save = lambda df, path: (df.write.text if job.fmt == "text" else df.write.json)(path)
-    save(rows.repartition(2), f"{place}/landing")
+    save(rows, f"{place}/landing")
     if deletes is not None:
         save(deletes, f"{place}/landing__deletes")
     return base.run(t.spark, job, f"{place}/landing", f"{place}/out", scd)
