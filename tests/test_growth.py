@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 import os
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import rows
+from tidemark.operators import quality as Q
 from tidemark.registry import feeds, targets
 
 
@@ -23,3 +26,13 @@ def test_landed_files_grow_with_the_rows(spark, monkeypatch, land):
     lines = spark.range(1000, numPartitions=7).select(F.col("id").cast("string").alias("value"))
     assert land(SimpleNamespace(spark=spark), SimpleNamespace(fmt="text"), lines).count() == 1000
     assert len(seen) == 7
+
+
+def test_nested_paths_writes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(Q, "saved", lambda df, name: pytest.fail(f"{name} was written"), raising=False)
+    deep = 1
+    for _ in range(60):
+        deep = {"k": deep}
+    records = [json.dumps(deep), '{"a":[{"b":1},{"b":{"c":1}},[{"d":1}],3],"e":"{"}', '[{"a":1},null]', '{"a":1,"a":2}', "{", "", None]
+    found = rows(Q.nested_paths(spark.createDataFrame([(r,) for r in records], "raw string"), "raw"))
+    assert found == sorted([(".".join(["k"] * n), 1) for n in range(1, 61)] + [("a", 2), ("a.b", 2), ("a.b.c", 1), ("e", 1)], key=repr)

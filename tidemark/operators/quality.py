@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 from tidemark.plans import blocks as B
 from tidemark.plans.apply import same_key
-from tidemark.session import saved
 
 INGESTION_TYPES = ("snapshot", "cdc", "cdc_with_deletes", "append")
 
@@ -93,32 +92,48 @@ def check_records(df: DataFrame, keys: Sequence[str], cursor: str | None, requir
     return counted.unpivot([], list(rules), "rule", "violations")
 
 
+_HELD = "array<struct<path:string,v:variant>>"
+
+
+def _fields(held: Column) -> Column:
+    """The fields one level below some values, each with its path; array items share the path of the array."""
+
+    def opened(x: Column) -> Column:
+        items = F.coalesce(F.try_variant_get(x["v"], "$", "array<variant>"), F.array(x["v"]))
+        entries = F.transform(items, lambda v: F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")))
+        return F.transform(
+            F.flatten(F.filter(entries, lambda e: e.isNotNull())),
+            lambda e: F.struct(F.concat_ws(".", x["path"], e["key"]).alias("path"), e["value"].alias("v")),
+        )
+
+    return F.flatten(F.transform(held, opened))
+
+
 def nested_paths(df: DataFrame, raw: str) -> DataFrame:
     """Every field path in JSON records and how often it occurs, at any depth.
 
-    Objects are opened level by level; array items share the path of the array.
-    What is still to be opened is written once per level, so the text is parsed
-    once and a deep record costs its own depth only. Every level is counted with
-    map-side combine, so only paths are shuffled. The jobs run when it is called.
+    Objects are opened level by level within their record, which is parsed once; array
+    items share the path of the array. A record has no more levels than opening braces,
+    so a deep one costs its own depth only and nothing is written in between. Paths are
+    counted with map-side combine. Records are dealt out first, since few bytes of a file
+    can hold many of them.
     """
-    kind = F.schema_of_variant("v")
-    held = saved(
-        df.select(F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(raw)).alias("v")).where(kind.rlike("^(OBJECT|ARRAY)")),
-        "level0",
-    )
-    found = []
-    while True:
-        items = F.when(kind.startswith("ARRAY"), F.try_variant_get("v", "$", "array<variant>")).otherwise(F.array("v"))
-        level = (
-            held.select("path", F.explode(items).alias("v"))
-            .where(kind.startswith("OBJECT"))
-            .select("path", F.explode(F.try_variant_get("v", "$", "map<string,variant>")).alias("key", "v"))
-            .select(F.concat_ws(".", "path", "key").alias("path"), "v")
+    whole = F.array(F.struct(F.lit(None).cast("string").alias("path"), F.try_parse_json(F.col(raw)).alias("v")))
+    start = F.struct(F.array().cast("array<string>").alias("found"), whole.cast(_HELD).alias("held"))
+
+    def level(at: Column, _: Column) -> Column:
+        # an array of one, so that the fields are opened once
+        step = F.transform(
+            F.array(_fields(at["held"])),
+            lambda fields: F.struct(F.concat(at["found"], F.transform(fields, lambda x: x["path"])).alias("found"), fields.cast(_HELD).alias("held")),
         )
-        found.append(level.groupBy("path").agg(F.count("*").alias("records")))
-        held = saved(level.where(kind.rlike("^(OBJECT|ARRAY)")), f"level{len(found)}")
-        if held.isEmpty():
-            return reduce(DataFrame.unionByName, found)
+        return F.when(F.size(at["held"]) == 0, at).otherwise(step[0])
+
+    braces = F.length(raw) - F.length(F.replace(F.col(raw), F.lit("{"), F.lit("")))
+    levels = F.when(braces > 0, F.sequence(F.lit(1), braces))
+    dealt = df.select(raw).repartition(B.default_blocks(df.sparkSession))
+    paths = dealt.select(F.explode(F.aggregate(levels, start, level, lambda at: at["found"])).alias("path"))
+    return paths.groupBy("path").agg(F.count("*").alias("records"))
 
 
 def declared_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, str]]:
