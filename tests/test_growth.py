@@ -10,6 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tests.test_forest import brute_labels, brute_walk
+from tidemark.operators import forest as Fo
 from tidemark.operators import quality as Q
 from tidemark.registry import feeds, targets
 
@@ -36,3 +38,34 @@ def test_nested_paths_writes_nothing(spark, monkeypatch):
     records = [json.dumps(deep), '{"a":[{"b":1},{"b":{"c":1}},[{"d":1}],3],"e":"{"}', '[{"a":1},null]', '{"a":1,"a":2}', "{", "", None]
     found = rows(Q.nested_paths(spark.createDataFrame([(r,) for r in records], "raw string"), "raw"))
     assert found == sorted([(".".join(["k"] * n), 1) for n in range(1, 61)] + [("a", 2), ("a.b", 2), ("a.b.c", 1), ("e", 1)], key=repr)
+
+
+def written_rows(monkeypatch, run):
+    """Rows that ``run`` saves in all."""
+    held = []
+    monkeypatch.setattr(Fo, "saved", lambda df, name, keep=Fo.saved: held.append(keep(df, name)) or held[-1])
+    run()
+    return sum(df.count() for df in held)
+
+
+def test_labels_of_a_bushy_tree_write_few_rows(spark, monkeypatch):
+    frame = spark.range(400).select("id", F.when(F.col("id") > 0, F.floor((F.col("id") - 1) / 20)).alias("parent_id"))
+    assert written_rows(monkeypatch, lambda: Fo.forest_labels(frame)) < 2 * 400
+
+
+def test_a_leaf_takes_the_parent_that_was_settled_first(spark):
+    pairs = [(1, None), (2, 3), (3, 2), (3, 5), (5, 1), (4, 2), (4, 3), (6, 2), (6, 7), (7, 1), (8, 9), (8, 3), (9, 9), (10, 9)]
+    frame = spark.createDataFrame(pairs, "id int, parent_id int")
+    assert rows(Fo.tree_walk(frame)) == brute_walk(pairs)
+    assert rows(Fo.forest_labels(frame)) == brute_labels(pairs)
+
+
+def test_totals_and_labels_of_trees_with_branches_and_chains(spark):
+    pairs = [(i, None if i % 50 == 0 else i - 1 if i % 3 else i - i % 50) for i in range(300)]
+    frame = spark.createDataFrame(pairs, "id int, parent_id int")
+    found = brute_labels(pairs)
+    labels = Fo.forest_labels(frame)
+    assert rows(labels) == found
+    values = spark.createDataFrame([(i, i) for i in range(300)], "id int, v long")
+    inside = lambda a, b: a[2] == b[2] and a[4] <= b[4] and b[5] <= a[5]
+    assert rows(Fo.subtree_totals(labels, values, "v")) == sorted([(a[0], sum(b[0] for b in found if inside(a, b))) for a in found], key=repr)

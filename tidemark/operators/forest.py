@@ -47,13 +47,27 @@ def _settle(done: list[DataFrame], open_: DataFrame, path: bool) -> list[DataFra
     return done
 
 
-def settled(nodes: DataFrame, node: str, parent: str, path: bool = True) -> DataFrame:
-    """``_id, _parent, _top`` (root), ``_steps`` and ``_tail`` (path) of every node that a root reaches."""
-    edges = saved(nodes.select(F.col(node).alias("_id"), F.col(parent).alias("_parent")).where(F.col("_id").isNotNull()).distinct(), "edges")
-    once = edges.groupBy("_id").agg(
-        F.bool_or(F.col("_parent").isNull()).alias("_root"), F.min("_parent").alias("_parent"), (F.count("*") > 1).alias("_several")
+def _parents(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """One row per node: its smallest parent (null: a root), whether it has several, whether it is a parent itself."""
+    edges = nodes.select(F.col(node).alias("_id"), F.col(parent).alias("_parent")).where(F.col("_id").isNotNull())
+    below = edges.where(F.col("_parent").isNotNull()).select(F.col("_parent").alias("_id"), F.lit(None).cast(edges.schema["_parent"].dataType).alias("_parent"))
+    marked = edges.withColumn("_own", F.lit(True)).union(below.withColumn("_own", F.lit(False)))
+    once = marked.groupBy("_id").agg(
+        F.bool_or(F.col("_own") & F.col("_parent").isNull()).alias("_root"), F.min("_parent").alias("_least"), F.max("_parent").alias("_most"),
+        F.bool_or(~F.col("_own")).alias("_inner"), F.bool_or("_own").alias("_own"),
     )
-    once = saved(once.withColumn("_parent", F.when(~F.col("_root"), F.col("_parent"))), "parents")
+    return once.where("_own").select(
+        F.col("_id").cast(edges.schema["_id"].dataType).alias("_id"), F.when(~F.col("_root"), F.col("_least")).alias("_parent"), (~F.col("_root") & (F.col("_least") != F.col("_most"))).alias("_several"), "_inner"
+    )
+
+
+def _inner_and_leaves(nodes: DataFrame, node: str, parent: str, path: bool) -> tuple[DataFrame, DataFrame]:
+    """Settled rows of the nodes that are parents, and the leaves with the parent each stands under (or none).
+
+    Leaves have no part in the walk. A leaf's parent may still be one that no root reaches.
+    """
+    once = saved(_parents(nodes, node, parent), "parents")
+    inner, leaves = once.where("_inner"), once.where("not _inner")
 
     def begun(rows: DataFrame) -> DataFrame:
         top = F.when(F.col("_parent").isNull(), F.col("_id"))
@@ -61,20 +75,42 @@ def settled(nodes: DataFrame, node: str, parent: str, path: bool = True) -> Data
         steps = F.col("_parent").isNotNull().cast("long")
         return rows.select("_id", "_parent", F.col("_parent").alias("_above"), top.alias("_top"), steps.alias("_steps"), text.alias("_tail"))
 
-    first = begun(once)
+    first = begun(inner)
     done = _settle([first.where(F.col("_above").isNull())], first.where(F.col("_above").isNotNull()), path)
-    several = not once.where("_several and not _root").isEmpty()
-    while several:
+    several = once.where("_several")
+    if several.isEmpty():
+        return _union(done), leaves.select("_id", "_parent")
+    edges = nodes.select(F.col(node).alias("_id"), F.col(parent).alias("_parent")).join(several.select("_id", "_inner"), "_id").distinct()
+    edges, rounds = saved(edges, "edges"), [len(done)]
+    while True:
         # nodes whose parent leads nowhere, but another one does
         known = _union([d.select("_id") for d in done])
-        missed = saved(once.select("_id", "_parent").join(known, "_id", "left_anti"), "missed")
+        missed = saved(inner.select("_id", "_parent").join(known, "_id", "left_anti"), "missed")
         ways = edges.join(missed.select("_id"), "_id", "left_semi").join(known.select(F.col("_id").alias("_parent")), "_parent", "left_semi")
         better = saved(ways.groupBy("_id").agg(F.min("_parent").alias("_better")), "better")
         if better.isEmpty():
             break
         again = missed.join(better, "_id", "left").select("_id", F.coalesce("_better", "_parent").alias("_parent"))
         done = _settle(done, saved(begun(again), "again"), path)
-    return _union(done)
+        rounds.append(len(done))
+    # a leaf takes the smallest of its parents that were settled first
+    turn = [sum(i >= r for r in rounds) for i in range(len(done))]
+    when = _union([d.select(F.col("_id").alias("_parent"), F.lit(n).alias("_turn")) for d, n in zip(done, turn, strict=True)])
+    best = edges.where("not _inner").join(when, "_parent").groupBy("_id").agg(F.min(F.struct("_turn", "_parent")).alias("_best"))
+    rest = leaves.where("not _several").select("_id", "_parent")
+    return _union(done), rest.unionByName(best.select("_id", F.col("_best._parent").alias("_parent")))
+
+
+def settled(nodes: DataFrame, node: str, parent: str, path: bool = True) -> DataFrame:
+    """``_id, _parent, _top`` (root), ``_steps`` and ``_tail`` (path) of every node that a root reaches."""
+    inner, leaves = _inner_and_leaves(nodes, node, parent, path)
+    text = F.col("_id").cast("string") if path else F.lit(None).cast("string")
+    alone = leaves.where(F.col("_parent").isNull()).select("_id", "_parent", F.col("_id").alias("_top"), F.lit(0).cast("long").alias("_steps"), text.alias("_tail"))
+    up = inner.select(F.col("_id").alias("_up"), "_top", "_steps", F.col("_tail").alias("_head"))
+    under = leaves.join(up, F.col("_parent") == F.col("_up")).select(
+        "_id", "_parent", "_top", (F.col("_steps") + 1).alias("_steps"), (F.concat_ws("/", "_head", text) if path else text).alias("_tail")
+    )
+    return _union([inner.select("_id", "_parent", "_top", "_steps", "_tail"), alone, under])
 
 
 def tree_walk(nodes: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
@@ -89,14 +125,13 @@ def tree_walk(nodes: DataFrame, node: str = "id", parent: str = "parent_id") ->
     )
 
 
-def forest_labels(nodes: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
-    """Enter and leave numbers: a node's subtree are the nodes of its root with ``enter`` within its own numbers.
+def _toured(tree: DataFrame) -> DataFrame:
+    """Subtree weights ``_size`` of a forest of any shape (_id, _parent, _own).
 
-    The tour of a tree goes down to and up from every node, children in the order of their
-    ids. It is a linked list of two arcs per node, ranked by pointer doubling: each round
-    is one join of the open arcs on the arc they point to, which is unique.
+    The tour of a tree goes down to and up from every node. It is a linked list of two arcs
+    per node, ranked by pointer doubling: each round is one join of the open arcs on the arc
+    they point to, which is unique.
     """
-    tree = saved(settled(nodes, node, parent, path=False).select("_id", "_parent", "_top", F.col("_steps").alias("depth")), "tree")
     held = tree.where(F.col("_parent").isNotNull()).select("_id", "_parent")
     beside = B.neighbours(held, ["_parent"], ["_id"], lambda w: {"_next": F.lead("_id").over(w)}, before=False)
     first = saved(held.groupBy(F.col("_parent").alias("_id")).agg(F.min("_id").alias("_first")), "first")
@@ -105,24 +140,79 @@ def forest_labels(nodes: DataFrame, node: str = "id", parent: str = "parent_id")
     down = F.when(F.col("_first").isNotNull(), arc(F.col("_first"), False)).otherwise(arc(F.col("_id"), True))
     up = F.when(F.col("_next").isNotNull(), arc(F.col("_next"), False)).when(F.col("_parent").isNotNull(), arc(F.col("_parent"), True))
     pair = F.array(
-        F.struct(arc(F.col("_id"), False).alias("arc"), down.alias("to")), F.struct(arc(F.col("_id"), True).alias("arc"), up.alias("to"))
+        F.struct(arc(F.col("_id"), False).alias("arc"), down.alias("to"), F.col("_own").alias("far")),
+        F.struct(arc(F.col("_id"), True).alias("arc"), up.alias("to"), F.lit(0).cast("long").alias("far")),
     )
-    arcs = saved(linked.select(F.explode(pair).alias("p")).select("p.arc", "p.to").withColumn("far", F.col("to").isNotNull().cast("long")), "arcs")
+    arcs = saved(linked.select(F.explode(pair).alias("p")).select("p.*"), "arcs")
     done, open_ = [arcs.where(F.col("to").isNull())], arcs.where(F.col("to").isNotNull())
     while not open_.isEmpty():
         ahead = _union([*done, open_]).select(F.col("arc").alias("_arc"), F.col("to").alias("_to"), F.col("far").alias("_far"))
         moved = open_.join(ahead, F.col("to") == F.col("_arc")).select("arc", F.col("_to").alias("to"), (F.col("far") + F.col("_far")).alias("far"))
         table = saved(moved, "ranks")
         done, open_ = [*done, table.where(F.col("to").isNull())], table.where(F.col("to").isNotNull())
-    far = _union(done).groupBy(F.col("arc.id").alias("_id")).agg(
-        F.max(F.when(~F.col("arc.up"), F.col("far"))).alias("_down"), F.max(F.when(F.col("arc.up"), F.col("far"))).alias("_up")
+    return _union(done).groupBy(F.col("arc.id").alias("_id")).agg(
+        (F.max(F.when(~F.col("arc.up"), F.col("far"))) - F.max(F.when(F.col("arc.up"), F.col("far")))).alias("_size")
+    )
+
+
+def _sizes(tree: DataFrame) -> DataFrame:
+    """Subtree weights ``_size`` of a forest (_id, _parent, _own).
+
+    Leaves are taken off and added to their parents as long as that at least halves the
+    nodes; the tour is taken of what is left, so a bushy forest costs a few times its rows.
+    """
+    sized, rest, count = [], tree, tree.count()
+    while count:
+        inner = saved(rest.where(F.col("_parent").isNotNull()).groupBy("_parent").count().select(F.col("_parent").alias("_id")), "inner")
+        left = inner.count()
+        if 2 * left > count:
+            return _union([*sized, _toured(rest)])
+        tips = rest.join(inner, "_id", "left_anti")
+        below = tips.where(F.col("_parent").isNotNull()).groupBy(F.col("_parent").alias("_id")).agg(F.sum("_own").alias("_more"))
+        sized.append(tips.select("_id", F.col("_own").alias("_size")))
+        whole = rest.join(inner, "_id", "left_semi").join(below, "_id", "left")
+        rest, count = saved(whole.select("_id", "_parent", (F.col("_own") + F.coalesce("_more", F.lit(0))).alias("_own")), "rest"), left
+    return _union(sized) if sized else tree.select("_id", F.col("_own").alias("_size"))
+
+
+def forest_labels(nodes: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
+    """Enter and leave numbers: a node's subtree are the nodes of its root with ``enter`` within its own numbers.
+
+    The tour of a tree goes down to and up from every node, children in the order of their
+    ids. A node's place in it follows from the subtrees of its ancestors' and its own earlier
+    siblings: one running total over all siblings, added up along the inner nodes.
+    """
+    inner, leaves = _inner_and_leaves(nodes, node, parent, path=False)
+    inner = saved(inner.select("_id", "_parent", "_top", F.col("_steps").alias("_depth")), "inner")
+    below = leaves.where(F.col("_parent").isNotNull()).groupBy(F.col("_parent").alias("_id")).agg(F.count("*").alias("_n"))
+    weighed = inner.join(below, "_id", "left").select("_id", "_parent", (1 + F.coalesce("_n", F.lit(0))).cast("long").alias("_own"))
+    tree = saved(inner.join(_sizes(saved(weighed, "weighed")), "_id"), "tree")
+    one = F.lit(1).cast("long").alias("_size")
+    kids = tree.select("_id", "_parent", "_size", F.lit(True).alias("_inner")).unionByName(leaves.select("_id", "_parent", one, F.lit(False).alias("_inner")))
+    kids = kids.where(F.col("_parent").isNotNull())
+    placed = lambda rows: B.running_position(rows, ["_id"], "_upto", F.col("_size"), ["_parent"]).select("*", (F.col("_upto") - F.col("_size") + 1).alias("_ahead"))
+    mixed = saved(tree.where(F.col("_parent").isNotNull()).select("_parent").distinct(), "mixed")
+    steps = placed(kids.join(mixed, "_parent", "left_semi")).where("_inner").select("_id", F.col("_ahead"))
+    walk = tree.join(steps, "_id", "left").select(
+        "_id", "_parent", F.col("_parent").alias("_above"), F.when(F.col("_parent").isNull(), F.col("_id")).alias("_top"),
+        F.coalesce("_ahead", F.lit(0)).cast("long").alias("_steps"), F.lit(None).cast("string").alias("_tail"),
+    )
+    walk = saved(walk, "walk")
+    done = _union(_settle([walk.where(F.col("_above").isNull())], walk.where(F.col("_above").isNotNull()), path=False))
+    tree = saved(tree.join(done.select("_id", F.col("_steps").alias("_before")), "_id"), "placed")
+    up = tree.select(F.col("_id").alias("_up"), "_top", (F.col("_depth") + 1).alias("_depth"), F.col("_before").alias("_above"))
+    # for leaves alone the siblings have to be counted again, where an inner one stands between them
+    under = placed(kids).where("not _inner").join(up, F.col("_parent") == F.col("_up")).select(
+        "_id", "_parent", "_top", "_depth", "_size", (F.col("_above") + F.col("_ahead")).alias("_before")
+    )
+    alone = leaves.where(F.col("_parent").isNull()).select(
+        "_id", "_parent", F.col("_id").alias("_top"), F.lit(0).cast("long").alias("_depth"), one, F.lit(0).cast("long").alias("_before")
     )
-    ranked = saved(tree.join(far, "_id"), "ranked")
-    whole = ranked.where(F.col("_parent").isNull()).select(F.col("_id").alias("_top"), F.col("_down").alias("_all"))
-    return ranked.join(whole, "_top").select(
-        F.col("_id").alias(node), F.col("_parent").alias(parent), F.col("_top").alias("root"), F.col("depth").cast("int").alias("depth"),
-        (F.col("_all") - F.col("_down")).alias("enter"), (F.col("_all") - F.col("_up")).alias("leave"),
-        F.expr("(_down - _up - 1) div 2").alias("descendants"),
+    every = _union([tree.select("_id", "_parent", "_top", "_depth", "_size", "_before"), under, alone])
+    enter = 2 * F.col("_before") - F.col("_depth")
+    return every.select(
+        F.col("_id").alias(node), F.col("_parent").alias(parent), F.col("_top").alias("root"), F.col("_depth").cast("int").alias("depth"),
+        enter.alias("enter"), (enter + 2 * F.col("_size") - 1).alias("leave"), (F.col("_size") - 1).alias("descendants"),
     )
 
 
@@ -140,5 +230,8 @@ def subtree_totals(labels: DataFrame, values: DataFrame, value: str, node: str =
     )
     sums = saved(B.running_position(held, ["place"], "total", F.col("_value"), ["root"]), "sums")
     last = sums.select(F.col("root").alias("_root"), F.col("place").alias("_place"), F.col("total").alias("_until"))
-    met = sums.join(last, (F.col("root") == F.col("_root")) & (F.col("place") + F.col("descendants") == F.col("_place")))
-    return met.select(F.col("_id").alias(node), (F.col("_until") - F.col("total") + F.col("_value")).alias("subtree_total"))
+    inner = sums.where("descendants > 0")
+    met = inner.join(last, (F.col("root") == F.col("_root")) & (F.col("place") + F.col("descendants") == F.col("_place")))
+    total = F.col("_until") - F.col("total") + F.col("_value")
+    alone = sums.where("descendants = 0").withColumn("_until", F.col("total"))
+    return _union([df.select(F.col("_id").alias(node), total.alias("subtree_total")) for df in (met, alone)])
