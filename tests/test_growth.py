@@ -69,3 +69,14 @@ def test_totals_and_labels_of_trees_with_branches_and_chains(spark):
     values = spark.createDataFrame([(i, i) for i in range(300)], "id int, v long")
     inside = lambda a, b: a[2] == b[2] and a[4] <= b[4] and b[5] <= a[5]
     assert rows(Fo.subtree_totals(labels, values, "v")) == sorted([(a[0], sum(b[0] for b in found if inside(a, b))) for a in found], key=repr)
+
+
+def test_paths_of_a_chain_are_not_written_in_every_round(spark, monkeypatch):
+    """Text of all paths that are saved, against that of the result."""
+    held = []
+    monkeypatch.setattr(Fo, "saved", lambda df, name, keep=Fo.saved: held.append(keep(df, name)) or held[-1])
+    pairs = [(i, i - 1 if i % 150 else None) for i in range(300)]
+    walk = Fo.tree_walk(spark.createDataFrame(pairs, "id int, parent_id int"))
+    assert rows(walk) == brute_walk(pairs)
+    text = sum(df.select(F.sum(F.length("_tail"))).first()[0] or 0 for df in held if "_tail" in df.columns)
+    assert text < walk.select(F.sum(F.length("path"))).first()[0]

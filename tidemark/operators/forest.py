@@ -10,7 +10,7 @@ what is still open then lies on cycles.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.plans import blocks as B
@@ -61,24 +61,27 @@ def _parents(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     )
 
 
-def _inner_and_leaves(nodes: DataFrame, node: str, parent: str, path: bool) -> tuple[DataFrame, DataFrame]:
+def _inner_and_leaves(nodes: DataFrame, node: str, parent: str, walk: bool = True) -> tuple[DataFrame, DataFrame]:
     """Settled rows of the nodes that are parents, and the leaves with the parent each stands under (or none).
 
     Leaves have no part in the walk. A leaf's parent may still be one that no root reaches.
+    Without ``walk`` that holds for inner nodes too, unless several parents have to be tried.
     """
     once = saved(_parents(nodes, node, parent), "parents")
     inner, leaves = once.where("_inner"), once.where("not _inner")
 
     def begun(rows: DataFrame) -> DataFrame:
         top = F.when(F.col("_parent").isNull(), F.col("_id"))
-        text = F.col("_id").cast("string") if path else F.lit(None).cast("string")
         steps = F.col("_parent").isNotNull().cast("long")
-        return rows.select("_id", "_parent", F.col("_parent").alias("_above"), top.alias("_top"), steps.alias("_steps"), text.alias("_tail"))
-
-    first = begun(inner)
-    done = _settle([first.where(F.col("_above").isNull())], first.where(F.col("_above").isNotNull()), path)
-    several = once.where("_several")
-    if several.isEmpty():
+        none = F.lit(None).cast("string")
+        return rows.select("_id", "_parent", F.col("_parent").alias("_above"), top.alias("_top"), steps.alias("_steps"), none.alias("_tail"))
+
+    first, several = begun(inner), once.where("_several")
+    alone = several.isEmpty()
+    if alone and not walk:
+        return first, leaves.select("_id", "_parent")
+    done = _settle([first.where(F.col("_above").isNull())], first.where(F.col("_above").isNotNull()), path=False)
+    if alone:
         return _union(done), leaves.select("_id", "_parent")
     edges = nodes.select(F.col(node).alias("_id"), F.col(parent).alias("_parent")).join(several.select("_id", "_inner"), "_id").distinct()
     edges, rounds = saved(edges, "edges"), [len(done)]
@@ -91,7 +94,7 @@ def _inner_and_leaves(nodes: DataFrame, node: str, parent: str, path: bool) -> t
         if better.isEmpty():
             break
         again = missed.join(better, "_id", "left").select("_id", F.coalesce("_better", "_parent").alias("_parent"))
-        done = _settle(done, saved(begun(again), "again"), path)
+        done = _settle(done, saved(begun(again), "again"), path=False)
         rounds.append(len(done))
     # a leaf takes the smallest of its parents that were settled first
     turn = [sum(i >= r for r in rounds) for i in range(len(done))]
@@ -101,26 +104,65 @@ def _inner_and_leaves(nodes: DataFrame, node: str, parent: str, path: bool) -> t
     return _union(done), rest.unionByName(best.select("_id", F.col("_best._parent").alias("_parent")))
 
 
-def settled(nodes: DataFrame, node: str, parent: str, path: bool = True) -> DataFrame:
-    """``_id, _parent, _top`` (root), ``_steps`` and ``_tail`` (path) of every node that a root reaches."""
-    inner, leaves = _inner_and_leaves(nodes, node, parent, path)
-    text = F.col("_id").cast("string") if path else F.lit(None).cast("string")
-    alone = leaves.where(F.col("_parent").isNull()).select("_id", "_parent", F.col("_id").alias("_top"), F.lit(0).cast("long").alias("_steps"), text.alias("_tail"))
-    up = inner.select(F.col("_id").alias("_up"), "_top", "_steps", F.col("_tail").alias("_head"))
-    under = leaves.join(up, F.col("_parent") == F.col("_up")).select(
-        "_id", "_parent", "_top", (F.col("_steps") + 1).alias("_steps"), (F.concat_ws("/", "_head", text) if path else text).alias("_tail")
-    )
-    return _union([inner.select("_id", "_parent", "_top", "_steps", "_tail"), alone, under])
+def _stop(c: Column) -> Column:
+    """Whether a node is one where walks stop: about one in eight, told by its id alone."""
+    return F.pmod(F.xxhash64(c.cast("string")), F.lit(8)) == 0
+
+
+def _short_walks(inner: DataFrame) -> DataFrame:
+    """For each inner node the nearest stop above it (``_above``, null past a root), the steps to it and the path below it.
+
+    Each round doubles the distance an open row has looked up. Paths stay short: most walks end after a few nodes.
+    """
+    text, steps = F.col("_id").cast("string"), F.col("_parent").isNotNull().cast("long")
+    first = inner.select("_id", "_parent", F.col("_parent").alias("_above"), steps.alias("_steps"), text.alias("_tail"))
+    ended = F.col("_above").isNull() | _stop(F.col("_above"))
+    done, open_ = [first.where(ended)], first.where(~ended)
+    left = open_.count()
+    while left:
+        up = _union([*done, open_]).where(~_stop(F.col("_id"))).select(
+            F.col("_id").alias("_up"), F.col("_above").alias("_next"), F.col("_steps").alias("_more"), F.col("_tail").alias("_head")
+        )
+        moved = open_.join(up, F.col("_above") == F.col("_up")).select(
+            "_id", "_parent", F.col("_next").alias("_above"), (F.col("_steps") + F.col("_more")).alias("_steps"), F.concat_ws("/", "_head", "_tail").alias("_tail")
+        )
+        table = saved(moved, "round")
+        fresh, open_ = table.where(ended), table.where(~ended)
+        still = open_.count()
+        if still == left:
+            break
+        done, left = [*done, fresh], still
+    return _union(done)
 
 
 def tree_walk(nodes: DataFrame, node: str = "id", parent: str = "parent_id") -> DataFrame:
     """Depth and path of every node that a root (a node without parent) reaches, one row each; see the rule above.
 
-    A forest of depth ``d`` takes ``log2(d)`` rounds of one join, whatever its shape; only rows
-    that are still open are written again.
+    A forest of depth ``d`` takes about ``log2(d)`` rounds of one join, whatever its shape. Nodes
+    walk up to the nearest stop only; whole paths are made for the stops, and put before
+    the short ones at last. So long paths are not moved in every round.
     """
-    rows = settled(nodes, node, parent)
-    return rows.select(
+    inner, leaves = _inner_and_leaves(nodes, node, parent, walk=False)
+    short = _short_walks(inner.select("_id", "_parent"))
+    text, one = F.col("_id").cast("string").alias("_tail"), F.lit(1).cast("long").alias("_steps")
+    below = F.col("_parent").isNotNull()
+    up = short.where(~_stop(F.col("_id"))).select(
+        F.col("_id").alias("_up"), "_above", (F.col("_steps") + 1).alias("_steps"), F.concat(F.col("_tail"), F.lit("/")).alias("_head")
+    )
+    under = leaves.where(below & ~_stop(F.col("_parent"))).join(up, F.col("_parent") == F.col("_up")).select(
+        "_id", "_parent", "_above", "_steps", F.concat("_head", F.col("_id").cast("string")).alias("_tail")
+    )
+    at_stop = leaves.where(below & _stop(F.col("_parent"))).select("_id", "_parent", F.col("_parent").alias("_above"), one, text)
+    alone = leaves.where(~below).select("_id", "_parent", F.col("_parent").alias("_above"), F.lit(0).cast("long").alias("_steps"), text)
+    stops = saved(short.where(_stop(F.col("_id"))).withColumn("_top", F.col("_id")), "stops")
+    whole = _union(_settle([stops.where(F.col("_above").isNull())], stops.where(F.col("_above").isNotNull()), path=True))
+    whole = whole.select(F.col("_id").alias("_up"), F.col("_steps").alias("_more"), F.concat(F.col("_tail"), F.lit("/")).alias("_head"))
+    rows = _union([short, under, at_stop, alone])
+    ends = rows.where(F.col("_above").isNull()).select("_id", "_parent", "_steps", "_tail")
+    far = rows.join(whole, F.col("_above") == F.col("_up")).select(
+        "_id", "_parent", (F.col("_steps") + F.col("_more")).alias("_steps"), F.concat("_head", "_tail").alias("_tail")
+    )
+    return ends.unionByName(far).select(
         F.col("_id").alias(node), F.col("_parent").alias(parent), F.col("_steps").cast("int").alias("depth"), F.col("_tail").alias("path")
     )
 
@@ -182,7 +224,7 @@ def forest_labels(nodes: DataFrame, node: str = "id", parent: str = "parent_id")
     ids. A node's place in it follows from the subtrees of its ancestors' and its own earlier
     siblings: one running total over all siblings, added up along the inner nodes.
     """
-    inner, leaves = _inner_and_leaves(nodes, node, parent, path=False)
+    inner, leaves = _inner_and_leaves(nodes, node, parent)
     inner = saved(inner.select("_id", "_parent", "_top", F.col("_steps").alias("_depth")), "inner")
     below = leaves.where(F.col("_parent").isNotNull()).groupBy(F.col("_parent").alias("_id")).agg(F.count("*").alias("_n"))
     weighed = inner.join(below, "_id", "left").select("_id", "_parent", (1 + F.coalesce("_n", F.lit(0))).cast("long").alias("_own"))
