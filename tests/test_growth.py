@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -13,7 +14,9 @@ from tests.conftest import rows
 from tests.test_forest import brute_labels, brute_walk
 from tidemark.operators import forest as Fo
 from tidemark.operators import quality as Q
+from tidemark.plans.logtable import LogTarget
 from tidemark.registry import feeds, targets
+from tidemark.session import SPLIT, TIDY
 
 
 @pytest.mark.parametrize("land", [targets.landed, feeds.delivered])
@@ -30,6 +33,57 @@ def test_landed_files_grow_with_the_rows(spark, monkeypatch, land):
     assert len(seen) == 7
 
 
+def no_drain(session, job, landing, out, scd=1):
+    reader = session.read.option("header", "true")
+    return {"text": reader.text, "csv": reader.csv, "json": reader.schema("value string").json}[job.fmt](landing)
+
+
+@pytest.mark.parametrize("land, fmt", [(targets.landed, "text"), (targets.landed, "json"), (feeds.delivered, "text"), (feeds.delivered, "csv")])
+def test_landed_files_are_compressed_and_bounded(spark, monkeypatch, land, fmt):
+    held = []
+    run = lambda session, job, landing, out, scd=1: held.append(landing) or no_drain(session, job, landing, out)
+    monkeypatch.setattr(targets.base, "run", run)
+    monkeypatch.setattr(targets, "LANDED_ROWS", 400)
+    lines = spark.range(1000, numPartitions=1).select(F.concat(F.lit('{"channel":"general","body":'), "id", F.lit("}")).alias("value"))
+    assert rows(land(SimpleNamespace(spark=spark), SimpleNamespace(fmt=fmt), lines)) == rows(lines)
+    sizes = [os.path.getsize(f"{held[0]}/{n}") for n in os.listdir(held[0]) if n.startswith("part-")]
+    assert len(sizes) == 3
+    assert sum(sizes) < lines.select(F.sum(F.length("value"))).first()[0] / 4
+
+
+@pytest.mark.parametrize("land", [targets.landed, feeds.delivered])
+def test_landing_lets_its_shuffle_files_go(spark, monkeypatch, land):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    shuffled = lambda: {n for top in folders for _, _, names in os.walk(top) for n in names if n.startswith("shuffle_")}
+    settings = {key: spark.conf.get(key, None) for key in (TIDY, SPLIT)}
+    before, left = shuffled(), []
+
+    def run(session, job, landing, out, scd=1):
+        for _ in range(50):  # they go while the driver works on
+            left[:] = shuffled() - before
+            if not left:
+                break
+            time.sleep(0.1)
+        return session.read.text(landing)
+
+    monkeypatch.setattr(targets.base, "run", run)
+    lines = spark.range(1000).repartition(3).select(F.col("id").cast("string").alias("value"))
+    assert land(SimpleNamespace(spark=spark), SimpleNamespace(fmt="text"), lines).count() == 1000
+    assert not left
+    assert settings == {key: spark.conf.get(key, None) for key in settings}
+
+
+def test_a_read_of_runs_shuffles_only_the_columns_that_are_read(spark, tmp_path):
+    target = LogTarget(spark, str(tmp_path / "t"), ["k"], ["s"])
+    for s in (1, 2):
+        target.apply(spark.createDataFrame([(1, s, "long text"), (None, s, "more")], "k int, s int, v string"))
+    state = target.state()
+    stored = next(f.stored for f in target.fields(target.log.load()) if f.name == "v")
+    plan = state.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema") and f"{stored}:string" not in plan
+    assert rows(state.select("k", "s", "v")) == [(1, 2, "long text"), (None, 2, "more")]
+
+
 def test_nested_paths_writes_nothing(spark, monkeypatch):
     monkeypatch.setattr(Q, "saved", lambda df, name: pytest.fail(f"{name} was written"), raising=False)
     deep = 1

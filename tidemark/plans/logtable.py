@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,6 +40,7 @@ ROOT = "r"
 LEVELS = 12
 NODE = "_node"
 TIE = "_tie"
+PLACE = "_place_among_runs"
 CHANGE, VERSION = "_change", "_version"
 #: Added rows smaller than this are probed by reads, larger ones are merged by key.
 PROBE_BYTES = 256 << 20
@@ -137,6 +138,12 @@ class LogTarget:
         best = rows.groupBy(same).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), self._rank()).alias("_r"))
         return best.select("_r.*")
 
+    def _newest_of_runs(self, rows: DataFrame) -> DataFrame:
+        """One row per key of several runs. Each holds a key once, so nothing combines on the map side; columns nobody reads are not shuffled."""
+        keys = [F.col(f"`{k}`") for k in self._identity()]
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(self._rank().desc()))
+        return rows.repartition(*keys).withColumn(PLACE, place).where(F.col(PLACE) == 1).drop(PLACE)
+
     # reading
 
     def state(self, version: int | None = None) -> DataFrame:
@@ -154,13 +161,13 @@ class LogTarget:
         base, added = [r for r in runs if r.base], [r for r in runs if not r.base]
         files = self._files_for(state, base, ranges) if ranges and base and (self.scd == 1 or not added) else None
         rows = self._scan(state, base, files)
-        if added:
+        if added and not base and self.scd == 1:
+            rows = self._newest_of_runs(self._scan(state, added))
+        elif added:
             newer = self._newest(self._scan(state, added))
             if self.scd == 2:
                 return self._history(rows if base else None, newer)
-            if not base:
-                rows = newer
-            elif sum(r.bytes for r in added) > PROBE_BYTES and files is None:
+            if sum(r.bytes for r in added) > PROBE_BYTES and files is None:
                 rows = self._newest(rows.unionByName(newer))
             else:
                 rows = self._probed(rows, self._scan(state, base), newer)

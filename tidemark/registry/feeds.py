@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.plans import apply as A
 from tidemark.registry.base import query, scratch
 from tidemark.registry.reshaping import bundles
-from tidemark.registry.targets import iso, landed, line
+from tidemark.registry.targets import iso, land, landed, line
+from tidemark.session import draining
 from tidemark.sources import base
 from tidemark.sources import feeds as Fe
 
@@ -18,15 +19,12 @@ END = datetime(2030, 1, 1)
 
 
 def delivered(t, job: base.Job, *deliveries: DataFrame) -> DataFrame:
-    """Current rows after each delivery was landed and drained by a run of its own.
-
-    A delivery keeps the partitions of its rows, so its files grow in number with it.
-    """
+    """Current rows after each delivery was landed and drained by a run of its own."""
     place = scratch(t.spark)
-    for number, rows in enumerate(deliveries):
-        writer = rows.write.mode("append")
-        (writer.text if job.fmt == "text" else writer.option("header", "true").csv)(f"{place}/landing")
-        state = base.run(t.spark, job, f"{place}/landing", f"{place}/out")
+    with draining(t.spark):
+        for rows in deliveries:
+            land(rows, f"{place}/landing", job.fmt)
+            state = base.run(t.spark, job, f"{place}/landing", f"{place}/out")
     return A.current_rows(state) if A.DELETED in state.columns else state
 
 

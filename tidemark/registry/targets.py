@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 from tidemark.plans import apply as A
 from tidemark.registry.base import query, scratch
+from tidemark.session import draining
 from tidemark.sources import base
 from tidemark.sources import families as Fa
 from tidemark.sources import measurements as M
 from tidemark.sources import records as Rc
 
+LANDED_ROWS = 1_000_000
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 iso = lambda c: F.date_format(c, ISO)
 
@@ -20,14 +22,24 @@ def line(*cols):
     return F.to_json(F.struct(*cols)).alias("value")
 
 
+def land(rows: DataFrame, path: str, fmt: str) -> None:
+    """Raw files of a delivery, compressed, beside those that are there.
+
+    A delivery keeps the partitions of its rows, so its files grow in number with it. A
+    reader cannot split them, so one holds ``LANDED_ROWS`` at most.
+    """
+    writer = rows.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS)
+    {"text": writer.text, "json": writer.json, "csv": writer.option("header", "true").csv}[fmt](path)
+
+
 def landed(t, job: base.Job, rows: DataFrame, deletes: DataFrame | None = None, scd: int = 1) -> DataFrame:
-    """Raw lines as files, one per partition of the rows, drained by the job; what its target holds then."""
+    """Raw files landed and drained by the job; what its target holds then."""
     place = scratch(t.spark)
-    save = lambda df, path: (df.write.text if job.fmt == "text" else df.write.json)(path)
-    save(rows, f"{place}/landing")
-    if deletes is not None:
-        save(deletes, f"{place}/landing__deletes")
-    return base.run(t.spark, job, f"{place}/landing", f"{place}/out", scd)
+    with draining(t.spark):
+        land(rows, f"{place}/landing", job.fmt)
+        if deletes is not None:
+            land(deletes, f"{place}/landing__deletes", job.fmt)
+        return base.run(t.spark, job, f"{place}/landing", f"{place}/out", scd)
 
 
 @query(

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,12 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# shuffle files go when the step that made them ends, not when the driver collects its garbage
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+SPLIT = "spark.sql.files.maxPartitionBytes"
+# a byte of compressed lines gives about ten of text, so a task takes an eighth of the default
+COMPRESSED_SPLIT = 16 << 20
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; cluster sizing stays with the caller."""
@@ -30,6 +38,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def draining(spark: SparkSession) -> Iterator[None]:
+    """Settings under which compressed raw files are landed and drained; the caller's are back afterwards."""
+    before = {key: spark.conf.get(key, None) for key in (TIDY, SPLIT)}
+    split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(SPLIT))
+    spark.conf.set(TIDY, "true")
+    spark.conf.set(SPLIT, str(min(split, COMPRESSED_SPLIT)))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables: the one ``spark.checkpoint.dir`` names.
 
