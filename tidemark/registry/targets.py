@@ -13,7 +13,7 @@ from tidemark.sources import families as Fa
 from tidemark.sources import measurements as M
 from tidemark.sources import records as Rc
 
-LANDED_ROWS = 1_000_000
+LANDED_ROWS = 100_000
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 iso = lambda c: F.date_format(c, ISO)
 
@@ -26,7 +26,8 @@ def land(rows: DataFrame, path: str, fmt: str) -> None:
     """Raw files of a delivery, compressed, beside those that are there.
 
     A delivery keeps the partitions of its rows, so its files grow in number with it. A
-    reader cannot split them, so one holds ``LANDED_ROWS`` at most.
+    reader cannot split them, so one holds ``LANDED_ROWS`` at most: few enough for rows
+    that are slow to parse to keep all cores busy.
     """
     writer = rows.write.mode("append").option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS)
     {"text": writer.text, "json": writer.json, "csv": writer.option("header", "true").csv}[fmt](path)
